@@ -78,9 +78,11 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
     marked = texts.join(ids, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     cells = marked.mapInArrow(_count, "cell int, background long, target long").groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    got = cells.toPandas()  # WORDS + CELLS rows at most
+    got = cells.toArrow()  # WORDS + CELLS rows of 20 bytes at most
     tables = np.zeros((2, WORDS + CELLS), np.int64)
-    tables[0][got["cell"]], tables[1][got["cell"]] = got["background"], got["target"]
+    at = got.column("cell").to_numpy()
+    tables[0][at], tables[1][at] = got.column("background").to_numpy(), got.column("target").to_numpy()
+    del got, at
     shared = docs.sparkSession.sparkContext.broadcast(Model(tables))
 
     @F.pandas_udf("n_words long, target_loss double, background_loss double, score double")

@@ -113,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(rows, at, strict=True)], pa.list_(pa.float32()))], schema=schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(small), "doc_id")
-    got = texts.mapInArrow(run, "doc_id long, y int, at array<int>, n array<float>").toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    got = texts.mapInArrow(run, "doc_id long, y int, at array<int>, n array<float>").toArrow().to_pandas().drop_duplicates("doc_id").sort_values("doc_id")
     x = np.zeros((len(got), WIDTH), np.float32)
     for i, (at, n) in enumerate(zip(got["at"], got["n"], strict=True)):
         x[i, np.asarray(at, int)] = n
