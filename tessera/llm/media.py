@@ -1,10 +1,11 @@
 """Copies of images by local descriptors.
 
 Multiscale Harris corners get an orientation from their patch's intensity centroid and a binary descriptor of brightness
-tests turned by it. Each descriptor is cut into TABLES words of 32 bits; equal words of one table join two keypoints
-(a Hamming table: descriptors that differ in fewer bits than there are tables always meet). The members of a table's
-bucket are joined to its smallest image and to the next smaller one, so that a bucket of any size gives rows in
-proportion to it. A pair of images is a copy when enough keypoints agree on one rotation, scale and shift.
+tests turned by it. Each descriptor is cut into TABLES words of 32 bits; equal words of one table make two images meet (a
+Hamming table: descriptors that differ in fewer bits than there are tables always meet). The members of a table's bucket
+are joined to its smallest image and to the next smaller one, so that a bucket of any size gives rows in proportion to
+it. Where images met INLIERS times, keypoints within NEAR bits are matched; a pair is a copy when enough matches agree on
+one rotation, scale and shift.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from .common import components, drop, save
 
 TABLES = 4
 LEVELS = (1.0, 0.7071, 0.5)
-PER_LEVEL = 16
+PER_LEVEL = 12
 RADIUS = 8
 INLIERS = 4
+NEAR = 24
 SHIFT = 3.0
 TURN = 0.35
 
@@ -143,20 +145,29 @@ def keypoints(image: np.ndarray) -> list[tuple[float, float, float, float, bytes
     return out
 
 
-_POINT = pa.struct([("x", pa.float32()), ("y", pa.float32()), ("s", pa.float32()), ("t", pa.float32()), ("words", pa.list_(pa.int64()))])
-_ROWS = pa.schema([("media_id", pa.int64()), ("key", pa.binary()), ("points", pa.list_(_POINT))])
+_ROWS = pa.schema([("media_id", pa.int64()), ("key", pa.binary()), ("places", pa.list_(pa.float32())), ("codes", pa.list_(pa.int32()))])
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, 500):
-            part, keys, points = b.slice(at, 500), [], []
+            part, keys, places, codes = b.slice(at, 500), [], [], []
             for data in part.column("content"):
                 image = decode(data.as_py())
                 keys.append(None if image is None else hashlib.sha256(struct.pack("<II", *image.shape) + np.rint(image).astype(np.uint8).tobytes()).digest())
                 found = [] if image is None or not image.size else keypoints(image)
-                points.append([{"x": x, "y": y, "s": s, "t": t, "words": [(k << 32) + int.from_bytes(d[4 * k : 4 * k + 4], "little") for k in range(TABLES)]} for x, y, s, t, d in found])
-            yield pa.RecordBatch.from_arrays([part.column("media_id"), pa.array(keys, pa.binary()), pa.array(points, pa.list_(_POINT))], schema=_ROWS)
+                places.append([v for p in found for v in p[:4]])
+                codes.append(np.frombuffer(b"".join(p[4] for p in found), np.int32))
+            yield pa.RecordBatch.from_arrays([part.column("media_id"), pa.array(keys, pa.binary()), pa.array(places, pa.list_(pa.float32())), pa.array(codes, pa.list_(pa.int32()))], schema=_ROWS)
+
+
+def matches(pa_: np.ndarray, ca: np.ndarray, pb: np.ndarray, cb: np.ndarray) -> int:
+    """Keypoints of two images (places of 4 numbers, codes of TABLES words) whose descriptors and geometry agree."""
+    a, b = np.asarray(ca, np.int32).view(np.uint32).reshape(-1, TABLES), np.asarray(cb, np.int32).view(np.uint32).reshape(-1, TABLES)
+    bits = np.bitwise_count(a[:, None] ^ b[None]).sum(2)
+    i, j = np.nonzero((bits <= NEAR) & (bits == bits.min(1, keepdims=True)))
+    x, y = np.asarray(pa_, np.float64).reshape(-1, 4), np.asarray(pb, np.float64).reshape(-1, 4)
+    return consensus(np.hstack([x[i], y[j]]))
 
 
 def consensus(pairs: np.ndarray) -> int:
@@ -184,31 +195,33 @@ def copies(media: DataFrame) -> DataFrame:
     pixels. Images of equal pixels are one class without links. Null, empty and unreadable contents have no points and
     are in a class of their own; a null media_id is in no class (null). No rows give no rows.
     """
-    base = save(media.select(F.col("media_id").cast("long").alias("media_id"), "content").mapInArrow(_describe, "media_id long, key binary, points array<struct<x:float,y:float,s:float,t:float,words:array<long>>>"))
+    base = save(media.select(F.col("media_id").cast("long").alias("media_id"), "content").mapInArrow(_describe, "media_id long, key binary, places array<float>, codes array<int>"))
     live = base.where("media_id is not null and key is not null")
-    reps = save(live.groupBy("key").agg(F.min_by(F.struct("media_id", "points"), "media_id").alias("r")).select("key", F.col("r.media_id").alias("rep"), "r.points"))
-    same = live.select("media_id", "key").join(reps.select("key", "rep"), "key")
-    point = reps.select("rep", F.explode("points").alias("p"))
-    word = point.select("rep", F.struct("p.x", "p.y", "p.s", "p.t").alias("p"), F.explode("p.words").alias("word"))
-    # One keypoint an image and word, then only words of several images.
-    once = save(word.groupBy("word", "rep").agg(F.min("p").alias("p")))
-    many = save(once.groupBy("word").agg(F.min(F.struct("rep", "p")).alias("first"), F.count("*").alias("n")).where("n > 1").select("word", "first"))
-    met = once.join(many, "word")
-    # The next smaller image of a bucket is sought within 64 lots of it, so no task holds a whole bucket.
+    reps = save(live.groupBy("key").agg(F.min("media_id").alias("rep")))
+    same = live.select("media_id", "key").join(reps, "key").select("media_id", "rep")
+    own = save(same.where("media_id = rep").select("rep").distinct())
+    points = live.select(F.col("media_id").alias("rep"), "places", "codes").join(own, "rep", "left_semi")
+    code = lambda v, i: F.shiftleft(F.pmod(i, F.lit(TABLES)).cast("long"), 32) + F.pmod(v.cast("long"), F.lit(1 << 32))
+    word = points.select("rep", F.explode(F.array_distinct(F.transform("codes", code))).alias("word"))
+    many = save(word.groupBy("word").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("n")).where("first < last").select("word", "first", "n"))
+    met = word.join(many, "word").where("rep <> first")
+    # The next smaller image of a bucket is sought within one of 64 lots of it, so no task holds a whole bucket.
     near = Window.partitionBy("word", F.pmod(F.hash("rep"), F.lit(64))).orderBy("rep")
-    chained = met.withColumn("before", F.lag(F.struct("rep", "p")).over(near))
-    pair = chained.select(F.col("rep").alias("b"), F.col("p").alias("pb"), F.explode(F.array_distinct(F.array_compact(F.array("first", "before")))).alias("o")).where("o.rep <> b")
-    grouped = pair.select(F.col("o.rep").alias("a"), "b", F.col("o.p").alias("pa"), "pb").groupBy("a", "b").agg(F.collect_set(F.struct("pa", "pb")).alias("points")).where(F.size("points") >= INLIERS)
+    before = met.where("n > 2").select("rep", F.lag("rep").over(near).alias("first")).where("first < rep")
+    pairs = met.select("rep", "first").unionByName(before).groupBy(F.col("first").alias("a"), F.col("rep").alias("b")).count().where(F.col("count") >= INLIERS).select("a", "b")
+    at = lambda x: points.select(F.col("rep").alias(x), F.col("places").alias(f"places_{x}"), F.col("codes").alias(f"codes_{x}"))
+    both = save(pairs).join(at("a"), "a").join(at("b"), "b")
 
     @F.pandas_udf("long")
-    def inliers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([consensus(np.array([[*q["pa"].values(), *q["pb"].values()] for q in points], np.float64)) for points in s], dtype="int64")
+    def agreeing(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            yield pd.Series([matches(*x) for x in zip(*columns, strict=True)], dtype="int64")
 
-    links = save(grouped.withColumn("n", inliers("points")).where(F.col("n") >= INLIERS).select("a", "b"))
+    n = agreeing("places_a", "codes_a", "places_b", "codes_b")
+    links = save(both.select("a", "b", n.alias("n")).where(F.col("n") >= INLIERS).select("a", "b").distinct())
     found = components(links.unionByName(same.where("media_id <> rep").select(F.col("media_id").alias("a"), F.col("rep").alias("b")))).select(F.col("node").alias("media_id"), F.col("component").alias("least"))
-    degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").count().select(F.col("a").alias("rep"), F.col("count").alias("n"))
-    linked = save(same.join(degree, "rep").select("media_id", "n").distinct())
-    drop(once, many)
-    out = base.select("media_id", F.size("points").alias("n_points")).join(found, "media_id", "left").join(linked, "media_id", "left")
+    degree = save(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").count().select(F.col("a").alias("rep"), F.col("count").alias("n")))
+    linked = save(same.join(degree, "rep").groupBy("media_id").agg(F.max("n").alias("n")))
+    drop(many)
+    out = base.select("media_id", F.floor(F.size("places") / 4).cast("int").alias("n_points")).join(found, "media_id", "left").join(linked, "media_id", "left")
     return out.select("media_id", F.coalesce("least", "media_id").alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), "n_points")
