@@ -15,12 +15,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import gram_hashes, word_bytes
+from .common import gram_hashes, save, word_bytes
 
 WORDS = 1 << 17
-CELLS = 1 << 20
+CELLS = 1 << 21
 BIGRAM_SHARE = 0.7
 PSEUDO = 0.5
+#: Target ids that may be broadcast, under 64 MB; with more, texts and ids are shuffled by doc_id.
+BROADCAST_IDS = 2_000_000
 
 
 def _cells(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +78,9 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    marked = texts.join(ids, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    ids = save(ids)
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    marked = texts.join(side, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     cells = marked.mapInArrow(_count, "cell int, background long, target long").groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
     got = cells.toArrow()  # WORDS + CELLS rows of 20 bytes at most
     tables = np.zeros((2, WORDS + CELLS), np.int64)
