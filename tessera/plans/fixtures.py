@@ -1,0 +1,75 @@
+"""Report-shaped tables made of the test tables by SQL that Spark and other engines read alike."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+REPORTS = """
+select o.o_orderkey as doc_id, c.c_name as company, n.n_name as country, cast(year(o.o_orderdate) as int) as report_year,
+  concat('In this period we measured our own results with care. Our gross Scope 1 emissions were ', cast(o.o_orderkey % 900 + 100 as string), ',', lpad(cast(o.o_custkey % 1000 as string), 3, '0'), ' tCO2e in ', cast(year(o.o_orderdate) as string), '. ',
+    case when o.o_orderkey % 3 = 0 then 'The baseline year 2019 had a higher energy use, and we target a 42 % reduction of carbon by 2030. ' else '' end,
+    case when o.o_orderkey % 4 = 1 then concat('Training reached ', cast(o.o_custkey % 5000 as string), ' employees and workers with health and safety education. ') else '' end,
+    case when o.o_orderkey % 5 < 2 then 'The board and its directors approved the audit policy on ethics, compliance and anti-corruption. ' else '' end,
+    case when o.o_orderkey % 7 = 2 then 'Onboarding of cardboard, sewage and windows counts for nothing here. E1-6 Gross Scope 1, 2, 3 and total GHG emissions 87' else 'Costs were EUR 1.2 million for solar and wind power.' end) as text
+from {orders} o join {customer} c on o.o_custkey = c.c_custkey join {nation} n on c.c_nationkey = n.n_nationkey
+"""
+INDEX = """
+select cast(o.o_orderkey as string) as id, o.o_orderkey as ordinal, case when o.o_orderkey % 11 = 0 then '' else concat(c.c_name, ' & Co. S.A.') end as name, case when o.o_orderkey % 4 = 0 then '' else concat('XS', cast(c.c_custkey as string)) end as isin,
+  n.n_name as country, case when o.o_orderkey % 13 = 0 then 'nan' else concat(cast(year(o.o_orderdate) as string), '.0') end as year_text, o.o_orderpriority as kind,
+  concat(case when o.o_orderkey % 5 = 0 then 'hhttps://' when o.o_orderkey % 5 = 1 then '//' when o.o_orderkey % 5 = 2 then '' else 'https://' end, case when o.o_orderkey % 17 = 3 then 'nodot' else 'files.example.com' end, '/r/', cast(o.o_custkey as string), ' a.pdf') as link,
+  case when o.o_orderkey % 3 = 0 then cast(null as string) else cast(o.o_orderkey % 3 * 10 as string) end as s, case when o.o_orderkey % 3 = 0 then cast(null as string) else cast(o.o_orderkey % 3 * 20 as string) end as e
+from {orders} o join {customer} c on o.o_custkey = c.c_custkey join {nation} n on c.c_nationkey = n.n_nationkey
+"""
+DOWNLOADS = """
+select cast(o_orderkey as string) as stem, case when o_orderstatus = 'F' then 'success' when o_orderstatus = 'O' then 'http_403' else 'success:referer' end as download_status, cast(floor(o_totalprice) as bigint) as pdf_bytes, o_orderkey as ordinal, concat('u', cast(o_custkey as string)) as url
+from {orders} where o_orderkey % 4 <> 3
+"""
+EXTRACTIONS = """
+select cast(l_orderkey as string) as stem, case when min(l_linestatus) = 'F' then 'success' else 'error' end as extraction_status, case when l_orderkey % 3 = 0 then 'de' else 'en' end as language, cast(count(*) as int) as pdf_pages, cast(count(*) as int) as pages_extracted, cast(floor(sum(l_quantity)) as bigint) as word_count, cast(count(distinct l_returnflag) as int) as tables_found, 't' as text_file, '' as table_file
+from {lineitem} group by l_orderkey
+"""
+URLS = """
+select page_id, case when page_id % 5 = 0 then concat('h', url) when page_id % 5 = 1 then replace(replace(url, 'https:', ''), 'http:', '') when page_id % 5 = 2 then replace(replace(url, 'https://', ''), 'http://', '') when page_id % 5 = 3 then concat(' ', url, '/a b ') else url end as url
+from {pages}
+"""
+LANDING = """
+select page_id, url, concat(html, '<a href="/files/a', cast(page_id as string), '.pdf">x</a><iframe src="https://cdn.example.com/annual-', cast(page_id % 7 as string), '.pdf?v=1"></iframe><a href="mailto:x.pdf">m</a><a href="https://cdn.example.com/media/', cast(page_id as string), '/download">d</a>') as html
+from {pages}
+"""
+ATTEMPTS = """
+select concat('s', cast(user_id as string)) as stem, cast(event_id as int) as attempt_no, case when event_id % 4 = 0 then 'plain' when event_id % 4 = 1 then 'referer' else 'browser' end as strategy,
+  case when event_id % 6 = 0 then 200 when event_id % 6 < 3 then 403 else 404 end as http_status, case when event_id % 10 = 1 then 'cloudflare' else 'nginx' end as server, case when event_id % 8 = 1 then 'Just a moment' when event_id % 8 = 2 then 'Access Denied' else 'sorry' end as body_sample, case when event_id % 9 = 4 then 'timeout' else cast(null as string) end as error_class
+from {events}
+"""
+DAMAGED = """
+select event_id, props as whole, case when event_id % 5 = 0 then props when event_id % 5 = 1 then replace(props, '}}', ',}}') when event_id % 5 = 2 then replace(props, '}}', '') when event_id % 5 = 3 then concat('Here is the result: ', props, ' as asked') else concat('```json ', props, ' ```') end as raw
+from {events} where props is not null
+"""
+SIMS = """
+select concat('r', cast(l_suppkey % 40 as string)) as stem, concat('E', cast(l_partkey % 5 + 1 as string), '-', cast(l_linenumber as string)) as dr_code, cast(l_orderkey % 60 as int) as sentence_idx, cast(max(floor(l_extendedprice) % 1000) as double) / 1000 as sim
+from {lineitem} group by 1, 2, 3
+"""
+ENTAILMENT = """
+select concat('r', cast(l_suppkey % 40 as string)) as stem, concat('E', cast(l_partkey % 5 + 1 as string), '-', cast(l_linenumber as string)) as dr_code, cast(l_orderkey % 60 as int) as sentence_idx, cast(max(floor(l_extendedprice * 3) % 100) as double) / 100 as score
+from {lineitem} group by 1, 2, 3
+"""
+DISCLOSURES = """
+select concat('r', cast(l_suppkey % 50 as string)) as stem, case when l_linenumber < 5 then concat('E', cast(l_linenumber as string)) else cast(null as string) end as standard, case when l_partkey % 6 = 0 then concat('GOV-', cast(l_partkey % 5 + 1 as string)) when l_partkey % 6 = 1 then concat('S', cast(l_linenumber % 4 + 1 as string), '-1') else concat('E', cast(l_linenumber % 5 + 1 as string), '-', cast(l_partkey % 6 as string)) end as dr_code,
+  case when l_returnflag = 'A' then 'reported' when l_returnflag = 'N' then 'material_not_reported' when l_partkey % 3 = 0 then 'phase_in_deferred' else 'not_addressed' end as status, case when l_orderkey % 9 = 0 then cast(null as double) else cast(floor(l_discount * 100) as double) / 100 end as confidence, cast(l_orderkey as int) as chunk_no, cast(l_linenumber as int) as pos, cast(l_partkey % 3 as int) as n_datapoints, case when l_partkey % 2 = 0 then 'flag_a' else 'flag_b' end as flag
+from {lineitem}
+"""
+
+
+def names(sql: str) -> list[str]:
+    return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", sql)))
+
+
+def plain(sql: str) -> str:
+    """The SQL over the tables' own names."""
+    return sql.format(**{n: n for n in names(sql)}).strip()
+
+
+def table(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names(sql)})
