@@ -10,13 +10,19 @@ Each round is a written table: a lost executor repeats its own tasks only, and n
 
 from __future__ import annotations
 
+import base64
+import functools
+import pathlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 from .common import drop, save
 
@@ -38,16 +44,12 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        import base64
-        import pathlib
-
-        import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        self.exact = Tokenizer.from_file(path)
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, pathlib.Path(path).with_suffix(".tiktoken").read_bytes().splitlines())}
-        self.fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.path, self.fast = path, tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @functools.cached_property
+    def exact(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
     def __call__(self, text: str) -> np.ndarray:
         if "<|endoftext|>" not in text and len(text) < 1_000_000:
@@ -58,6 +60,12 @@ class Encoder:
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4")
 
 
+@functools.lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """One a Python worker, which serves many tasks."""
+    return Encoder(path)
+
+
 def pieces(doc_id: int | None, ids: np.ndarray, capacity: int = CAPACITY) -> list[tuple]:
     """(doc_id, piece, start, length, ids_crc32) of a document's ids: whole, or cut so that only the first may be short."""
     first = len(ids) % capacity or capacity
@@ -104,7 +112,7 @@ def _emit(groups: list[list[tuple]], level: int, last: bool, n: int, capacity: i
 
 def _local(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, held, n = Encoder(path), [], 0
+        encode, held, n = encoder(path), [], 0
         tail = np.array([end_id], "<u4")
 
         def pack():
@@ -147,7 +155,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPAC
     while True:
         level, tasks = level + 1, -(-tasks // FAN_IN)
         rest = rounds[-1].where("not done").select("sequence_id", "items")
-        lot = F.shiftright(F.col("sequence_id"), 32).bitwiseAND(0xFFFFFF) if level == 1 else F.shiftright(F.col("sequence_id"), 32).bitwiseAND(0xFFFFFF)
+        lot = F.shiftright(F.col("sequence_id"), 32).bitwiseAND(0xFFFFFF)
         rounds.append(save(rest.repartitionByRange(tasks, lot, "sequence_id").mapInArrow(_merge(level, tasks == 1, capacity), _BIN)))
         if tasks == 1:
             break

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .packing import Encoder
+from .packing import encoder
 
 KEY = ["source", "lang", "tokenizer"]
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -25,7 +25,7 @@ def counted(docs: DataFrame, path: str, tokenizer: str, *keep: str) -> DataFrame
 
     @F.pandas_udf("long")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = Encoder(path)
+        encode = encoder(path)
         for texts in batches:
             yield pd.Series([len(encode(t)) if t else 0 for t in texts], dtype="int64")
 
