@@ -21,7 +21,7 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """stem, text of whole files."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return spark.read.option("wholetext", True).text(path).select(F.url_decode(F.regexp_replace(name, r"\.[^.]+$", "")).alias("stem"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.url_decode(F.regexp_replace(name, r"\.[^.]+$", "")).alias("stem"), F.col("value").alias("text"))
 
 
 def taxonomy(lines: DataFrame) -> DataFrame:
