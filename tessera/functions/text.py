@@ -88,11 +88,17 @@ def language_sample(text: Column) -> Column:
 def language(text: Column, least_words: int = 40, least_share: float = 0.04) -> Column:
     """The language whose function words are the largest share of the sample's words; unknown where there is too little."""
     words = F.regexp_extract_all(F.lower(language_sample(text)), F.lit(r"[\p{L}\p{Nl}\p{No}]+"), 0)
-    share = lambda known: F.size(F.filter(words, lambda w: w.isin(*known.split()))) / F.size(words)
-    scored = [F.struct(share(w).alias("share"), F.lit(-i).alias("rank"), F.lit(k).alias("lang")) for i, (k, w) in enumerate(L.LANGUAGE_WORDS.items())]
-    best = F.array_max(F.array(*scored))
-    enough = text.isNotNull() & (F.size(words) >= least_words)
-    return F.when(enough & (best["share"] >= least_share), best["lang"]).otherwise("unknown")
+    every = sorted({w for known in L.LANGUAGE_WORDS.values() for w in known.split()})
+    some = F.filter(words, lambda w: w.isin(*every))
+
+    def best(found: Column) -> Column:
+        scored = [F.struct(F.size(F.filter(found["some"], lambda w: w.isin(*known.split()))).alias("n"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang")) for i, (lang, known) in enumerate(L.LANGUAGE_WORDS.items())]
+        top = F.array_max(F.array(*scored))
+        return F.when((found["n"] >= least_words) & (top["n"] / found["n"] >= least_share), top["lang"]).otherwise("unknown")
+
+    # As the only element of an array, what best() uses several times is computed once.
+    once = F.array(F.struct(F.size(words).alias("n"), some.alias("some")))
+    return F.when(text.isNotNull(), F.get(F.transform(once, best), F.lit(0))).otherwise("unknown")
 
 
 def is_index_row(s: Column) -> Column:

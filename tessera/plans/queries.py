@@ -26,6 +26,21 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a table of fewer files than cores, dealt out to all cores for expensive expressions; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return _spread(_t(spark, sf, "documents"))
+
+
+def _reports(spark: SparkSession, sf: str) -> DataFrame:
+    orders, *rest = (_t(spark, sf, n) for n in ("orders", "customer", "nation"))
+    return spark.sql(Z.REPORTS, orders=_spread(orders), customer=rest[0], nation=rest[1])
+
+
 def _quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
@@ -46,23 +61,23 @@ scored as (select doc_id, company, country, report_year, text, environment, soci
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return K.scores(Z.table(spark, sf, Z.REPORTS))
+    return K.scores(_reports(spark, sf))
 
 
 @query(f"with {_TOKENS} select word, cast(sum(n) as bigint) as n from top group by word")
 def top_keywords(spark, sf):
     """Sums of each English document's twenty most frequent words."""
-    return K.corpus_keywords(_t(spark, sf, "documents").where("lang = 'en'"), n=None)
+    return K.corpus_keywords(_documents(spark, sf).where("lang = 'en'"), n=None)
 
 
 @query(f"with {_TOKENS} select word, cast(sum(n) as bigint) as n from top group by word order by n desc, word limit 15")
 def chart_keywords(spark, sf):
-    return K.corpus_keywords(_t(spark, sf, "documents").where("lang = 'en'"))
+    return K.corpus_keywords(_documents(spark, sf).where("lang = 'en'"))
 
 
 @query(f"with {_TOKENS} select doc_id, word, n, cast(rank as int) as rank from top")
 def document_keywords(spark, sf):
-    return K.document_keywords(_t(spark, sf, "documents").where("lang = 'en'"))
+    return K.document_keywords(_documents(spark, sf).where("lang = 'en'"))
 
 
 @query(f"with {_SCORED} select doc_id, {_count('text', '[^ ]+')} as word_count, environment, social, governance, environment_density, social_density, governance_density, dominant_pillar from scored")
@@ -98,7 +113,7 @@ _SENTENCES = "unnest(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || c
 @query(f"""with rep as ({_REPORTS}), s as (select doc_id, trim({_SENTENCES}) as sentence from rep), e as ({' union all '.join(f"select doc_id, '{p}' as pillar, {_count('sentence', L.keyword_pattern(w))} as hits, sentence from s where length(sentence) >= 30" for p, w in L.THEMES.items())})
 select doc_id, pillar, hits, sentence, cast(row_number() over (partition by doc_id, pillar order by hits desc, sentence desc) as int) as rank from e where hits > 0 qualify rank <= 3""")
 def key_sentences(spark, sf):
-    return K.key_sentences(Z.table(spark, sf, Z.REPORTS))
+    return K.key_sentences(_reports(spark, sf))
 
 
 _FOUND = [f"regexp_extract_all(text, '(?i){p}')" for p in L.METRICS]
@@ -106,7 +121,7 @@ _FOUND = [f"regexp_extract_all(text, '(?i){p}')" for p in L.METRICS]
 
 @query(f"with rep as ({_REPORTS}), m as (select doc_id, {' || '.join(_FOUND)} as found from rep), f as (select doc_id, unnest(found) as snippet, generate_subscripts(found, 1) as pos from m) select doc_id, trim(snippet) as snippet, cast(row_number() over (partition by doc_id order by min(pos)) - 1 as int) as pos from f group by doc_id, trim(snippet)")
 def metric_snippets(spark, sf):
-    return Z.table(spark, sf, Z.REPORTS).select("doc_id", F.posexplode(X.metrics(F.col("text"))).alias("pos", "snippet"))
+    return _reports(spark, sf).select("doc_id", F.posexplode(X.metrics(F.col("text"))).alias("pos", "snippet"))
 
 
 _SAMPLE = "case when length(text) > 12000 then substr(text, 1, 4000) || chr(10) || substr(text, cast(floor(length(text) / 2.0) as bigint) + 1, 4000) || chr(10) || substr(text, length(text) - 3999, 4000) else substr(text, 1, 4000) end"
@@ -118,7 +133,7 @@ _SAMPLE = "case when length(text) > 12000 then substr(text, 1, 4000) || chr(10)
     + "), b as (select *, row_number() over (partition by doc_id order by share desc, i) as r from s) select lang, case when n >= 40 and share >= 0.04 then detected else 'unknown' end as detected, count(*) as n from b where r = 1 group by 1, 2"
 )
 def language_profile(spark, sf):
-    return _t(spark, sf, "documents").select("lang", X.language(F.col("text")).alias("detected")).groupBy("lang", "detected").agg(F.count("*").alias("n"))
+    return _documents(spark, sf).select("lang", X.language(F.col("text")).alias("detected")).groupBy("lang", "detected").agg(F.count("*").alias("n"))
 
 
 @query("select doc_id, cast(len(regexp_extract_all(text, '[^\\s\\x0B\\x{85}\\x{A0}]+')) as bigint) as word_count, cast(0 as bigint) as pages, length(regexp_replace(trim(regexp_replace(regexp_replace(translate(text, chr(12) || chr(13), chr(10) || chr(10)), '\\n{3,}', chr(10) || chr(10), 'g'), '[ \\t]{2,}', ' ', 'g'), ' ' || chr(9) || chr(10)), '', '')) as clean_length from documents")
@@ -356,20 +371,20 @@ _NUMBER = "'(?i)emissions were (\\d+),(\\d+) '"
 
 @query(f"with rep as ({_REPORTS}) select doc_id, cast(regexp_extract(text, {_NUMBER}, 1) || regexp_extract(text, {_NUMBER}, 2) as double) as value, 'tCO2e' as unit, true as plausible, try_cast(nullif(regexp_extract(text, '(?i)baseline[^.]{{0,40}}?((?:19|20)\\d\\d)', 1), '') as int) as baseline_year, try_cast(nullif(regexp_extract(text, '(?i)(?:target|by)[^.]{{0,40}}?((?:19|20)\\d\\d)', 1), '') as int) as target_year from rep")
 def parse_values(spark, sf):
-    df = Z.table(spark, sf, Z.REPORTS).withColumn("span", F.regexp_extract("text", r"emissions were ([\d,]+ tCO2e)", 1))
+    df = _reports(spark, sf).withColumn("span", F.regexp_extract("text", r"emissions were ([\d,]+ tCO2e)", 1))
     df = df.withColumn("v", X.value_and_unit(F.col("span")))
     return df.select("doc_id", "v.value", "v.unit", X.plausible(F.col("v.value"), F.col("v.unit"), F.col("span")).alias("plausible"), X.year_after(F.col("text"), "baseline").alias("baseline_year"), X.year_after(F.col("text"), "target|by").alias("target_year"))
 
 
 @query(f"with rep as ({_REPORTS}), s as (select doc_id, trim({_SENTENCES}) as sentence from rep) select count(*) as sentences, count(*) filter (sentence like 'E1-6 Gross%') as index_rows from s where length(sentence) >= 30")
 def index_rows(spark, sf):
-    s = Z.table(spark, sf, Z.REPORTS).select(F.explode(X.sentences(F.col("text"), 30)).alias("s"))
+    s = _reports(spark, sf).select(F.explode(X.sentences(F.col("text"), 30)).alias("s"))
     return s.agg(F.count("*").alias("sentences"), F.count_if(X.is_index_row(F.col("s"))).alias("index_rows"))
 
 
 @query(f"with s as (select doc_id, list_filter(list_transform(string_split(regexp_replace(trim(regexp_replace(text, '\\s+', ' ', 'g')), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: substr(trim(x), 1, 800)), lambda x: length(x) >= 30) as l from documents), i as (select doc_id, l, unnest(range(least(len(l), 10))) as i from s) select doc_id, cast(i as int) as pos, case when len(l) > 10 then l[cast(floor(i * len(l) / 10.0) as bigint) + 1] else l[i + 1] end as sentence from i")
 def even_subsample(spark, sf):
-    return _t(spark, sf, "documents").select("doc_id", F.posexplode(X.plain_sentences(F.col("text"), cap=10)).alias("pos", "sentence"))
+    return _documents(spark, sf).select("doc_id", F.posexplode(X.plain_sentences(F.col("text"), cap=10)).alias("pos", "sentence"))
 
 
 @query("select l_orderkey, greatest(1, least(case when l_linenumber % 3 = 0 then 1 else l_linenumber * 5 end, 20)) as page_start, greatest(greatest(1, least(case when l_linenumber % 3 = 0 then 1 else l_linenumber * 5 end, 20)), least(case when l_quantity < 10 then 20 else cast(floor(l_quantity) as int) end, 20)) as page_end, l_linenumber from lineitem")
