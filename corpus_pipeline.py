@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import decontaminate, near_dedup, packing, quality, secrets
-from tessera.llm.common import save
+from tessera.llm.common import long_texts, save
 from tessera.llm.queries import TOKENIZER
 
 #: Stages on word shingles take five words and a similarity of 0.8 or more.
@@ -15,22 +15,26 @@ ORACLE_SQL = None
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    long_texts(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays; rows without doc_id stay."""
+    long_texts(spark)
     gone = near_dedup.near_duplicates(docs, SHINGLE, PERCENT).where("not kept").select("doc_id").distinct()
     return docs.join(save(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    long_texts(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark in the text; n_chars follows. All documents stay."""
+    long_texts(spark)
     text = secrets.redact(F.col("text").cast("string"))
     out = docs.withColumn("text", text)
     if "n_chars" in docs.columns:
@@ -40,6 +44,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of at most 1024 tokens."""
+    long_texts(spark)
     return packing.pack(docs, TOKENIZER)
 
 

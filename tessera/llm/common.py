@@ -12,6 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 _OWN: list[str] = []
 
 
+def long_texts(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows, unless the session has its own size: a batch of texts is in memory several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -11,12 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, html_text, lm_score, media, near_dedup, packing, pii, quality, rollup, secrets
-from .common import save, scratch_root
+from .common import long_texts, save, scratch_root
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    long_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
