@@ -7,6 +7,7 @@ identifiers nor the surroundings explain it, and it is reported.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that have 24 or more
 _CONTEXT = re.compile(r"passw|passphrase|secret|token|credential|bearer|api.?key|private.?key|access.?key|authoriz|signature|\bpwd\b|\bkey\b", re.I | re.A)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_REST = re.compile(r"[A-Za-z0-9+/_=-]*")
 REACH = 64
 AROUND = 512
 NOVELTY = 0.8
@@ -46,6 +48,18 @@ def _novel(text: str, start: int, end: int) -> bool:
     return len(pack.compress(word.encode())) - len(pack.compress(b"")) >= NOVELTY * len(word)
 
 
+def _united(found: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, apart and in order."""
+    starts, ends = [], []
+    for a, b in sorted((a, b) for _, a, b in found):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then by KINDS; ends are exclusive, in code points."""
     text = text or ""
@@ -55,14 +69,18 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
-    taken = sorted((a, b) for _, a, b in found)
-    seen = set()
+    starts, ends = _united(found)
+    seen, run = set(), (0, 0)
     for word in _CONTEXT.finditer(text):
         for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH)):
-            start, end = m.start(), m.end()
-            while end < len(text) and _CANDIDATE.fullmatch(text, start, end + 1):
-                end += 1
-            if start not in seen and not any(a < end and start < b for a, b in taken):
+            start, end = m.span()
+            # A run that goes on beyond a word's reach is walked once, however many words lie in it.
+            if run[0] <= start and end <= run[1]:
+                end = run[1]
+            elif (rest := _REST.match(text, end).end()) > end:
+                run, end = (start, rest), rest
+            before = bisect.bisect_left(starts, end) - 1
+            if start not in seen and not (before >= 0 and start < ends[before]):
                 seen.add(start)
                 if _novel(text, start, end):
                     found.append(("novel", start, end))

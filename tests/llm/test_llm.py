@@ -214,6 +214,15 @@ def test_base_spans(parts):
     assert secrets.spans(secrets.redacted(text, found)) == [] or found
 
 
+def test_runs_beyond_a_words_reach():
+    blob = "".join(f"{i * 7919 % 9973:04d}Qz" for i in range(50_000))  # 300,000 characters, walked once
+    text = f"token {blob}token{blob} bearer x secret Zq8xV3nLw0Rk5TtYb7Uj2Hs9 password=abc123"
+    long, short, base = (len("token "), len("token ") + 2 * len(blob) + 5), text.index("Zq8x"), text.index("password")
+    found = secrets.spans(text)
+    assert {e for k, a, e in found if k == "novel" and a < long[1]} <= {long[1]} and ("novel", short, short + 24) in found and ("assign", base, len(text)) in found
+    assert secrets._united([("a", 5, 9), ("b", 0, 3), ("a", 3, 4), ("b", 6, 12)]) == ([0, 5], [4, 12])
+
+
 def test_novel_spans_and_rows(spark):
     random_key = "the private key is Zq8xV3nLw0Rk5TtYb7Uj2Hs9 for now"
     assert [s[0] for s in secrets.spans(random_key)] == ["novel"]
