@@ -1,9 +1,9 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
 A seed hashes the words of a window at the positions that a fixed mask marks; the others are ignored, so a substituted
-word there does not matter. Benchmark items are hashed at every position, documents at every STEP-th, under each mask: a
-run of equal words one longer than a mask is always met. Equal hashes name a document, an item and the offset between them. Around each such offset the item is laid on the
-document and the equal words are counted, which tolerates substitutions at any place.
+word there does not matter. Benchmark items and documents are hashed at every position under each mask. Equal hashes name
+a document, an item and the offset between them. Around each such offset the item is laid on the document and the equal
+words are counted, which tolerates substitutions at any place.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import drop, save
 
 MASKS = ("1101011", "1100100101")
-STEP = 2
 WINDOW = 13
 SHARE = 0.8
 #: Seeds of the benchmark that may be broadcast, about 40 bytes each; with more, both sides are shuffled by the hash.
@@ -25,21 +24,21 @@ def words(text: Column) -> Column:
     return F.split(F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r")), "[\\x20\\x09-\\x0D]+")
 
 
-def _count(words: Column, mask: str, step: int) -> Column:
-    return F.greatest(F.floor((F.size(words) - len(mask)) / step) + 1, F.lit(0)).cast("int")
+def _count(words: Column, mask: str) -> Column:
+    return F.greatest(F.size(words) - len(mask) + 1, F.lit(0))
 
 
-def _seeds(words: Column, mask: str, step: int) -> Column:
+def _seeds(words: Column, mask: str) -> Column:
     marked = [i for i, c in enumerate(mask) if c == "1"]
-    starts = F.when(F.size(words) >= len(mask), F.sequence(F.lit(0), F.size(words) - len(mask), F.lit(step))).otherwise(F.array().cast("array<int>"))
+    starts = F.when(F.size(words) >= len(mask), F.sequence(F.lit(0), F.size(words) - len(mask))).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.xxhash64(F.lit(mask), *[words[i + j] for j in marked]))
 
 
-def seeded(tokens: DataFrame, key: str, step: int) -> DataFrame:
-    """key, at, seed for each mask and each step-th position of tokens.words."""
-    seeds = F.concat(*[_seeds(F.col("words"), m, step) for m in MASKS])
-    flat = tokens.select(key, _count(F.col("words"), MASKS[0], step).alias("n"), F.posexplode(seeds).alias("pos", "seed"))
-    return flat.select(key, (step * F.when(F.col("pos") < F.col("n"), F.col("pos")).otherwise(F.col("pos") - F.col("n"))).alias("at"), "seed")
+def seeded(tokens: DataFrame, key: str) -> DataFrame:
+    """key, at, seed for each mask and each position of tokens.words."""
+    seeds = F.concat(*[_seeds(F.col("words"), m) for m in MASKS])
+    flat = tokens.select(key, _count(F.col("words"), MASKS[0]).alias("n"), F.posexplode(seeds).alias("pos", "seed"))
+    return flat.select(key, F.when(F.col("pos") < F.col("n"), F.col("pos")).otherwise(F.col("pos") - F.col("n")).alias("at"), "seed")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -54,10 +53,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = benchmark.where("item_id is not null and text is not null").select("item_id", words(F.col("text")).alias("words"))
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    known = save(seeded(items, "item_id", 1).select("seed", "item_id", F.col("at").alias("from")).distinct())
+    known = save(seeded(items, "item_id").select("seed", "item_id", F.col("at").alias("from")).distinct())
     side = F.broadcast(known) if known.count() <= BROADCAST_SEEDS else known
     offset = (F.col("at") - F.col("from")).alias("offset")
-    hits = save(seeded(texts.select("doc_id", words(F.col("text")).alias("words")), "doc_id", STEP).join(side, "seed").select("doc_id", "item_id", offset).distinct())
+    hits = save(seeded(texts.select("doc_id", words(F.col("text")).alias("words")), "doc_id").join(side, "seed").select("doc_id", "item_id", offset).distinct())
     pairs = hits.join(texts, "doc_id").select("doc_id", "item_id", "offset", words(F.col("text")).alias("words")).join(items.withColumnRenamed("words", "item"), "item_id")
     equal = F.transform("item", lambda w, i: F.when(F.coalesce(F.when(i + F.col("offset") >= 0, F.get("words", i + F.col("offset"))) == w, F.lit(False)), 1).otherwise(0))
     laid = pairs.select("doc_id", "item_id", F.col("offset").alias("at"), equal.alias("equal"), F.greatest(F.lit(0), F.least(F.size("item"), F.size("words") - F.col("offset")) - F.greatest(F.lit(0), -F.col("offset"))).alias("compared"))

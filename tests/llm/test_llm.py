@@ -318,6 +318,16 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(docs(spark, []), items_df).count() == 0
 
 
+@pytest.mark.parametrize("at", [0, 1, 2, 5])
+def test_decontamination_meets_one_window_at_any_position(spark, at):
+    item = "alpha bravo charlie delta echo foxtrot golf"  # as long as the shortest mask: one window
+    text = " ".join(f"w{i}" for i in range(at)) + " " + item + " tail of the text"
+    broken = text.replace("charlie", "other")  # a position that the mask ignores
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontaminate.overlaps(docs(spark, [(1, text), (2, broken), (3, text.replace("golf", "x").replace("alpha", "y"))]), items).collect()
+    assert {(r.doc_id, r["at"], r.matched) for r in got} == {(1, at, 7), (2, at, 6)}
+
+
 def test_decontamination_plan_has_no_python(spark):
     plan = queries.op7_decontaminate(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
