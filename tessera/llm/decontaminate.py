@@ -24,21 +24,21 @@ def words(text: Column) -> Column:
     return F.split(F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r")), "[\\x20\\x09-\\x0D]+")
 
 
-def _count(words: Column, mask: str) -> Column:
-    return F.greatest(F.size(words) - len(mask) + 1, F.lit(0))
-
-
-def _seeds(words: Column, mask: str) -> Column:
-    marked = [i for i, c in enumerate(mask) if c == "1"]
-    starts = F.when(F.size(words) >= len(mask), F.sequence(F.lit(0), F.size(words) - len(mask))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.lit(mask), *[words[i + j] for j in marked]))
+def _seed(mask: str, shortest: int) -> Column:
+    """The seed of a mask at words[at]; null where the mask reaches beyond the last word."""
+    seed = F.xxhash64(F.lit(mask), *[F.get("words", F.col("at") + i) for i, c in enumerate(mask) if c == "1"])
+    return seed if len(mask) == shortest else F.when(F.col("at") <= F.size("words") - len(mask), seed)
 
 
 def seeded(tokens: DataFrame, key: str) -> DataFrame:
-    """key, at, seed for each mask and each position of tokens.words."""
-    seeds = F.concat(*[_seeds(F.col("words"), m) for m in MASKS])
-    flat = tokens.select(key, _count(F.col("words"), MASKS[0]).alias("n"), F.posexplode(seeds).alias("pos", "seed"))
-    return flat.select(key, F.when(F.col("pos") < F.col("n"), F.col("pos")).otherwise(F.col("pos") - F.col("n")).alias("at"), "seed")
+    """key, at, seed for each mask and each position of tokens.words.
+
+    Positions are exploded first, so that hashing is compiled and no array of seeds is held.
+    """
+    shortest = min(map(len, MASKS))
+    starts = F.when(F.size("words") >= shortest, F.sequence(F.lit(0), F.size("words") - shortest))
+    placed = tokens.select(key, "words", F.explode(starts).alias("at"))
+    return placed.select(key, "at", F.explode(F.array(*[_seed(m, shortest) for m in MASKS])).alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
