@@ -1,11 +1,9 @@
-"""Best-fit packing of token sequences: hierarchical residual packing.
+"""Best-fit packing of token sequences over the exact counts of all lengths.
 
-Each partition tokenizes its documents, cuts long ones and packs the pieces best fit, longest first. Nearly full bins are
-done. Underfull bins move on, up to CARRY a task, to a round over an eighth of the tasks, and so on until one task holds
-the rest. There an underfull bin is an item: best fit puts it into another one. Two bins over half full never fit
-together whole, so those are opened and their pieces packed anew with what other partitions left.
-
-Each round is a written table: a lost executor repeats its own tasks only, and nothing is placed twice.
+Each task tokenizes its documents, cuts long ones and numbers its pieces within their length. What best fit does, longest
+first, depends on how many pieces there are of each length only, at most CAPACITY numbers: the driver packs those counts
+by runs of equal bins. Pieces are numbered through all tasks by the tasks' counts, and the plan gives each number its
+sequence and offset. So all pieces are packed together, whichever partition they lie in, and none is held or cut off.
 """
 
 from __future__ import annotations
@@ -21,19 +19,14 @@ import public_tokenizers
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from .common import drop, save
+from .common import save
 
 CAPACITY = 1024
-SLACK = 4
-CARRY = 256
-FAN_IN = 8
-_LOCAL = 100_000
-_BIN = "sequence_id long, total int, done boolean, items array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>>"
-_ITEM = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
-_SCHEMA = pa.schema([("sequence_id", pa.int64()), ("total", pa.int32()), ("done", pa.bool_()), ("items", pa.list_(_ITEM))])
+_PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, lot int, nth long"
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("lot", pa.int32()), ("nth", pa.int64())])
 
 
 class Encoder:
@@ -95,49 +88,53 @@ def best_fit(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return bins
 
 
-def _emit(groups: list[list[tuple]], level: int, last: bool, n: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    """Bins as rows; n bins of this task came before. The CARRY least full are not done, unless this round is the last."""
-    if not groups:
-        return
-    totals = [sum(x[3] for x in g) for g in groups]
-    open_ = set() if last else set(sorted((i for i, t in enumerate(totals) if t < capacity - SLACK), key=totals.__getitem__)[:CARRY])
-    task = TaskContext.get().partitionId()
-    ids = [(level << 56) + (task << 32) + n + i for i in range(len(groups))]
-    rows = [[dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"), x, strict=True)) for x in g] for g in groups]
-    for at in range(0, len(rows), 5000):
-        cut = slice(at, at + 5000)
-        done = [i not in open_ for i in range(at, min(at + 5000, len(rows)))]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[cut], pa.int64()), pa.array(totals[cut], pa.int32()), pa.array(done), pa.array(rows[cut], pa.list_(_ITEM))], schema=_SCHEMA)
-
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+    """Best fit of counts[n] pieces of each length n: (length, first, last, sequence_id, each, offset).
 
-def _local(path: str, end_id: int, capacity: int):
+    The pieces numbered first to last - 1 of their length go, each of them a bin, to the bins from sequence_id on; the
+    bin's first one lies at offset. Bins have the same totals as those of best_fit, in time that does not depend on counts.
+    """
+    out: list[tuple[int, int, int, int, int, int]] = []
+    room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # runs (first bin, bins) by their room
+    used = 0
+    for n in sorted(counts, reverse=True):
+        at, left = 0, counts[n]
+        for r in range(n, capacity + 1):
+            # Best fit fills a bin with pieces of one length as far as they go before it turns to the next.
+            k = r // n
+            while left and (room[r] or r == capacity):
+                first, bins = room[r].pop() if room[r] else (used, -(-left // k))
+                used = max(used, first + bins)
+                full = min(bins, left // k)
+                for b, m, each in ((first, full, k), (first + full, int(full < bins and left > full * k), left - full * k)):
+                    if m:
+                        out.append((n, at, at + m * each, b, each, capacity - r))
+                        room[r - each * n].append((b, m))
+                        at, left = at + m * each, left - m * each
+                        first, bins = b + m, bins - m
+                if bins:
+                    room[r].append((first, bins))
+    return out
+
+
+def _cut(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, held, n = encoder(path), [], 0
+        encode, lot, seen, held = encoder(path), TaskContext.get().partitionId(), [0] * (capacity + 1), []
         tail = np.array([end_id], "<u4")
 
-        def pack():
-            return [[held[i] for i in b] for b in best_fit([x[3] for x in held], capacity)]
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA)
 
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                held += pieces(doc_id, np.concatenate([encode(text.as_py() or ""), tail]), capacity)
-                if len(held) >= _LOCAL:
-                    groups = pack()
-                    yield from _emit(groups, 0, False, n, capacity)
-                    n, held = n + len(groups), []
-        yield from _emit(pack(), 0, False, n, capacity)
-
-    return run
-
-
-def _merge(level: int, last: bool, capacity: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = [[tuple(x.values()) for x in items] for b in batches for items in b.column("items").to_pylist()]
-        things = [[x] for g in bins if 2 * sum(i[3] for i in g) > capacity for x in g] + [g for g in bins if 2 * sum(i[3] for i in g) <= capacity]
-        packed = best_fit([sum(x[3] for x in t) for t in things], capacity)
-        groups = [[x for i in b for x in things[i]] for b in packed]
-        # Opening bins can't lose: where it needs more of them, they stay as they came.
-        yield from _emit(groups if len(groups) <= len(bins) else bins, level, last, 0, capacity)
+                for x in pieces(doc_id, np.concatenate([encode(text.as_py() or ""), tail]), capacity):
+                    held.append((*x, lot, seen[x[3]]))
+                    seen[x[3]] += 1
+                if len(held) >= 5000:
+                    yield rows()
+                    held = []
+        if held:
+            yield rows()
 
     return run
 
@@ -149,20 +146,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPAC
     their place. No rows give no rows; columns besides doc_id and text are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rounds = [save(texts.mapInArrow(_local(tokenizer, end_id, capacity), _BIN))]
-    tasks = max(1, texts.rdd.getNumPartitions())
-    level = 0
-    while True:
-        level, tasks = level + 1, -(-tasks // FAN_IN)
-        rest = rounds[-1].where("not done").select("sequence_id", "items")
-        lot = F.shiftright(F.col("sequence_id"), 32).bitwiseAND(0xFFFFFF)
-        rounds.append(save(rest.repartitionByRange(tasks, lot, "sequence_id").mapInArrow(_merge(level, tasks == 1, capacity), _BIN)))
-        if tasks == 1:
-            break
-    whole = rounds[0].where("done")
-    for r in rounds[1:]:
-        whole = whole.unionByName(r.where("done"))
-    item = F.col("item")
-    before = F.aggregate(F.slice("items", 1, F.col("i")), F.lit(0).cast("long"), lambda s, x: s + x["length"])
-    flat = whole.select("sequence_id", "items", F.posexplode("items").alias("i", "item"))
-    return flat.select(*[item[c].alias(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")], "sequence_id", before.alias("offset"))
+    cut = save(texts.mapInArrow(_cut(tokenizer, end_id, capacity), _PIECE))
+    counts = save(cut.groupBy("lot", "length").agg(F.count("*").alias("n")))
+    total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    before = Window.partitionBy("length").orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)
+    base = save(counts.select("lot", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    runs = docs.sparkSession.createDataFrame(plan(total, capacity), "of long, first long, last long, bin long, each long, at long")
+    ranked = cut.join(base, ["lot", "length"]).withColumn("nth", F.col("base") + F.col("nth"))
+    placed = ranked.join(F.broadcast(runs), F.expr("length = of and nth >= first and nth < last"))
+    sequence, offset = F.expr("bin + (nth - first) div each"), F.expr("at + (nth - first) % each * length")
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), offset.alias("offset"))

@@ -132,6 +132,33 @@ def test_packing_round_trip(spark):
     assert packing.pack(docs(spark, []), PATH).count() == 0
 
 
+def test_packing_of_partitions_of_different_lengths(spark):
+    # Over half full bins in some partitions, what fits into them in others; more of each than any carry.
+    texts = spark.range(8000).selectExpr("id doc_id", "repeat('a ', if(id < 4000, 600, 400) + cast(id % 7 as int)) text").coalesce(1).repartitionByRange(8, "doc_id")
+    rows = packing.pack(texts, PATH).select("length", "sequence_id", "offset").collect()
+    bins = packing.best_fit([r.length for r in rows])
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert ends.get(r.sequence_id, 0) == r.offset
+        ends[r.sequence_id] = r.offset + r.length
+    assert len(rows) == 8000 and max(ends.values()) <= 1024 and len(ends) == len(bins)
+
+
+@given(st.lists(st.integers(1, 64), max_size=300))
+@settings(max_examples=200, deadline=None)
+def test_plan_fills_bins_as_best_fit(sizes):
+    counts = {n: sizes.count(n) for n in set(sizes)}
+    totals, given_ = {}, {}
+    for n, first, last, b, each, at in packing.plan(counts, 64):
+        for i in range(last - first):
+            assert totals.get(b + i // each, 0) == at + i % each * n
+            totals[b + i // each] = at + (i % each + 1) * n
+            given_.setdefault(n, []).append(first + i)
+    assert sorted(totals) == list(range(len(totals)))
+    assert {n: sorted(x) for n, x in given_.items()} == {n: list(range(c)) for n, c in counts.items()}
+    assert sorted(totals.values()) == sorted(sum(sizes[i] for i in b) for b in packing.best_fit(sizes, 64))
+
+
 def test_encoder_gives_the_ids_of_tokenizers():
     encode, exact = packing.encoder(PATH), Tokenizer.from_file(PATH)
     for at in range(0, 0x11000, 0x80):
