@@ -1,9 +1,10 @@
-"""Cross-entropy difference of two matched bigram models.
+"""Cross-entropy difference of two matched bigram models with exact counts.
 
-A target model and a background model share one hashed vocabulary, one order and one smoothing. Their counts are taken
-over all documents: every task adds up its own tables, and the tables' cells are summed in a shuffle. The summed tables
-have a fixed size (CELLS and WORDS numbers each) and are broadcast. A document's score is its mean loss per word under
-the background less that under the target: higher is more like the target.
+A target model and a background model share one vocabulary, one order and one smoothing. Documents are dealt into lots of
+rows as they are read. Each lot's words and bigrams, as 63-bit hashes with their counts, are cut into ranges of the hash;
+a range is summed over all lots, and each lot gets back the totals of its grams in their order. So what is gathered grows with the input, is spread by hash, and no count is approximate.
+A document's score is its mean loss per word under the background less that under the target: higher is more like the
+target.
 """
 
 from __future__ import annotations
@@ -11,62 +12,140 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import gram_hashes, save, word_bytes
 
-WORDS = 1 << 17
-CELLS = 1 << 21
 BIGRAM_SHARE = 0.7
 PSEUDO = 0.5
+#: Rows of a lot, as a power of two.
+LOT_BITS = 12
 #: Target ids that may be broadcast, under 64 MB; with more, texts and ids are shuffled by doc_id.
 BROADCAST_IDS = 2_000_000
+_COUNTS = pa.schema([("range", pa.int32()), ("lot", pa.int64()), ("grams", pa.binary()), ("background", pa.binary()), ("target", pa.binary())])
+_TOTALS = pa.schema([("range", pa.int32()), ("lot", pa.int64()), ("background", pa.binary()), ("target", pa.binary()), ("proof", pa.int64()), ("words", pa.int64()), ("all_b", pa.int64()), ("all_t", pa.int64())])
+_SCORES = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64()), ("score", pa.float64())])
+_ODD = np.uint64(1)
 
 
-def _cells(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def _grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, which are even, and of the bigrams, which are odd."""
     words = word_bytes(text)
-    one = (gram_hashes(words, 1) % np.uint64(WORDS)).astype(np.int64)
-    two = (gram_hashes(words, 2) % np.uint64(CELLS)).astype(np.int64) if len(words) > 1 else np.zeros(0, np.int64)
-    return one, two
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables = np.zeros((2, WORDS + CELLS), np.int64)
-    for b in batches:
-        for text, target in zip(b.column("text"), b.column("target").to_pylist(), strict=True):
-            one, two = _cells(text.as_py())
-            for t in tables[: 1 + bool(target)]:
-                np.add.at(t, one, 1)
-                np.add.at(t, two + WORDS, 1)
-    at = np.flatnonzero(tables[0])
-    for i in range(0, len(at), 100_000):
-        part = at[i : i + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(tables[0][part]), pa.array(tables[1][part])], names=["cell", "background", "target"])
-
-
-class Model:
-    """Losses in nats under both models."""
-
-    def __init__(self, tables: np.ndarray):
-        self.one, self.two = tables[:, :WORDS].astype(np.float32), tables[:, WORDS:].astype(np.float32)
-        self.total = tables[:, :WORDS].sum(1).astype(np.float64)
-        # Words of the shared vocabulary, the same for both models.
-        self.size = max(1, int(np.count_nonzero(tables[0, :WORDS])))
-
-    def __call__(self, text: str | None) -> tuple:
-        one, two = _cells(text)
+    return gram_hashes(words, 1) & ~_ODD, (gram_hashes(words, 2) if len(words) > 1 else np.zeros(0, np.uint64)) | _ODD
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """64-bit numbers as zstandard of their byte planes."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpack(data: pa.BinaryScalar) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data.as_buffer()), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
+
+
+def _steps(grams: np.ndarray) -> np.ndarray:
+    """Sorted hashes as differences, whose high bytes are mostly zero."""
+    return np.diff(grams, prepend=np.uint64(0)).view(np.int64)
+
+
+def _hashes(data: pa.BinaryScalar) -> np.ndarray:
+    return np.cumsum(_unpack(data).view(np.uint64), dtype=np.uint64)
+
+
+def _proof(grams: np.ndarray, counts: np.ndarray) -> int:
+    """A sum over all grams of a lot, by which a lot that was read differently is found."""
+    with np.errstate(over="ignore"):
+        return int((grams * counts.astype(np.uint64)).sum(dtype=np.uint64).astype(np.int64))
+
+
+def _count(ranges: int):
+    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+
+    def counted(lot: int, every: list, aimed: list) -> pa.RecordBatch:
+        grams, b = np.unique(np.concatenate(every), return_counts=True)
+        t = np.zeros(len(grams), np.int64)
+        if aimed:
+            own, n = np.unique(np.concatenate(aimed), return_counts=True)
+            t[np.searchsorted(grams, own)] = n
+        cuts = [0, *np.searchsorted(grams, edges).tolist(), len(grams)]
+        at = [(i, x, y) for i, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
+        columns = [[_pack(f(v[x:y])) for _, x, y in at] for v, f in ((grams, _steps), (b, np.asarray), (t, np.asarray))]
+        return pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in at], pa.int32()), pa.array([lot] * len(at), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]], schema=_COUNTS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, every, aimed = None, [], []
+        for batch in batches:
+            for lot, text, target in zip(batch.column("lot").to_pylist(), batch.column("text"), batch.column("target").to_pylist(), strict=True):
+                if lot != at:
+                    if every:
+                        yield counted(at, every, aimed)
+                    at, every, aimed = lot, [], []
+                one, two = _grams(text.as_py())
+                if len(one):
+                    every += [one, two]
+                    aimed += [one, two] if target else []
+        if every:
+            yield counted(at, every, aimed)
+
+    return run
+
+
+def _sum(table: pa.Table) -> pa.Table:
+    """A range's totals: for each lot those of its grams in their order, and one row of lot -1 for the whole range."""
+    parts = [_hashes(x) for x in table.column("grams")]
+    b, t = (np.concatenate([_unpack(x) for x in table.column(c)]) for c in ("background", "target"))
+    grams = np.concatenate(parts)
+    order = np.argsort(grams, kind="stable")
+    lined = grams[order]
+    first = np.flatnonzero(np.concatenate([[True], lined[1:] != lined[:-1]]))
+    which = np.empty(len(grams), np.int64)
+    which[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(lined))))
+    all_b, all_t = np.add.reduceat(b[order], first), np.add.reduceat(t[order], first)
+    even = lined[first] & _ODD == 0
+    rows, at, r = [], 0, table.column("range")[0].as_py()
+    for lot, own in zip(table.column("lot").to_pylist(), parts, strict=True):
+        w, proof = which[at : at + len(own)], _proof(own, b[at : at + len(own)])
+        at += len(own)
+        rows.append((r, lot, _pack(all_b[w]), _pack(all_t[w]), proof, 0, 0, 0))
+    rows.append((r, -1, b"", b"", 0, int(even.sum()), int(all_b[even].sum()), int(all_t[even].sum())))
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _TOTALS, strict=True)], schema=_TOTALS)
+
+
+def _score(size: int, totals: tuple[int, int]):
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _SCORES.empty_table()
+        pairs = [_grams(x.as_py()) for x in texts.column("text")]
+        n = np.array([len(one) for one, _ in pairs], np.int64)
+        one, two = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+        del pairs
+        follows = np.ones(len(one), bool)  # words that have one before them
+        starts = (np.cumsum(n) - n)[n > 0]
+        follows[starts] = False
+        grams, at = np.unique(np.concatenate([one, two]), return_inverse=True)
+        known = known.sort_by("range")
+        if _proof(grams, np.bincount(at, minlength=len(grams))) != int(np.array(known.column("proof").to_pylist(), np.int64).sum()):
+            raise RuntimeError("the rows of docs were dealt differently when read again: write docs to a table first")
+        b, t = (np.concatenate([np.zeros(0, np.int64), *[_unpack(x) for x in known.column(c)]]) for c in ("background", "target"))
         if not len(one):
-            return 0, None, None, None
-        loss = []
-        for m in (1, 0):
-            p = (self.one[m][one] + PSEUDO) / (self.total[m] + PSEUDO * self.size)
-            before = self.one[m][one[:-1]].astype(np.float64)
-            p = p.astype(np.float64)
-            p[1:] = (1 - BIGRAM_SHARE) * p[1:] + BIGRAM_SHARE * np.where(before > 0, np.minimum(self.two[m][two], before) / np.maximum(before, 1), p[1:])
-            loss.append(float(-np.log(p).mean()))
-        return len(one), loss[0], loss[1], loss[1] - loss[0]
+            means = [np.full(texts.num_rows, np.nan)] * 2
+        else:
+            means = []
+            for counts, total in ((t, totals[1]), (b, totals[0])):
+                c = counts[at[: len(one)]].astype(np.float64)
+                p = (c + PSEUDO) / (total + PSEUDO * size)
+                before = c[np.flatnonzero(follows) - 1]
+                p[follows] = (1 - BIGRAM_SHARE) * p[follows] + BIGRAM_SHARE * np.where(before > 0, counts[at[len(one) :]] / np.maximum(before, 1), p[follows])
+                mean = np.full(texts.num_rows, np.nan)
+                mean[n > 0] = np.add.reduceat(-np.log(p), starts) / n[n > 0]
+                means.append(mean)
+        columns = [pa.array(x, pa.float64(), mask=n == 0) for x in (*means, means[1] - means[0])]
+        return pa.Table.from_arrays([texts.column("doc_id").combine_chunks(), pa.array(n), *columns], schema=_SCORES)
+
+    return run
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -74,25 +153,20 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
 
     The target model counts the documents whose doc_id is in target_ids, the background model all. A text without words
     has no losses and no score (nulls). Null doc_ids are scored and are no targets; repeated rows count and are scored
-    each. Without any target the target model is uniform.
+    each. Without any target the target model is uniform. docs is read twice and must come in the same partitions; where
+    it does not, the run fails.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    lot = F.shiftright(F.monotonically_increasing_id(), LOT_BITS)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lot.alias("lot"))
     ids = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
     ids = save(ids)
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    marked = texts.join(side, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    cells = marked.mapInArrow(_count, "cell int, background long, target long").groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    got = cells.toArrow()  # WORDS + CELLS rows of 20 bytes at most
-    tables = np.zeros((2, WORDS + CELLS), np.int64)
-    at = got.column("cell").to_numpy()
-    tables[0][at], tables[1][at] = got.column("background").to_numpy(), got.column("target").to_numpy()
-    del got, at
-    shared = docs.sparkSession.sparkContext.broadcast(Model(tables))
-
-    @F.pandas_udf("n_words long, target_loss double, background_loss double, score double")
-    def losses(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        for texts in batches:
-            yield pd.DataFrame([model(t) for t in texts], columns=["n_words", "target_loss", "background_loss", "score"]).astype({c: "float64" for c in ("target_loss", "background_loss", "score")})
-
-    return texts.select("doc_id", losses("text").alias("x")).select("doc_id", "x.*")
+    marked = texts.join(side, "doc_id", "left").select("doc_id", "text", "lot", F.coalesce("target", F.lit(False)).alias("target"))
+    if ids.count() > BROADCAST_IDS:
+        marked = marked.repartition("lot").sortWithinPartitions("lot")  # counted lot by lot
+    ranges = max(8, texts.rdd.getNumPartitions())
+    counts = marked.select("lot", "text", "target").mapInArrow(_count(ranges), "range int, lot long, grams binary, background binary, target binary")
+    totals = save(counts.groupBy("range").applyInArrow(_sum, "range int, lot long, background binary, target binary, proof long, words long, all_b long, all_t long"))
+    size, *every = totals.where("lot = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "all_b", "all_t")]).first()
+    known = totals.where("lot >= 0").select("range", "lot", "background", "target", "proof")
+    return marked.groupBy("lot").cogroup(known.groupBy("lot")).applyInArrow(_score(max(1, size), tuple(every)), "doc_id long, n_words long, target_loss double, background_loss double, score double")

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -310,6 +311,25 @@ def test_cross_entropy_by_hand(spark):
     assert rows[1].score > rows[2].score and rows[4].score is None and rows[4].n_words == 0
 
 
+def test_cross_entropy_has_exact_counts_on_a_large_vocabulary(spark, monkeypatch):
+    # 240,000 words, more than 2^17 cells, in several lots; the second half repeats words of the first.
+    monkeypatch.setattr(lm_score, "LOT_BITS", 5)
+    rng = np.random.default_rng(8)
+    words = {i: [f"w{n}" for n in range(i * 1000, i * 1000 + 1000)] for i in range(240)}
+    words |= {240 + i: [f"w{n}" for n in np.sort(rng.integers(0, 240_000, 300))] for i in range(60)}
+    target = [i for i in words if i % 3 == 0]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "doc_id long, text string").repartitionByRange(4, "doc_id")
+    rows = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+    size = len({w for ws in words.values() for w in ws})
+    for name, known in (("target_loss", target), ("background_loss", list(words))):
+        one, two = Counter(w for i in known for w in words[i]), Counter(x for i in known for x in zip(words[i], words[i][1:], strict=False))
+        total = sum(one.values())
+        for i, ws in words.items():
+            p = [(one[w] + 0.5) / (total + 0.5 * size) for w in ws]
+            q = [p[0]] + [0.3 * p[k] + 0.7 * (two[ws[k - 1], ws[k]] / one[ws[k - 1]] if one[ws[k - 1]] else p[k]) for k in range(1, len(ws))]
+            assert rows[i][name] == pytest.approx(-np.mean(np.log(q)), abs=1e-9)
+
+
 # --- 7
 
 def brute_overlaps(texts, items):
