@@ -1,15 +1,18 @@
 """Secrets in texts: three fixed shapes, and strings that are new to their surroundings.
 
 A candidate near a sensitive word is compressed by zstandard with a raw dictionary of common identifiers and of the text
-around it. If it costs almost as many bytes as it has characters beyond what an empty string costs, neither the
-identifiers nor the surroundings explain it, and it is reported.
+around it, without other occurrences of itself. If it costs almost as many bytes as a random string of its length and
+alphabet costs without context, neither the identifiers nor the surroundings explain it, and it is reported.
 """
 
 from __future__ import annotations
 
 import bisect
+import functools
 import hashlib
+import random
 import re
+import string
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +29,9 @@ _REST = re.compile(r"[A-Za-z0-9+/_=-]*")
 REACH = 64
 AROUND = 512
 NOVELTY = 0.8
+_LOW, _UP, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
+#: The first one that holds all of a candidate's characters is its alphabet.
+ALPHABETS = (_DIGITS, _DIGITS + "abcdef", _DIGITS + "ABCDEF", _LOW, _UP, _UP + "234567=", _LOW + "234567=", _LOW + _DIGITS, _UP + _DIGITS, _LOW + _UP, _LOW + _UP + _DIGITS, _LOW + _UP + _DIGITS + "+/_=-")
 _IDENTIFIERS = (
     " the and of to in is for with this that from return function class public private static final void string int"
     " import export const let var def self none true false null if else while for each value values name names user username"
@@ -38,14 +44,27 @@ _IDENTIFIERS = (
 ).encode()
 
 
+def _cost(word: bytes, primed: zstandard.ZstdCompressionDict | None = None) -> int:
+    pack = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_dict_id=False)
+    return len(pack.compress(word)) - len(pack.compress(b""))
+
+
+@functools.lru_cache(20_000)
+def _random_cost(alphabet: str, length: int) -> float:
+    """Bytes that a random string costs without context: the mean of a few."""
+    rng = random.Random(length)
+    return sum(_cost("".join(rng.choices(alphabet, k=length)).encode()) for _ in range(4)) / 4
+
+
 def _novel(text: str, start: int, end: int) -> bool:
     word = text[start:end]
     if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
         return False
-    around = (text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]).encode("utf-8", "surrogatepass")
-    primed = zstandard.ZstdCompressionDict(_IDENTIFIERS + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    pack = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_dict_id=False)
-    return len(pack.compress(word.encode())) - len(pack.compress(b"")) >= NOVELTY * len(word)
+    # Other places of the same string are no explanation of it, nor are those that the window's ends cut.
+    n = end - start
+    around = text[max(0, start - AROUND - n) : start].replace(word, "\n")[-AROUND:] + "\n" + text[end : end + AROUND + n].replace(word, "\n")[:AROUND]
+    primed = zstandard.ZstdCompressionDict(_IDENTIFIERS + around.encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return _cost(word.encode(), primed) >= NOVELTY * _random_cost(next(a for a in ALPHABETS if not set(word) - set(a)), n)
 
 
 def _united(found: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:

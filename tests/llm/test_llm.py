@@ -261,6 +261,21 @@ def test_novel_spans_and_rows(spark):
     assert rows[2].base_sha256 == rows[3].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_random_strings_of_any_alphabet_and_repeated_ones_are_novel():
+    rng = np.random.default_rng(4)
+    alphabets = ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789"]
+    alphabets += ["".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    for alphabet in alphabets:
+        for n in (16, 24, 40, 64, 80, 128, 200, 500, 1000, 2000):
+            hits = 0
+            for _ in range(20):
+                word = "".join(rng.choice(list(alphabet), n))
+                text = f"curl -H 'Authorization: Bearer {word}' one\ncurl -H 'Authorization: Bearer {word}' two"
+                at = [text.index(word), text.rindex(word)]
+                hits += all(any(a <= x and x + n <= e for _, a, e in secrets.spans(text)) for x in at)
+            assert hits >= 19 - 3 * (n < 24), (alphabet, n, hits)
+
+
 # --- 5
 
 def test_pseudonyms(spark):
