@@ -23,10 +23,9 @@ KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that have 24 or more
-_CONTEXT = re.compile(r"passw|passphrase|secret|token|credential|bearer|api.?key|private.?key|access.?key|authoriz|signature|\bpwd\b|\bkey\b", re.I | re.A)
+_CONTEXT = re.compile(r"passw|passphrase|secret|token|credential|bearer|api.?key|private.?key|access.?key|authoriz|signature|(?<![a-z0-9])(?:pwd|key)(?![a-z0-9])", re.I | re.A)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_REST = re.compile(r"[A-Za-z0-9+/_=-]*")
-REACH = 64
+LEAST = 16
 AROUND = 512
 NOVELTY = 0.8
 _LOW, _UP, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
@@ -58,8 +57,6 @@ def _random_cost(alphabet: str, length: int) -> float:
 
 def _novel(text: str, start: int, end: int) -> bool:
     word = text[start:end]
-    if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-        return False
     # Other places of the same string are no explanation of it, nor are those that the window's ends cut.
     n = end - start
     around = text[max(0, start - AROUND - n) : start].replace(word, "\n")[-AROUND:] + "\n" + text[end : end + AROUND + n].replace(word, "\n")[:AROUND]
@@ -79,6 +76,43 @@ def _united(found: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+def _covered(starts: list[int], ends: list[int], a: int, b: int) -> bool:
+    before = bisect.bisect_left(starts, b) - 1
+    return before >= 0 and a < ends[before]
+
+
+def _candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of 16 or more characters with a sensitive word within AROUND of them, before or after.
+
+    A run that only white space parts from such a run is one too, as the lines of a key file are. A run that holds
+    sensitive words is cut at them.
+    """
+    words = [m.span() for m in _CONTEXT.finditer(text)]
+    if not words:
+        return
+    i, last = 0, -1
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        while i < len(words) and words[i][1] <= a - AROUND:
+            i += 1
+        if not (i < len(words) and words[i][0] < b + AROUND) and not (last >= 0 and text[last:a].isspace()):
+            continue
+        last, k = b, i
+        while k < len(words) and words[k][1] <= a:
+            k += 1
+        while k < len(words) and words[k][0] < b:
+            yield from _part(text, a, words[k][0])
+            a, k = words[k][1], k + 1
+        yield from _part(text, a, b)
+
+
+def _part(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    while a < b and text[a] == "=":
+        a += 1
+    if b - a >= LEAST:
+        yield a, b
+
+
 def spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then by KINDS; ends are exclusive, in code points."""
     text = text or ""
@@ -89,20 +123,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
         found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     starts, ends = _united(found)
-    seen, run = set(), (0, 0)
-    for word in _CONTEXT.finditer(text):
-        for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH)):
-            start, end = m.span()
-            # A run that goes on beyond a word's reach is walked once, however many words lie in it.
-            if run[0] <= start and end <= run[1]:
-                end = run[1]
-            elif (rest := _REST.match(text, end).end()) > end:
-                run, end = (start, rest), rest
-            before = bisect.bisect_left(starts, end) - 1
-            if start not in seen and not (before >= 0 and start < ends[before]):
-                seen.add(start)
-                if _novel(text, start, end):
-                    found.append(("novel", start, end))
+    found += [("novel", a, b) for a, b in _candidates(text) if not _covered(starts, ends, a, b) and _novel(text, a, b)]
     return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
