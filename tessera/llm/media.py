@@ -1,11 +1,14 @@
 """Copies of images by local descriptors.
 
-Multiscale Harris corners get an orientation from their patch's intensity centroid and a binary descriptor of brightness
-tests turned by it. Each descriptor is cut into TABLES words of 32 bits; equal words of one table make two images meet (a
-Hamming table: descriptors that differ in fewer bits than there are tables always meet). The members of a table's bucket
-are joined to its smallest image and to the next smaller one, so that a bucket of any size gives rows in proportion to
-it. Where images met INLIERS times, keypoints within NEAR bits are matched; a pair is a copy when enough matches agree on
-one rotation, scale and shift.
+Multiscale Harris corners, as many as the picture's area asks for, get an orientation from their patch's intensity
+centroid and a binary descriptor of 128 brightness tests turned by it. A descriptor is cut into TABLES words of 64 bits,
+and images that share MEET words are candidates (Hamming tables: a pair of descriptors within one bit always shares one).
+Buckets of up to RARE images are joined with themselves. In larger ones each image is compared with a few pivots, and
+what is then outside the bucket's largest component meets the others again by a second word; so every candidate pair is
+compared or already in one class, and no bucket gives all its pairs.
+
+Keypoints of candidates are matched within NEAR bits, best for both; a pair is a copy when INLIERS places agree on one
+rotation, scale and shift.
 """
 
 from __future__ import annotations
@@ -22,17 +25,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import components, drop, save
 
-TABLES = 4
+TABLES = 2
+WORDS = 4
 LEVELS = (1.0, 0.7071, 0.5)
-PER_LEVEL = 12
+#: Corners of a level: at least so many, and one per so many of its pixels.
+PER_LEVEL, PIXELS = 16, 400
 RADIUS = 8
-INLIERS = 4
+MEET = 2
+RARE = 64
+PIVOTS = 4
+INLIERS = 6
+CELL = 6.0
 NEAR = 24
-SHIFT = 3.0
-TURN = 0.35
+SHIFT = 2.0
+TURN = 0.2
+LOT = 256
 
 _rng = np.random.default_rng(31)
-_TESTS = np.clip(_rng.normal(0, RADIUS / 2, (32 * TABLES, 2, 2)), -RADIUS + 1, RADIUS - 1)
+_TESTS = np.clip(_rng.normal(0, RADIUS / 2, (32 * WORDS, 2, 2)), -RADIUS + 1, RADIUS - 1)
 _DISC = np.array([(x, y) for x in range(-RADIUS, RADIUS + 1) for y in range(-RADIUS, RADIUS + 1) if x * x + y * y <= RADIUS * RADIUS])
 
 
@@ -128,7 +138,7 @@ def keypoints(image: np.ndarray) -> list[tuple[float, float, float, float, bytes
         inner = r[edge:-edge, edge:-edge]
         around = np.stack([r[edge + i : h - edge + i, edge + j : w - edge + j] for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])
         ys, xs = np.nonzero((inner > around.max(0)) & (inner > 1.0))
-        best = np.argsort(-inner[ys, xs], kind="stable")[:PER_LEVEL]
+        best = np.argsort(-inner[ys, xs], kind="stable")[: max(PER_LEVEL, h * w // PIXELS)]
         if not len(best):
             continue
         ys, xs = ys[best] + edge, xs[best] + edge
@@ -162,38 +172,89 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def matches(pa_: np.ndarray, ca: np.ndarray, pb: np.ndarray, cb: np.ndarray) -> int:
-    """Keypoints of two images (places of 4 numbers, codes of TABLES words) whose descriptors and geometry agree."""
-    a, b = np.asarray(ca, np.int32).view(np.uint32).reshape(-1, TABLES), np.asarray(cb, np.int32).view(np.uint32).reshape(-1, TABLES)
-    bits = np.bitwise_count(a[:, None] ^ b[None]).sum(2)
-    i, j = np.nonzero((bits <= NEAR) & (bits == bits.min(1, keepdims=True)))
+    """Keypoints of two images (places of 4 numbers, codes of WORDS numbers) whose descriptors and geometry agree."""
+    a, b = np.asarray(ca, np.int32).view(np.uint32).reshape(-1, WORDS), np.asarray(cb, np.int32).view(np.uint32).reshape(-1, WORDS)
+    if not len(a) or not len(b):
+        return 0
+    # Rows of a are taken in lots, so that two large pictures need no table of all their pairs.
+    best, to, back, frm = [], [], np.full(len(b), 999), np.zeros(len(b), int)
+    for at in range(0, len(a), LOT):
+        bits = np.bitwise_count(a[at : at + LOT, None] ^ b[None]).sum(2)
+        best.append(bits.min(1))
+        to.append(bits.argmin(1))
+        low = bits.min(0)
+        frm = np.where(low < back, at + bits.argmin(0), frm)
+        back = np.minimum(back, low)
+    best, to = np.concatenate(best), np.concatenate(to)
+    i = np.flatnonzero((best <= NEAR) & (frm[to] == np.arange(len(a))))
     x, y = np.asarray(pa_, np.float64).reshape(-1, 4), np.asarray(pb, np.float64).reshape(-1, 4)
-    return consensus(np.hstack([x[i], y[j]]))
+    return consensus(np.hstack([x[i], y[to[i]]]))
 
 
 def consensus(pairs: np.ndarray) -> int:
-    """Most keypoint pairs (x, y, scale, angle of both images a row) that agree on one rotation, scale and shift."""
+    """Most places that agree on one rotation, scale and shift, of keypoint pairs (x, y, scale, angle of both a row).
+
+    Corners of one place at several scales count once: places are squares of CELL pixels of the first image.
+    """
     if len(pairs) < INLIERS:
         return 0
     xa, ya, sa, ta, xb, yb, sb, tb = pairs.T
     turn, zoom = tb - ta, sa / sb
     cos, sin = np.cos(turn) * zoom, np.sin(turn) * zoom
     dx, dy = xb - (cos * xa - sin * ya), yb - (sin * xa + cos * ya)
-    # Row i: the shift and turn of pair i applied to all pairs.
-    x = cos[:, None] * xa - sin[:, None] * ya + dx[:, None]
-    y = sin[:, None] * xa + cos[:, None] * ya + dy[:, None]
-    apart = np.abs((turn[:, None] - turn + np.pi) % (2 * np.pi) - np.pi)
-    fits = (np.hypot(x - xb, y - yb) <= SHIFT * np.maximum(1, zoom)[:, None] / np.minimum(1, sa)) & (apart <= TURN) & (np.abs(np.log(zoom[:, None] / zoom)) < 0.4)
-    place = {(round(float(p), 1), round(float(q), 1)): i for i, (p, q) in enumerate(zip(xa, ya, strict=True))}
-    which = np.array([place[round(float(p), 1), round(float(q), 1)] for p, q in zip(xa, ya, strict=True)])
-    return max(len(set(which[f])) for f in fits)
+    cell = np.unique(np.floor(xa / CELL) * 1e6 + np.floor(ya / CELL), return_inverse=True)[1]
+    most = 0
+    for at in range(0, len(pairs), LOT):
+        s = slice(at, at + LOT)
+        # Row i: the shift and turn of pair i applied to all pairs.
+        x = cos[s, None] * xa - sin[s, None] * ya + dx[s, None]
+        y = sin[s, None] * xa + cos[s, None] * ya + dy[s, None]
+        apart = np.abs((turn[s, None] - turn + np.pi) % (2 * np.pi) - np.pi)
+        fits = (np.hypot(x - xb, y - yb) <= SHIFT * np.maximum(1, zoom)[s, None] / np.minimum(1, sa)) & (apart <= TURN) & (np.abs(np.log(zoom[s, None] / zoom)) < 0.4)
+        most = max(most, *(len(np.unique(cell[f])) for f in fits))
+    return most
+
+
+def _least(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+
+
+def candidates(met: DataFrame, sizes: DataFrame) -> DataFrame:
+    """a < b: images of met(rep, word) that share MEET words of which one has at most RARE images, and in a larger bucket
+    each image with the bucket's pivots.
+
+    Pivots are the images that PIVOTS hashes put first, so buckets of the same images have the same pivots.
+    """
+    rare = met.join(sizes.where(F.col("n") <= RARE).select("word"), "word", "left_semi")
+    both = rare.select(F.col("rep").alias("a"), "word").join(rare.select(F.col("rep").alias("b"), "word"), "word").where("a < b").select("a", "b")
+    hot = met.join(sizes.where(F.col("n") > RARE), "word").select("rep", F.explode("pivots").alias("p")).where("rep <> p")
+    return both.unionByName(hot.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")))
+
+
+def left_over(met: DataFrame, sizes: DataFrame, found: DataFrame) -> DataFrame:
+    """a < b: images of different components that share MEET words, one of them with more than RARE images.
+
+    In each such bucket the images outside its largest component meet the others again by a second word, so that only
+    pairs that share two words are made. A bucket whose images are one component costs nothing.
+    """
+    hot = met.join(sizes.where(F.col("n") > RARE).select("word"), "word", "left_semi").join(found, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    hot = save(hot)
+    main = save(hot.groupBy("word", "comp").count().groupBy("word").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("word", "main"))
+    open_ = hot.join(main, "word")
+    second = open_.join(met.withColumnRenamed("word", "next"), "rep").where("next <> word")
+    second = save(second.select("word", "next", "rep", "comp", (F.col("comp") != F.col("main")).alias("out")))
+    # The smallest pair of shared words would do; both orders of two hot words are met, distinct drops them.
+    one = second.where("out").select("word", "next", F.col("rep").alias("x"), F.col("comp").alias("cx"))
+    two = second.select("word", "next", F.col("rep").alias("y"), F.col("comp").alias("cy"))
+    return one.join(two, ["word", "next"]).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def copies(media: DataFrame) -> DataFrame:
-    """media_id, class_id, n_links, n_points: one row per row of media(media_id, content), whatever its other columns.
+    """media_id, class_id, n_points: one row per row of media(media_id, content), whatever its other columns.
 
-    class_id is the smallest media_id reachable over links, n_links the links found of the image's pixels to other
-    pixels. Images of equal pixels are one class without links. Null, empty and unreadable contents have no points and
-    are in a class of their own; a null media_id is in no class (null). No rows give no rows.
+    class_id is the smallest media_id reachable over links; images of equal pixels are one class. Null, empty and
+    unreadable contents (see decode) have null n_points and are in a class of their own; rows that share a media_id are in
+    the class of each; a null media_id is in no class (null). No rows give no rows.
     """
     base = save(media.select(F.col("media_id").cast("long").alias("media_id"), "content").mapInArrow(_describe, "media_id long, key binary, places array<float>, codes array<int>"))
     live = base.where("media_id is not null and key is not null")
@@ -201,27 +262,34 @@ def copies(media: DataFrame) -> DataFrame:
     same = live.select("media_id", "key").join(reps, "key").select("media_id", "rep")
     own = save(same.where("media_id = rep").select("rep").distinct())
     points = live.select(F.col("media_id").alias("rep"), "places", "codes").join(own, "rep", "left_semi")
-    code = lambda v, i: F.shiftleft(F.pmod(i, F.lit(TABLES)).cast("long"), 32) + F.pmod(v.cast("long"), F.lit(1 << 32))
-    word = points.select("rep", F.explode(F.array_distinct(F.transform("codes", code))).alias("word"))
-    many = save(word.groupBy("word").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("n")).where("first < last").select("word", "first", "n"))
-    met = word.join(many, "word").where("rep <> first")
-    # The next smaller image of a bucket is sought within one of 64 lots of it, so no task holds a whole bucket.
-    near = Window.partitionBy("word", F.pmod(F.hash("rep"), F.lit(64))).orderBy("rep")
-    before = met.where("n > 2").select("rep", F.lag("rep").over(near).alias("first")).where("first < rep")
-    pairs = met.select("rep", "first").unionByName(before).groupBy(F.col("first").alias("a"), F.col("rep").alias("b")).count().where(F.col("count") >= INLIERS).select("a", "b")
+    # Words of one table of the two get an even number, those of the other an odd one.
+    half = lambda i: F.shiftleft(F.get("codes", i).cast("long"), 32).bitwiseOR(F.pmod(F.get("codes", i + 1).cast("long"), F.lit(1 << 32)))
+    table = lambda i: (half(i).bitwiseOR(F.lit(1)) - F.when(i % WORDS == 0, 1).otherwise(0)).cast("long")
+    words = F.transform(F.when(F.size("codes") > 0, F.sequence(F.lit(0), F.size("codes") - 1, F.lit(WORDS // TABLES))), table)
+    word = points.select("rep", F.explode(F.array_distinct(words)).alias("word")).distinct()
+    pivot = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep"))) for i in range(PIVOTS)]
+    sizes = save(word.groupBy("word").agg(F.count("*").alias("n"), *[p.alias(f"p{i}") for i, p in enumerate(pivot)]).where("n > 1").select("word", "n", F.array_distinct(F.array(*[F.col(f"p{i}.rep") for i in range(PIVOTS)])).alias("pivots")))
+    met = save(word.join(sizes.select("word"), "word", "left_semi"))
     at = lambda x: points.select(F.col("rep").alias(x), F.col("places").alias(f"places_{x}"), F.col("codes").alias(f"codes_{x}"))
-    both = save(pairs).join(at("a"), "a").join(at("b"), "b")
 
     @F.pandas_udf("long")
     def agreeing(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             yield pd.Series([matches(*x) for x in zip(*columns, strict=True)], dtype="int64")
 
-    n = agreeing("places_a", "codes_a", "places_b", "codes_b")
-    links = save(both.select("a", "b", n.alias("n")).where(F.col("n") >= INLIERS).select("a", "b").distinct())
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = save(pairs)
+        both = pairs.join(at("a"), "a").join(at("b"), "b")
+        n = agreeing("places_a", "codes_a", "places_b", "codes_b")
+        links = save(both.select("a", "b", n.alias("n")).where(F.col("n") >= INLIERS).select("a", "b").distinct())
+        drop(pairs)
+        return links
+
+    shared = candidates(met, sizes).groupBy("a", "b").count().where(F.col("count") >= MEET).select("a", "b")
+    # A pair with a rare word and a hot one meets once above; what it lacks is that second word.
+    links = confirmed(shared)
+    if not sizes.where(F.col("n") > RARE).isEmpty():
+        links = links.unionByName(confirmed(left_over(met, sizes, _least(links)).distinct()))
     found = components(links.unionByName(same.where("media_id <> rep").select(F.col("media_id").alias("a"), F.col("rep").alias("b")))).select(F.col("node").alias("media_id"), F.col("component").alias("least"))
-    degree = save(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").count().select(F.col("a").alias("rep"), F.col("count").alias("n")))
-    linked = save(same.join(degree, "rep").groupBy("media_id").agg(F.max("n").alias("n")))
-    drop(many)
-    out = base.select("media_id", F.floor(F.size("places") / 4).cast("int").alias("n_points")).join(found, "media_id", "left").join(linked, "media_id", "left")
-    return out.select("media_id", F.coalesce("least", "media_id").alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), "n_points")
+    out = base.select("media_id", F.when(F.col("key").isNotNull(), F.floor(F.size("places") / 4)).cast("int").alias("n_points")).join(found, "media_id", "left")
+    return out.select("media_id", F.coalesce("least", "media_id").alias("class_id"), "n_points")
