@@ -1,8 +1,12 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page becomes a list of text blocks. A linear classifier of each block's markup and shape gives the costs of calling it
-content or boilerplate, which are its capacities to the two terminals of a flow network. Blocks that follow each other
-and blocks of one parent element are tied by smoothness edges. The maximum flow's cut is the cheapest labelling.
+content or boilerplate, which are its capacities to the two terminals of a flow network. Smoothness edges tie blocks that
+follow each other, the more so the nearer their elements are in the tree, and each block to the one before it under the
+same parent element. The maximum flow's cut is the cheapest labelling.
+
+Class names, roles and elements such as nav are strong evidence and outweigh a block's edges; where a page has none, what
+a block's own shape says is often wrong (a one-word line of an article, a long line of legal text) and the edges decide.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +31,7 @@ _BAD = re.compile(
     re.I,
 )
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text|blog|page-content|articlebody|prose)(?=$|[\s_-])", re.I)
+_RIGHTS = re.compile(r"©|\(c\)|copyright\b", re.I)
 # Elements whose text is no part of a page's prose, and those that break lines of text.
 _RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes"}
 _DROP = {"head", "template", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "datalist", "dialog", "map"}
@@ -38,7 +44,10 @@ _BLOCK = {
 } | _DROP
 _CLOSES_P = _BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "summary", "legend", "head"}
 _SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "option": ({"option"}, {"select"})}
-NEIGHBOUR, SIBLING = 0.6, 0.9
+#: Capacities: between successive blocks; for nearness in the tree, falling with the square of the steps between them.
+NEIGHBOUR, NEAR = 0.1, 1.2
+#: What hints weigh: content, boilerplate by class or role, boilerplate by element.
+GOOD, BAD, AWAY = 2.0, 7.0, 7.0
 
 
 def _tag_end(text: str, at: int) -> int:
@@ -59,10 +68,12 @@ def _tag_end(text: str, at: int) -> int:
 
 
 class _Block:
-    __slots__ = ("text", "links", "tags", "parent", "good", "bad", "away")
+    __slots__ = ("text", "links", "tags", "own", "parent", "depth", "apart", "good", "bad", "away")
 
-    def __init__(self, text, links, tags, parent, good, bad, away):
-        self.text, self.links, self.tags, self.parent, self.good, self.bad, self.away = text, links, tags, parent, good, bad, away
+    def __init__(self, text, links, tags, own, parent, depth, apart, good, bad, away):
+        self.text, self.links, self.tags, self.good, self.bad, self.away = text, links, tags, good, bad, away
+        # Numbers of the block's element and of the one around it, its depth, and the tree steps from the block before.
+        self.own, self.parent, self.depth, self.apart = own, parent, depth, apart
 
 
 def blocks(page: str) -> list[_Block]:
@@ -72,23 +83,33 @@ def blocks(page: str) -> list[_Block]:
     stack: list[tuple] = [("", 0, False, False, False, False)]
     text: list[str] = []
     links = link = serial = 0
+    open_: Counter = Counter()
+    shared = 0  # elements that have been open ever since the block before
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, shared
         if text:
             # Character references can be white space too, so they come first.
             words = html.unescape("".join(text)).split()
             text.clear()
             top = stack[-1]
             if words and not top[5]:
-                out.append(_Block(" ".join(words), links, [x[0] for x in stack[-4:]], top[1], top[2], top[3], top[4]))
+                depth = len(stack)
+                apart = (out[-1].depth - shared) + (depth - shared) if out else 0
+                out.append(_Block(" ".join(words), links, [x[0] for x in stack[-4:]], top[1], stack[-2][1] if depth > 1 else 0, depth, apart, top[2], top[3], top[4]))
+                shared = depth
         links = 0
 
     def close(names: set, stops: set) -> None:
+        nonlocal shared
+        if not any(open_[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in names:
                 flush()
+                open_.subtract(x[0] for x in stack[i:])
                 del stack[i:]
+                shared = min(shared, i)
                 return
             if stack[i][0] in stops:
                 return
@@ -143,6 +164,7 @@ def blocks(page: str) -> list[_Block]:
         away = up[4] or name in _AWAY or (name == "header" and not up[2])
         dropped = up[5] or name in _DROP or bool(_HIDDEN.search(attributes))
         stack.append((name, serial, good, bad, away, dropped))
+        open_[name] += 1
     flush()
     return out
 
@@ -151,13 +173,25 @@ def score(b: _Block) -> float:
     """Log-odds of content: a fixed linear classifier."""
     n = len(b.text)
     last = b.tags[-1] if b.tags else ""
-    s = -0.8 + 0.5 * min(math.log1p(n / 20), 4) - 3.0 * min(1.0, b.links / n)
+    s = -0.8 + 0.8 * min(math.log1p(n / 20), 4) - 3.0 * min(1.0, b.links / n) - 1.5 * bool(_RIGHTS.match(b.text))
     s += 0.6 * (last == "p") + 0.8 * (last in ("h1", "h2", "h3", "h4", "blockquote", "pre")) - 0.6 * (last == "li")
     s += 0.4 * (b.text[-1] in ".!?\"'”»…:")
-    s += 4.5 * b.good - 9.0 * b.bad - 9.0 * b.away
+    s += GOOD * (b.good and not (b.bad or b.away)) - BAD * b.bad - AWAY * b.away
     return s
 
 
+def edges(found: list[_Block]) -> list[tuple[int, int, float]]:
+    """Smoothness edges: successive blocks by their nearness in the tree, and the block before under the same parent."""
+    out, last = [], {}
+    for i, b in enumerate(found):
+        if i:
+            out.append((i - 1, i, NEIGHBOUR + NEAR * (2 / max(2, b.apart)) ** 2))
+        if last.get(b.parent, i - 1) != i - 1:
+            out.append((last[b.parent], i, NEAR))
+        last[b.parent] = i
+    return out
+
+
 def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Labels (True: content) that cost least: softplus terms at the terminals, a capacity where tied nodes differ.
 
@@ -225,14 +259,7 @@ def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    edges, last = [], {}
-    for i, b in enumerate(found):
-        if i:
-            edges.append((i - 1, i, NEIGHBOUR))
-        if b.parent in last and last[b.parent] != i - 1:
-            edges.append((last[b.parent], i, SIBLING))
-        last[b.parent] = i
-    keep = minimum_cut([score(b) for b in found], edges)
+    keep = minimum_cut([score(b) for b in found], edges(found))
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 
