@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_OWN: list[str] = []
+_OWN: dict[str, SparkSession] = {}
 
 
 def long_texts(spark: SparkSession) -> None:
@@ -20,14 +20,26 @@ def long_texts(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset."""
+    """The folder that driver and executors share, named in spark.checkpoint.dir.
+
+    Where that is unset, a local session gets a temporary folder; on a cluster it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new name in the scratch folder; what is written there is deleted at the end of the process."""
+    path = f"{scratch_root(spark)}/tessera-{name}-{uuid.uuid4().hex}"
+    _OWN[path] = spark
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -40,8 +52,7 @@ def save(df: DataFrame) -> DataFrame:
     The table stays until drop() or the end of the process.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/tessera-{uuid.uuid4().hex}"
-    _OWN.append(path)
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
@@ -51,20 +62,16 @@ def save(df: DataFrame) -> DataFrame:
 def drop(*tables: DataFrame) -> None:
     """Delete scratch tables that nothing reads any more."""
     for t in tables:
-        path = getattr(t, "_scratch", None)
-        if path in _OWN:
-            _delete(t.sparkSession, path)
-            _OWN.remove(path)
+        if (path := getattr(t, "_scratch", None)) in _OWN:
+            _delete(_OWN.pop(path), path)
 
 
 @atexit.register
 def _drop_all() -> None:
-    spark = SparkSession.getActiveSession()
-    for path in list(_OWN):
+    for path, spark in list(_OWN.items()):
         try:
-            if spark is not None:
-                _delete(spark, path)
-        except Exception:  # noqa: BLE001  the session may be gone already
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001  the session is gone
             return
 
 

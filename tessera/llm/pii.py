@@ -2,25 +2,29 @@
 
 Validated numbers, dates and mail names are permuted by keyed Feistel networks over the set of values that their format
 allows, so a pseudonym is as valid as what it replaces and equal values, however written, get equal pseudonyms in every
-document. The key is a parameter; who holds it can invert the permutation.
+document. The key is a parameter; who holds it can invert the permutation. session_key() reads it from the session's
+setting spark.tessera.pseudonym.key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROUNDS = 8
 _EDGE, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 PHONE = r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}" + _END
-CARD = _EDGE + r"[3-6](?:[ -]?[0-9]){12,18}" + _END
+NATIONAL = _EDGE + r"(?:1[ .-])?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}" + _END
+CARD = _EDGE + r"[2-6](?:[ -]?[0-9]){12,18}" + _END
 SSN = _EDGE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END
 IP = r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{L}\p{N}]|\.[0-9])"
 ISO_DATE = _EDGE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + _END
 DAY_DATE = _EDGE + r"[0-9]{2}([/.-])[0-9]{2}\1[0-9]{4}" + _END
 KINDS = ("email", "phone", "card", "ssn", "ip", "date")
-_SHAPES = {"email": EMAIL, "phone": PHONE, "ssn": SSN, "date": f"(?:{ISO_DATE})|(?:{DAY_DATE})", "ip": IP, "card": CARD}
-ANY = "|".join(f"(?:{s})" for s in (EMAIL, PHONE, SSN, ISO_DATE, DAY_DATE, IP, CARD))
+_SHAPES = {"email": EMAIL, "phone": f"(?:{PHONE})|(?:{NATIONAL})", "ssn": SSN, "date": f"(?:{ISO_DATE})|(?:{DAY_DATE})", "ip": IP, "card": CARD}
+ANY = "|".join(f"(?:{s})" for s in (EMAIL, PHONE, NATIONAL, SSN, ISO_DATE, DAY_DATE, IP, CARD))
 
 
 def _hash(key: str, kind: str, round_: Column, value: Column) -> Column:
@@ -90,23 +94,35 @@ def _email(s: Column, key: str) -> Column:
     return F.concat(permute_text(F.lower(name), key, "email"), F.lit("@"), F.substring_index(s, "@", -1))
 
 
+#: Country codes: 1, 7, those of two digits, and three digits otherwise.
+_CODE = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
+
 def _phone(s: Column, key: str) -> Column:
     d = _digits(s)
-    area, exchange, line = (_part(d, *x) for x in ((2, 3), (5, 3), (8, 4)))
-    american = F.substring(s, 1, 2).eqNullSafe("+1") & (F.length(d) == 11) & (area >= 200) & (exchange >= 200)
+    national = ~s.startswith("+")
+    ten = F.when(national | ((F.length(d) == 11) & d.startswith("1")), F.right(d, F.lit(10)))
+    area, exchange, line = (_part(ten, *x) for x in ((1, 3), (4, 3), (7, 4)))
+    american = F.coalesce((area >= 200) & (exchange >= 200), F.lit(False))
     x = permute(((area - 200) * 800 + (exchange - 200)) * 10000 + line, 640_000, 10_000, key, "phone")
     whole = F.floor(x / 10000).cast("long")
-    na = F.concat(F.lit("1"), _pad(F.floor(whole / 800).cast("long") + 200, 3), _pad(F.pmod(whole, F.lit(800).cast("long")) + 200, 3), _pad(F.pmod(x, F.lit(10000).cast("long")), 4))
-    code = F.regexp_extract(s, r"^\+([0-9]{1,3})", 1)
+    na = F.concat(_pad(F.floor(whole / 800).cast("long") + 200, 3), _pad(F.pmod(whole, F.lit(800).cast("long")) + 200, 3), _pad(F.pmod(x, F.lit(10000).cast("long")), 4))
+    na = F.when(F.length(d) == 11, F.concat(F.lit("1"), na)).otherwise(na)
+    # The code is read from the digits, so it does not depend on how a number is written.
+    code = F.regexp_extract(d, _CODE, 1)
     other = F.concat(code, permute_text(F.substr(d, F.length(code) + 1), key, "phone"))
-    return F.when(american, _refill(s, na)).when(F.length(d).between(8, 15), _refill(s, other)).otherwise(s)
+    return F.when(american, _refill(s, na)).when(~national & F.length(d).between(8, 15), _refill(s, other)).otherwise(s)
 
 
 def _card(s: Column, key: str) -> Column:
     d = _digits(s)
-    body = F.concat(F.substring(d, 1, 1), permute_text(F.substr(d, F.lit(2), F.length(d) - 2), key, "card"))
+    two = d.startswith("2")
+    # Of the numbers that begin with 2 those of 16 digits from 2221 to 2720 are cards; these four digits stay.
+    known = ~two | ((F.length(d) == 16) & F.substring(d, 1, 4).between("2221", "2720"))
+    keep = F.when(two, 4).otherwise(1)
+    body = F.concat(F.substr(d, F.lit(1), keep), permute_text(F.substr(d, keep + 1, F.length(d) - keep - 1), key, "card"))
     check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))), F.lit(10))
-    return F.when(F.length(d).between(13, 19) & (_luhn(d) == 0), _refill(s, F.concat(body, check.cast("string")))).otherwise(s)
+    return F.when(known & F.length(d).between(13, 19) & (_luhn(d) == 0), _refill(s, F.concat(body, check.cast("string")))).otherwise(s)
 
 
 def _ssn(s: Column, key: str) -> Column:
@@ -156,13 +172,23 @@ def _replace(found: Column, key: str) -> Column:
     return F.struct(F.when(new != found, kind).alias("kind"), new.alias("new"))
 
 
-def pseudonymise(docs: DataFrame, key: str = "tessera") -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in spark.tessera.pseudonym.key; a random one for this session where it names none."""
+    name = "spark.tessera.pseudonym.key"
+    if not spark.conf.get(name, None):
+        spark.conf.set(name, secrets.token_hex(32))
+    return spark.conf.get(name)
+
+
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """doc_id, text, n_email, n_phone, n_card, n_ssn, n_ip, n_date: one row per row of docs, whatever its other columns.
 
-    Phones are North American numbers (area and exchange stay valid) or + and 8 to 15 digits (the country code stays),
-    cards pass Luhn's test and keep their first digit, social security numbers, IPv4 addresses and dates of 1900 to 2099
-    are valid ones; mail addresses keep their domain. What has a shape but isn't valid stays as it is. Null texts stay
-    null and count nothing; repeated rows are treated alike. A value that the permutation maps to itself isn't counted.
+    Phones are North American numbers with or without +1 (area and exchange stay valid) or + and 8 to 15 digits (the
+    country code stays), cards pass Luhn's test and keep their first digit (of 2221 to 2720 the first four), social
+    security numbers, IPv4 addresses and dates of 1900 to 2099 are valid ones; mail addresses keep their domain. What has
+    a shape but isn't valid stays as it is. Null texts stay null and count nothing; empty and very long texts are treated
+    as any other; null and repeated doc_ids pass through, repeated rows are treated alike; no rows give no rows. A value
+    that the permutation maps to itself isn't counted.
     """
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     may = F.col("text").rlike("[0-9@]")

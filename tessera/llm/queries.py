@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, html_text, lm_score, media, near_dedup, packing, pii, quality, rollup, secrets
-from .common import long_texts, save, scratch_root
+from .common import long_texts, save, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,7 +37,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(_read(spark, sf_dir, "documents"))
+    return pii.pseudonymise(_read(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,16 +50,22 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents are inserted with an estimate of four characters a token, then revised to their counts, then the
-    same revision comes again and changes nothing."""
+    """All documents arrive in one batch under the source "inbox" with an estimate of four characters a token; the next
+    batch revises them to their counts; the next deletes them from there and inserts them under their own sources; the
+    last two come again and change nothing, and the batches are compacted before totals are read."""
     docs = _read(spark, sf_dir, "documents").withColumn("estimate", F.coalesce(F.floor(F.length("text") / 4), F.lit(0)).cast("long"))
     counts = save(rollup.counted(docs, TOKENIZER, "byte_bpe_50k", "estimate"))
-    store = rollup.Rollup(spark, f"{scratch_root(spark)}/rollup-{uuid.uuid4().hex}")
+    store = rollup.Rollup(spark, scratch_path(spark, "rollup"))
     none = F.lit(None).cast("long").alias("old_tokens")
-    store.commit("0001-insert", counts.select(F.lit("insert").alias("op"), *rollup.KEY, F.col("estimate").alias("n_tokens"), none))
-    revised = counts.select(F.lit("revise").alias("op"), *rollup.KEY, "n_tokens", F.col("estimate").alias("old_tokens"))
+    inbox = [F.lit("inbox").alias("source"), "lang", "tokenizer"]
+    store.commit("0001-arrive", counts.select(F.lit("insert").alias("op"), *inbox, F.col("estimate").alias("n_tokens"), none))
+    revised = counts.select(F.lit("revise").alias("op"), *inbox, "n_tokens", F.col("estimate").alias("old_tokens"))
+    moved = counts.select(F.lit("delete").alias("op"), *inbox, "n_tokens", none).unionByName(counts.select(F.lit("insert").alias("op"), *rollup.KEY, "n_tokens", none))
     store.commit("0002-count", revised)
+    store.commit("0003-move", moved)
+    store.compact()
     store.commit("0002-count", revised)
+    store.commit("0003-move", moved)
     return store.totals()
 
 

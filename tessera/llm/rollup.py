@@ -3,7 +3,9 @@
 A batch of changes becomes signed sums (inserts add, deletes take away, revisions add the difference), a few rows
 however large the batch. A commit writes them to a folder of their own and renames it to the batch's name; a batch whose
 folder exists was committed before and changes nothing, so a repeated or half-done commit can be run again. Totals are
-sums over committed folders.
+sums over committed folders. compact() sums them into a base that knows the batches it holds, so totals read the last
+base and what came after. The folder needs a file system that renames folders at once, as HDFS and local ones do; most
+object stores do not.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 
 
 def counted(docs: DataFrame, path: str, tokenizer: str, *keep: str) -> DataFrame:
-    """doc_id, source, lang, tokenizer, n_tokens and columns keep of each row of docs; a null text has 0 tokens."""
+    """doc_id, source, lang, tokenizer, n_tokens and columns keep of each row of docs; a null or empty text has 0 tokens."""
 
     @F.pandas_udf("long")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -35,7 +37,8 @@ def counted(docs: DataFrame, path: str, tokenizer: str, *keep: str) -> DataFrame
 def signed(changes: DataFrame) -> DataFrame:
     """Sums by KEY of changes(op, source, lang, tokenizer, n_tokens, old_tokens); op is insert, delete or revise.
 
-    Null keys are a group of their own; a null count is 0; rows of another op are an error.
+    Null keys are a group of their own; a null count is 0; repeated rows count each; no rows give no rows; rows of another
+    op are an error. Other columns are ignored.
     """
     n, old, op = F.coalesce("n_tokens", F.lit(0)), F.coalesce("old_tokens", F.lit(0)), F.col("op")
     wrong = F.raise_error(F.concat(F.lit("unknown op "), F.coalesce(op, F.lit("null"))))
@@ -53,29 +56,60 @@ class Rollup:
         self._fs = self._paths(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._paths(self.path))
 
+    def _named(self, kind: str) -> list[str]:
+        return sorted(n[len(kind) + 1 :] for s in self._fs.listStatus(self._paths(self.path)) if (n := s.getPath().getName()).startswith(kind + "=") and s.isDirectory())
+
     def batches(self) -> list[str]:
-        return sorted(n[6:] for s in self._fs.listStatus(self._paths(self.path)) if (n := s.getPath().getName()).startswith("batch=") and s.isDirectory())
+        return self._named("batch")
 
-    def commit(self, batch: str, changes: DataFrame) -> bool:
-        """Apply a batch once; False if it was applied before. Of two commits of one batch at a time, one wins."""
-        place = self._paths(f"{self.path}/batch={batch}")
-        if self._fs.exists(place):
-            return False
-        draft = self._paths(f"{self.path}/_draft-{uuid.uuid4().hex}")
-        signed(changes).coalesce(1).write.parquet(draft.toString())
+    def _land(self, draft, place) -> bool:
+        """Rename a finished draft to its place; False if another one is there."""
         if not self._fs.exists(place) and self._fs.rename(draft, place):
             inside = self._paths(place, draft.getName())
-            if not self._fs.exists(inside):  # else another commit came first and the rename went into its folder
+            if not self._fs.exists(inside):  # else another one came first and the rename went into its folder
                 return True
             self._fs.delete(inside, True)
             return False
         self._fs.delete(draft, True)
         return False
 
+    def _draft(self):
+        return self._paths(f"{self.path}/_draft-{uuid.uuid4().hex}")
+
+    def commit(self, batch: str, changes: DataFrame) -> bool:
+        """Apply a batch once; False if it was applied before. Of two commits of one batch at a time, one wins."""
+        place = self._paths(f"{self.path}/batch={batch}")
+        if self._fs.exists(place):
+            return False
+        draft = self._draft()
+        signed(changes).write.parquet(draft.toString())
+        return self._land(draft, place)
+
+    def _base(self) -> tuple[int, list[str]]:
+        """Number of the last base (0: none) and the batches that it holds."""
+        bases = self._named("base")
+        if not bases:
+            return 0, []
+        held = self.spark.read.schema("batch string").json(f"{self.path}/base={bases[-1]}/_batches")
+        return int(bases[-1]), [r.batch for r in held.collect()]
+
+    def _sums(self) -> tuple[int, list[str], DataFrame]:
+        number, held = self._base()
+        names = sorted(set(self.batches()) - set(held))
+        paths = [f"{self.path}/batch={n}" for n in names] + ([f"{self.path}/base={number:012d}"] if number else [])
+        if not paths:
+            return number, held, self.spark.createDataFrame([], SCHEMA)
+        parts = self.spark.read.schema(SCHEMA).parquet(*paths)
+        return number, held + names, parts.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+    def compact(self) -> bool:
+        """Sum all committed batches into a new base; False if another compaction made it first. Batches stay as marks."""
+        number, held, sums = self._sums()
+        draft = self._draft()
+        sums.write.parquet(draft.toString())
+        self.spark.createDataFrame([(b,) for b in held], "batch string").write.json(f"{draft.toString()}/_batches")
+        return self._land(draft, self._paths(f"{self.path}/base={number + 1:012d}"))
+
     def totals(self) -> DataFrame:
         """Sums by KEY; groups without documents and tokens are left out."""
-        names = self.batches()
-        if not names:
-            return self.spark.createDataFrame([], SCHEMA)
-        parts = self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/batch={n}" for n in names])
-        return parts.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+        return self._sums()[2].where("n_docs <> 0 or n_tokens <> 0")
