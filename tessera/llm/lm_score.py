@@ -2,9 +2,12 @@
 
 A target model and a background model share one vocabulary, one order and one smoothing. Documents are dealt into lots of
 rows as they are read. Each lot's words and bigrams, as 63-bit hashes with their counts, are cut into ranges of the hash;
-a range is summed over all lots, and each lot gets back the totals of its grams in their order. So what is gathered grows with the input, is spread by hash, and no count is approximate.
-A document's score is its mean loss per word under the background less that under the target: higher is more like the
-target.
+a range is summed over all lots, and each lot gets back the totals of its grams in their order. So what is gathered
+grows with the input, is spread by hash, and no count is approximate.
+
+A document's own counts are left out of the models that score it, so none is favoured by its own text, and a text that
+occurs elsewhere too stands apart. Its score is its mean loss per word under the background less that under the target:
+higher is more like the target.
 """
 
 from __future__ import annotations
@@ -114,6 +117,12 @@ def _sum(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _TOTALS, strict=True)], schema=_TOTALS)
 
 
+def _own(of: np.ndarray, gram: np.ndarray, grams: int) -> np.ndarray:
+    """For each place how often its gram occurs in its own document."""
+    _, where, n = np.unique(of * grams + gram, return_inverse=True, return_counts=True)
+    return n[where]
+
+
 def _score(size: int, totals: tuple[int, int]):
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         if not texts.num_rows:
@@ -133,12 +142,19 @@ def _score(size: int, totals: tuple[int, int]):
         if not len(one):
             means = [np.full(texts.num_rows, np.nan)] * 2
         else:
+            aimed = np.array(texts.column("target").to_pylist(), bool)
+            first, second = at[: len(one)], at[len(one) :]
+            of = np.repeat(np.arange(len(n)), n)
+            own_one, own_two = _own(of, first, len(grams)), _own(of[follows], second, len(grams))
+            before = np.flatnonzero(follows) - 1
             means = []
-            for counts, total in ((t, totals[1]), (b, totals[0])):
-                c = counts[at[: len(one)]].astype(np.float64)
-                p = (c + PSEUDO) / (total + PSEUDO * size)
-                before = c[np.flatnonzero(follows) - 1]
-                p[follows] = (1 - BIGRAM_SHARE) * p[follows] + BIGRAM_SHARE * np.where(before > 0, counts[at[len(one) :]] / np.maximum(before, 1), p[follows])
+            for counts, total, inside in ((t, totals[1], aimed), (b, totals[0], np.ones(len(n), bool))):
+                # What a document itself added to this model is taken away again.
+                mine = inside[of]
+                c = (counts[first] - own_one * mine).astype(np.float64)
+                p = (c + PSEUDO) / (total - (n * inside)[of] + PSEUDO * size)
+                two = counts[second] - own_two * mine[follows]
+                p[follows] = (1 - BIGRAM_SHARE) * p[follows] + BIGRAM_SHARE * np.where(c[before] > 0, two / np.maximum(c[before], 1), p[follows])
                 mean = np.full(texts.num_rows, np.nan)
                 mean[n > 0] = np.add.reduceat(-np.log(p), starts) / n[n > 0]
                 means.append(mean)
@@ -153,8 +169,9 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
 
     The target model counts the documents whose doc_id is in target_ids, the background model all. A text without words
     has no losses and no score (nulls). Null doc_ids are scored and are no targets; repeated rows count and are scored
-    each. Without any target the target model is uniform. docs is read twice and must come in the same partitions; where
-    it does not, the run fails.
+    each, with their own counts left out and the others' left in. Where no other document is a target the target model is
+    uniform. Very long texts are scored whole; no rows give no rows. docs is read twice and must come in the same
+    partitions; where it does not, the run fails.
     """
     lot = F.shiftright(F.monotonically_increasing_id(), LOT_BITS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lot.alias("lot"))
