@@ -4,10 +4,19 @@ A seed hashes the words of a window at the positions that a fixed mask marks; th
 word there does not matter. Benchmark items and documents are hashed at every position under each mask. Equal hashes name
 a document, an item and the offset between them. Around each such offset the item is laid on the document and the equal
 words are counted, which tolerates substitutions at any place.
+
+Of WINDOW words with the substitutions that SHARE allows one of the two masks always finds a window that is equal where
+it looks. Items with fewer words have masks of their own that lose none either: with k substitutions allowed the
+positions are dealt into k + 1 groups or more, and each mask ignores k of them. Documents are hashed under these only if
+the benchmark holds items so short.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import drop, save
@@ -24,21 +33,45 @@ def words(text: Column) -> Column:
     return F.split(F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r")), "[\\x20\\x09-\\x0D]+")
 
 
+def short_masks(n: int) -> list[tuple[int, str]]:
+    """(first position, mask) that find every item of n < WINDOW words with as many substitutions as SHARE allows."""
+    k = n - math.ceil(SHARE * n)
+    groups = 1 if not k else 3 if k == 1 else 2 * k
+    out = []
+    for gone in itertools.combinations(range(groups), k):
+        mask = "".join("0" if i * groups // n in gone else "1" for i in range(n))
+        out.append((mask.index("1"), mask.strip("0")))
+    return out
+
+
 def _seed(mask: str, shortest: int) -> Column:
     """The seed of a mask at words[at]; null where the mask reaches beyond the last word."""
     seed = F.xxhash64(F.lit(mask), *[F.get("words", F.col("at") + i) for i, c in enumerate(mask) if c == "1"])
     return seed if len(mask) == shortest else F.when(F.col("at") <= F.size("words") - len(mask), seed)
 
 
-def seeded(tokens: DataFrame, key: str) -> DataFrame:
+def seeded(tokens: DataFrame, key: str, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """key, at, seed for each mask and each position of tokens.words.
 
     Positions are exploded first, so that hashing is compiled and no array of seeds is held.
     """
-    shortest = min(map(len, MASKS))
+    shortest = min(map(len, masks))
     starts = F.when(F.size("words") >= shortest, F.sequence(F.lit(0), F.size("words") - shortest))
     placed = tokens.select(key, "words", F.explode(starts).alias("at"))
-    return placed.select(key, "at", F.explode(F.array(*[_seed(m, shortest) for m in MASKS])).alias("seed")).where("seed is not null")
+    return placed.select(key, "at", F.explode(F.array(*[_seed(m, shortest) for m in masks])).alias("seed")).where("seed is not null")
+
+
+def item_seeds(items: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """seed, item_id, from of items(item_id, words), and the masks under which documents are to be hashed."""
+    found = [seeded(items.where(F.size("words") >= WINDOW), "item_id").select("seed", "item_id", F.col("at").alias("from"))]
+    masks = set(MASKS)
+    # At most WINDOW - 1 rows.
+    for n in sorted(r[0] for r in items.select(F.size("words").alias("n")).where(F.col("n") < WINDOW).distinct().collect()):
+        for first, mask in short_masks(n):
+            at = items.where(F.size("words") == n).select("item_id", "words", F.lit(first).alias("at"))
+            found.append(at.select(_seed(mask, len(mask)).alias("seed"), "item_id", F.col("at").alias("from")))
+            masks.add(mask)
+    return functools.reduce(DataFrame.unionByName, found), tuple(sorted(masks))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -47,16 +80,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     at is the word of the document on which the item's first word falls (negative: the item begins before the document),
     matched the equal words there, compared the item's words inside the document. A place counts if some WINDOW words of
     the item in a row (all, of shorter ones) have SHARE of their words equal in the document. One row per doc_id and
-    item_id. Items of fewer words than the shortest mask spans have no seeds and are not sought. Null texts have no
-    words; rows with a null doc_id or item_id are not sought; rows that share an id are each searched. Empty tables give
-    no rows; other columns are ignored.
+    item_id. Null and blank texts have no words; rows with a null doc_id or item_id are not sought; rows that share an id
+    are each searched; very long texts are searched whole. Empty tables give no rows; other columns are ignored.
     """
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", words(F.col("text")).alias("words"))
+    items = benchmark.where("item_id is not null and text is not null").select("item_id", words(F.col("text")).alias("words")).where("words[0] <> ''")
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    known = save(seeded(items, "item_id").select("seed", "item_id", F.col("at").alias("from")).distinct())
+    seeds, masks = item_seeds(items)
+    known = save(seeds.distinct())
     side = F.broadcast(known) if known.count() <= BROADCAST_SEEDS else known
     offset = (F.col("at") - F.col("from")).alias("offset")
-    hits = save(seeded(texts.select("doc_id", words(F.col("text")).alias("words")), "doc_id").join(side, "seed").select("doc_id", "item_id", offset).distinct())
+    hits = save(seeded(texts.select("doc_id", words(F.col("text")).alias("words")), "doc_id", masks).join(side, "seed").select("doc_id", "item_id", offset).distinct())
     pairs = hits.join(texts, "doc_id").select("doc_id", "item_id", "offset", words(F.col("text")).alias("words")).join(items.withColumnRenamed("words", "item"), "item_id")
     equal = F.transform("item", lambda w, i: F.when(F.coalesce(F.when(i + F.col("offset") >= 0, F.get("words", i + F.col("offset"))) == w, F.lit(False)), 1).otherwise(0))
     laid = pairs.select("doc_id", "item_id", F.col("offset").alias("at"), equal.alias("equal"), F.greatest(F.lit(0), F.least(F.size("item"), F.size("words") - F.col("offset")) - F.greatest(F.lit(0), -F.col("offset"))).alias("compared"))
