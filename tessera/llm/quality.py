@@ -80,10 +80,13 @@ class Model:
             return np.full(len(v), self.base)
         near = v @ self.vectors.T
         k = min(NEIGHBOURS, len(self.y))
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        w = np.maximum(np.take_along_axis(near, top, 1), 0).astype(np.float64) ** 4
+        # Of neighbours as near as the last one, those with the smaller doc_id come first, as the vectors lie in its order.
+        last = -np.partition(-near, k - 1, axis=1)[:, k - 1 : k]
+        tied = near == last
+        chosen = (near > last) | (tied & (np.cumsum(tied, 1) <= k - (near > last).sum(1, keepdims=True)))
+        w = np.where(chosen, np.maximum(near, 0), 0).astype(np.float64) ** 4
         total = w.sum(1)
-        said = (w * self.y[top]).sum(1) / np.maximum(total, 1e-12)
+        said = (w @ self.y) / np.maximum(total, 1e-12)
         return np.where((total > 1e-12) & x.any(1), np.clip(said, 0, 1), self.base)
 
 
@@ -138,7 +141,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of docs, whatever its other columns.
 
     Null, empty and blank texts hold nothing to compare and get the share of label 1 in the sample as score. Rows with a
-    null doc_id are scored and not held out; repeated rows are scored alike.
+    null doc_id are scored and not held out; repeated rows are scored alike; very long texts are counted whole, part by
+    part. No rows give no rows.
     """
     score = scorer(docs, fit(docs, labels))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text").cast("string")).alias("score"))
