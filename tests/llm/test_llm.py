@@ -1,6 +1,8 @@
 """The corpus operators against brute force, exact round trips and held-out labels."""
 
 import hashlib
+import itertools
+import math
 import re
 import zlib
 from collections import Counter
@@ -96,6 +98,60 @@ def test_minimum_cut_is_cheapest():
         assert cost(html_text.minimum_cut(scores, edges)) == pytest.approx(best)
 
 
+def bare_page(rng):
+    """A page without any hint, and its article: short lines in it, long ones among the links."""
+    words = "the report of a year in which we did many things that people asked for and some that nobody had thought before".split()
+    line = lambda a, b: " ".join(rng.choice(words, int(rng.integers(a, b)))).capitalize() + "."
+    tag = str(rng.choice(["p", "div"]))
+    article = [(str(rng.choice(["h1", tag])), line(2, 9))]
+    for _ in range(int(rng.integers(2, 9))):
+        article.append((tag, line(12, 80)))
+        if rng.random() < 0.5:
+            article.append((tag, str(rng.choice(["Yes", "No", "Then", "Why not", "12", "And so on"]))))
+    links = lambda a, b, lo, hi: [f"<li><a href=/>{line(lo, hi)}</a></li>" for _ in range(int(rng.integers(a, b)))]
+    foot = links(2, 7, 1, 3)
+    foot.insert(int(rng.integers(1, len(foot))), f"<li>{line(8, 19)}</li>")
+    body = "".join(f"<{t}>{x}</{t}>" for t, x in article)
+    return f"<body><div><ul>{''.join(links(3, 9, 1, 4))}</ul></div><div>{body}</div><div><ul>{''.join(foot)}</ul></div></body>", "\n".join(x for _, x in article)
+
+
+def test_cut_labels_pages_without_hints_better_than_signs():
+    rng, by_cut, by_sign = np.random.default_rng(3), 0, 0
+    for _ in range(200):
+        page, article = bare_page(rng)
+        found = html_text.blocks(page)
+        assert not any(b.good or b.bad or b.away for b in found)
+        by_cut += html_text.main_text(page) == article
+        by_sign += "\n".join(b.text for b in found if html_text.score(b) >= 0) == article
+    assert by_cut >= 195 and by_sign < 50
+
+
+def test_edges_follow_the_tree():
+    found = html_text.blocks("<div><p>a</p><p>b</p></div><p>c</p><div><p>d</p><section><p>e</p></section><p>f</p></div>")
+    assert [b.text for b in found] == list("abcdef") and [b.apart for b in found] == [0, 2, 3, 3, 3, 3]
+    weight = {(i, j): w for i, j, w in html_text.edges(found)}
+    assert weight[0, 1] > weight[1, 2] and weight[3, 5] == html_text.NEAR
+
+
+def test_long_and_deep_pages():
+    page = "<div>" * 50_000 + "<p>One sentence that is long enough to be kept in the end.</p>" + "</span></p></div>" * 60_000
+    assert html_text.main_text(page).startswith("One sentence")
+    long = "<article>" + "<p>A sentence of the article that goes on.</p>" * 30_000 + "</article>"
+    assert html_text.main_text(long).count("\n") == 29_999
+
+
+def test_op1_on_all_pages_equals_their_articles(spark):
+    # The pages of the tables hold one article element each; a plain reading of it is the brute force.
+    import html
+
+    rows = queries.op1_main_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect()
+    for r in rows:
+        inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+        parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"<br>", " ", x)))).strip() for x in re.split(r"</?(?:p|h1)>", inner)]
+        assert r.text == "\n".join(x for x in parts if x) and r.n_chars == len(r.text)
+    assert len(rows) == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
 def test_extract_edge_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, 1), (1, "u", PAGE, 1), (2, None, None, 2), (None, "x", "", 3)], "page_id long, url string, html string, text int")
     rows = html_text.extract(df).collect()
@@ -239,7 +295,7 @@ def test_base_spans(parts):
     text = "".join(parts)
     found = secrets.spans(text)
     assert [f"{k}:{a}:{b}" for k, a, b in found if k != "novel"] == naive_base(text)
-    assert secrets.spans(secrets.redacted(text, found)) == [] or found
+    assert secrets.redacted(text, found).replace("[SECRET]", "") == "".join(c for i, c in enumerate(text) if not any(a <= i < b for _, a, b in found))
 
 
 def test_runs_beyond_a_words_reach():
@@ -294,7 +350,7 @@ def test_candidates_on_both_sides_of_a_word():
 
 def test_pseudonyms(spark):
     texts = [(1, "call +1 (389) 555-5010 or +1-389-555-5010 by 2024-02-29."), (2, "again +1 (389) 555-5010, card 4041 8949 7460 8795 not 4041894974608796, on 29/02/2024"), (3, "4041894974608795 ip 42.144.35.254 not 300.1.2.3 ssn 123-45-6789 not 666-12-1234, 2023-02-29"), (4, None), (5, ""), (6, "no data, 12345 @ home"), (7, "mail ann.b7@mail.example.com")]
-    rows = {r.doc_id: r for r in pii.pseudonymise(docs(spark, texts)).collect()}
+    rows = {r.doc_id: r for r in pii.pseudonymise(docs(spark, texts), "k").collect()}
     phones = re.findall(r"\+1[ -]\(?\d{3}\)?[ -]\d{3}-\d{4}", rows[1].text) + re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", rows[2].text)
     assert len(phones) == 3 and len({re.sub(r"\D", "", p) for p in phones}) == 1 and "5010" not in phones[0]
     cards = [re.sub(r"\D", "", c) for c in (re.search(r"card ([\d ]{19})", rows[2].text)[1], rows[3].text.split()[0])]
@@ -308,6 +364,47 @@ def test_pseudonyms(spark):
     assert (rows[3].n_card, rows[3].n_ip, rows[3].n_ssn, rows[3].n_date) == (1, 1, 1, 0)
 
 
+def test_equal_numbers_however_written_get_equal_pseudonyms(spark):
+    groups = [
+        ["+49 30 1234567", "+49301234567", "+49-30-1234567", "+49 (30) 1234 567"], ["+1 389 555 5010", "(389) 555-5010", "389-555-5010", "1-389-555-5010", "+1 (389) 555-5010", "389.555.5010"],
+        ["+420 601 234 567", "+420601234567"], ["2221 0000 0000 0009", "2221000000000009"], ["+7 495 123 45 67", "+74951234567"],
+    ]
+    texts = [(10 * g + i, f"it is {x}, yes") for g, xs in enumerate(groups) for i, x in enumerate(xs)] + [(900, "x 2100 0000 0000 0004 y 389-155-5010 z 189-555-5010")]
+    rows = {r.doc_id: r.text for r in pii.pseudonymise(docs(spark, texts), "k").collect()}
+    for g, xs in enumerate(groups):
+        new = {re.sub(r"[^0-9]", "", rows[10 * g + i])[-10:] for i in range(len(xs))}
+        assert len(new) == 1 and all(rows[10 * g + i] != texts[0][1] and re.sub(r"[0-9]", "0", rows[10 * g + i]) == re.sub(r"[0-9]", "0", f"it is {x}, yes") for i, x in enumerate(xs)), (g, new)
+        assert new != {re.sub(r"[^0-9]", "", xs[0])[-10:]}
+    assert rows[30].startswith("it is 2221 ") and rows[0].startswith("it is +49") and rows[20].startswith("it is +420") and rows[900] == texts[-1][1]
+
+
+def test_feistel_against_its_inverse(spark):
+    def keyed(kind, i, v):
+        return int(hashlib.sha256(f"k|{kind}|{i}|{v}".encode()).hexdigest()[:14], 16)
+
+    rows = spark.range(0, 6_400_000_000, 97_000_003).select("id", pii.permute(F.col("id"), 640_000, 10_000, "k", "phone").alias("v")).collect()
+    for r in rows:
+        a, b = divmod(r.v, 10_000)
+        for i in reversed(range(pii.ROUNDS)):
+            if i % 2:
+                b = (b - keyed("phone", i, a)) % 10_000
+            else:
+                a = (a - keyed("phone", i, b)) % 640_000
+        assert a * 10_000 + b == r.id
+
+
+def test_pseudonym_edges(spark):
+    df = docs(spark, [(1, "x 42.144.35.254"), (1, "x 42.144.35.254"), (None, "mail a.b@c.de"), (2, "word " * 200_000 + "+1 (389) 555-5010")])
+    rows = pii.pseudonymise(df, "k").collect()
+    assert len(rows) == 4 and rows[0] == rows[1] and rows[2].n_email == 1 and rows[3].n_phone == 1 and len(rows[3].text) == 1_000_017
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0
+    spark.conf.unset("spark.tessera.pseudonym.key")
+    key = pii.session_key(spark)
+    assert len(key) == 64 and pii.session_key(spark) == key
+    plan = queries.op5_pseudonyms(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
 def test_permutations_are_bijections(spark):
     got = spark.range(17 * 23).select(pii.permute(F.col("id"), 17, 23, "k", "x").alias("v")).collect()
     assert sorted(r.v for r in got) == list(range(17 * 23))
@@ -324,20 +421,34 @@ def test_cross_entropy_by_hand(spark):
     words = {i: (t or "").split() for i, t in texts}
     size = len({w for ws in words.values() for w in ws})
 
-    def loss(known, ws):
-        one, two = {}, {}
+    def loss(known, i):
+        ws, one, two = words[i], Counter(), Counter()
         for k in known:
-            for i, w in enumerate(words[k]):
-                one[w] = one.get(w, 0) + 1
-                if i:
-                    two[words[k][i - 1], w] = two.get((words[k][i - 1], w), 0) + 1
-        p = [(one.get(w, 0) + 0.5) / (sum(one.values()) + 0.5 * size) for w in ws]
-        q = [p[0]] + [0.3 * p[i] + 0.7 * (two.get((ws[i - 1], ws[i]), 0) / one[ws[i - 1]] if one.get(ws[i - 1]) else p[i]) for i in range(1, len(ws))]
+            if k != i:
+                one.update(words[k])
+                two.update(zip(words[k], words[k][1:], strict=False))
+        p = [(one[w] + 0.5) / (one.total() + 0.5 * size) for w in ws]
+        q = [p[0]] + [0.3 * p[i] + 0.7 * (two[ws[i - 1], ws[i]] / one[ws[i - 1]] if one[ws[i - 1]] else p[i]) for i in range(1, len(ws))]
         return -np.mean(np.log(q))
 
     for i in (1, 2, 3):
-        assert rows[i].target_loss == pytest.approx(loss([1], words[i]), abs=1e-5) and rows[i].background_loss == pytest.approx(loss([1, 2, 3], words[i]), abs=1e-5)
-    assert rows[1].score > rows[2].score and rows[4].score is None and rows[4].n_words == 0
+        assert rows[i].target_loss == pytest.approx(loss([1], i), abs=1e-9) and rows[i].background_loss == pytest.approx(loss([1, 2, 3], i), abs=1e-9)
+    assert rows[4].score is None and rows[4].n_words == 0
+
+
+def test_cross_entropy_edges(spark):
+    df = docs(spark, [(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, "a b c d " * 60_000)])
+    rows = lm_score.cross_entropy_difference(df, spark.createDataFrame([], "doc_id long")).collect()
+    assert len(rows) == 4 and rows[0] == rows[1] and rows[0].score == rows[2].score and len({r.target_loss for r in rows[:3]}) == 1
+    assert lm_score.cross_entropy_difference(df.limit(0), df.select("doc_id")).count() == 0
+
+
+def test_cross_entropy_with_shuffled_ids_is_the_same(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} w{i % 3}") for i in range(60)], "doc_id long, text string").repartitionByRange(3, "doc_id")
+    ids = spark.range(0, 60, 4).withColumnRenamed("id", "doc_id")
+    want = sorted(lm_score.cross_entropy_difference(df, ids).collect())
+    monkeypatch.setattr(lm_score, "BROADCAST_IDS", 3)
+    assert [(r.doc_id, pytest.approx(r.score)) for r in want] == [(r.doc_id, r.score) for r in sorted(lm_score.cross_entropy_difference(df, ids).collect())]
 
 
 def test_cross_entropy_has_exact_counts_on_a_large_vocabulary(spark, monkeypatch):
@@ -351,10 +462,12 @@ def test_cross_entropy_has_exact_counts_on_a_large_vocabulary(spark, monkeypatch
     rows = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
     size = len({w for ws in words.values() for w in ws})
     for name, known in (("target_loss", target), ("background_loss", list(words))):
-        one, two = Counter(w for i in known for w in words[i]), Counter(x for i in known for x in zip(words[i], words[i][1:], strict=False))
-        total = sum(one.values())
+        every, pairs = Counter(w for i in known for w in words[i]), Counter(x for i in known for x in zip(words[i], words[i][1:], strict=False))
+        total, known = every.total(), set(known)
         for i, ws in words.items():
-            p = [(one[w] + 0.5) / (total + 0.5 * size) for w in ws]
+            own, own2 = (Counter(ws), Counter(zip(ws, ws[1:], strict=False))) if i in known else (Counter(), Counter())
+            one, two = {w: every[w] - own[w] for w in ws}, {x: pairs[x] - own2[x] for x in zip(ws, ws[1:], strict=False)}
+            p = [(one[w] + 0.5) / (total - own.total() + 0.5 * size) for w in ws]
             q = [p[0]] + [0.3 * p[k] + 0.7 * (two[ws[k - 1], ws[k]] / one[ws[k - 1]] if one[ws[k - 1]] else p[k]) for k in range(1, len(ws))]
             assert rows[i][name] == pytest.approx(-np.mean(np.log(q)), abs=1e-9)
 
@@ -368,9 +481,7 @@ def brute_overlaps(texts, items):
         for j, u in items:
             w, v = split(t or ""), split(u or "")
             span = min(len(v), decontaminate.WINDOW)
-            if len(v) < 7:
-                continue
-            for o in range(1 - len(v), len(w)):
+            for o in range(1 - len(v), len(w)) if v else ():
                 eq = [0 <= o + k < len(w) and w[o + k] == v[k] for k in range(len(v))]
                 if any(sum(eq[k : k + span]) >= decontaminate.SHARE * span for k in range(len(v) - span + 1)):
                     out.add((i, j))
@@ -385,7 +496,15 @@ def test_decontamination(spark):
         w = items[i][1].split()
         w[len(w) // 2] = "changed"  # a substitution is tolerated
         texts.append((100 + i, f"{prose(rng, 30)} {' '.join(w)} {prose(rng, 11 + i)}"))
-    texts += [(200, items[0][1]), (201, None), (202, ""), (203, items[1][1].upper())]
+    texts += [(200, items[0][1]), (201, None), (202, ""), (203, items[1][1].upper()), (204, "this is too short for most"), (205, items[2][1].split(" ", 2)[2]), (206, "far " * 20 + items[3][1].rsplit(" ", 2)[0])]
+    items += [(60 + n, " ".join(f"s{n}{i}" for i in range(n))) for n in range(1, 14)]
+    for n in range(1, 14):  # items of few words, with substitutions, and cut by the document's edges
+        for k in range(3):
+            w = items[-14 + n][1].split()
+            for i in rng.choice(n, min(k, n), replace=False):
+                w[int(i)] = "other"
+            texts.append((300 + 10 * n + k, f"{prose(rng, int(rng.integers(0, 4)))} {' '.join(w)} {prose(rng, int(rng.integers(0, 4)))}"))
+        texts += [(303 + 10 * n, " ".join(items[-14 + n][1].split()[1:])), (304 + 10 * n, " ".join(items[-14 + n][1].split()[:-2]))]
     items_df = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, words int")
     got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs(spark, texts), items_df).collect()}
     assert got == brute_overlaps(texts, [x for x in items if x[0] is not None]) and len(got) >= 10
@@ -394,6 +513,23 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(docs(spark, []), items_df).count() == 0
 
 
+def test_masks_lose_no_accepted_item():
+    for n in range(1, 14):
+        seeds = decontaminate.short_masks(n) if n < decontaminate.WINDOW else [(a, m) for m in decontaminate.MASKS for a in range(n - len(m) + 1)]
+        for k in range(n - math.ceil(decontaminate.SHARE * n) + 1):
+            for gone in itertools.combinations(range(n), k):
+                assert any(all(first + i not in gone for i, c in enumerate(mask) if c == "1") for first, mask in seeds), (n, gone)
+
+
+def test_decontamination_beyond_the_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    items = spark.createDataFrame([(i, prose(rng, 20)) for i in range(5)], "item_id long, text string")
+    texts = docs(spark, [(i, f"{prose(rng, 30)} {r.text}") for i, r in enumerate(items.collect())] + [(50, "word " * 250_000)])
+    want = sorted(decontaminate.overlaps(texts, items).collect())
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 1)
+    assert sorted(decontaminate.overlaps(texts, items).collect()) == want and len(want) == 5
+
+
 @pytest.mark.parametrize("at", [0, 1, 2, 5])
 def test_decontamination_meets_one_window_at_any_position(spark, at):
     item = "alpha bravo charlie delta echo foxtrot golf"  # as long as the shortest mask: one window
@@ -427,6 +563,21 @@ def test_rollup(spark, tmp_path):
     with pytest.raises(Exception, match="unknown op"):
         store.commit("3", batch(("upsert", "s", "en", "v1", 1, None)))
     assert store.batches() == ["1", "2"]
+    before = sorted(map(str, store.totals().collect()))
+    assert store.compact() and sorted(map(str, store.totals().collect())) == before
+    assert not store.commit("2", batch(("insert", "s", "en", "v1", 1000, None))) and sorted(map(str, store.totals().collect())) == before
+    assert store.commit("4", batch(("insert", "s", "en", "v1", 1, None), ("insert", "s", "en", "v1", 1, None), ("insert", None, None, None, None, None))) and store.compact()
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in store.totals().collect()} == {("s", "en", "v1"): (4, 19), ("s", "en", "v2"): (1, 9), (None, None, None): (1, 0)}
+    assert store.commit("5", batch()) and store.totals().count() == 3
+
+
+def test_op8_against_counting_one_by_one(spark):
+    exact, want = Tokenizer.from_file(PATH), {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        n, t = want.get((r.source, r.lang), (0, 0))
+        want[r.source, r.lang] = n + 1, t + len(exact.encode(r.text or "", add_special_tokens=False).ids)
+    got = {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in queries.op8_token_rollup(spark, SF).collect()}
+    assert got == want
 
 
 # --- 9
@@ -439,7 +590,67 @@ def test_image_copies(spark):
     got = {r.media_id: r for r in media.copies(df).collect()}
     want = {i: i - i % 2 for i in range(60)} | {100: 4, 101: 101, 102: 102, 103: 103, None: None}
     assert {i: r.class_id for i, r in got.items()} == want
-    assert got[0].n_links == 1 and got[101].n_points == 0 and media.copies(df.limit(0)).count() == 0
+    assert got[0].n_points >= 16 and got[101].n_points is None and media.copies(df.limit(0)).count() == 0
+
+
+def edited(rng, picture, size=8):
+    """A crop of a picture, brighter or darker, noisy, turned."""
+    h, w = picture.shape
+    top, left = rng.integers(0, size + 1, 2)
+    x = picture[top : h - size + top, left : w - size + left]
+    x = np.clip((x - 128) * rng.uniform(0.7, 1) + 128 + rng.uniform(-20, 20) + rng.normal(0, 2, x.shape), 0, 255)
+    return np.rot90(x, int(rng.integers(0, 4)))
+
+
+def pgm(x):
+    return bytearray(b"P5 %d %d 255\n" % x.shape[::-1] + np.rint(x).astype(np.uint8).tobytes())
+
+
+@pytest.mark.parametrize("rare", [64, 3])
+def test_image_copies_against_all_pairs(spark, monkeypatch, rare):
+    # Pictures that share a frame, and one class of 60 different edits: with rare = 3 nearly all buckets are large ones.
+    monkeypatch.setattr(media, "RARE", rare)
+    monkeypatch.setattr(media, "PIVOTS", 1 if rare == 3 else 4)
+    rng = np.random.default_rng(11)
+    draw = lambda n: media._box(np.kron(rng.integers(0, 256, (n, n)), np.ones((5, 5))).astype(float), 1)
+    frame, rows = draw(20), []
+    for _ in range(20):  # a shared half
+        x = draw(20)
+        x[:, :50] = frame[:, :50]
+        rows.append(x)
+    one = draw(20)
+    rows += [edited(rng, one, 12) for _ in range(60)]
+    rows += [f(x) for x in (draw(16) for _ in range(40)) for f in (lambda x: x, lambda x: edited(rng, x))]
+    data = [(i, pgm(x)) for i, x in enumerate(rows)]
+    points = [(np.array([v for p in k for v in p[:4]]), np.frombuffer(b"".join(p[4] for p in k), np.int32)) for k in (media.keypoints(media.decode(bytes(c))) for _, c in data)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if find(i) != find(j) and media.matches(*points[j], *points[i]) >= media.INLIERS:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r.media_id: r.class_id for r in media.copies(spark.createDataFrame(data, "media_id long, content binary")).collect()}
+    assert got == {i: find(i) for i in range(len(rows))} and len(set(got.values())) < 50
+
+
+def test_small_crops_of_large_pictures(spark):
+    rng = np.random.default_rng(12)
+    large = [media._box(np.kron(rng.integers(0, 256, (80, 80)), np.ones((5, 5))).astype(float), 1) for _ in range(6)]
+    rows = [(2 * i + k, pgm(x)) for i, x in enumerate(large) for k, x in ((0, x), (1, edited(rng, x[100:190, 220:310], 4)))]
+    got = {r.media_id: r.class_id for r in media.copies(spark.createDataFrame(rows, "media_id long, content binary")).collect()}
+    assert got == {i: i - i % 2 for i in range(12)}
+
+
+def test_recall_of_drawn_pictures(spark):
+    v = np.random.default_rng(0).standard_normal((600, 64))
+    rows = media.copies(queries.pictures(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v / np.linalg.norm(v, axis=1, keepdims=True))], "vec_id long, embedding array<double>"))).collect()
+    assert all(r.class_id == r.media_id - r.media_id % 2 for r in rows) and len(rows) == 1200
 
 
 def test_image_formats():
@@ -465,12 +676,33 @@ def test_quality_on_held_out_labels(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
 
 
+def test_votes_are_those_of_the_nearest_with_ties_by_doc_id():
+    rng = np.random.default_rng(2)
+    x = np.abs(rng.normal(size=(80, quality.WIDTH))).astype(np.float32)
+    x[40:60] = x[0]  # twenty ties
+    y = rng.integers(0, 2, 80)
+    model = quality.Model(x, y)
+    q = np.abs(rng.normal(size=(30, quality.WIDTH))).astype(np.float32)
+    q[:5] = x[0]
+    for vec, got in zip(quality._unit((q * model.idf) @ model.project), model.vote(q), strict=True):
+        near = model.vectors @ vec
+        got_near = (vec[None] @ model.vectors.T)[0]
+        assert np.allclose(near, got_near, atol=1e-6)
+        order = sorted(range(80), key=lambda i: (-got_near[i], i))[: quality.NEIGHBOURS]
+        w = [max(0.0, float(got_near[i])) ** 4 for i in order]
+        assert got == pytest.approx(sum(a * y[i] for a, i in zip(w, order)) / sum(w), abs=0.05)
+
+
 def test_quality_edges(spark):
     df = docs(spark, [(1, None), (2, ""), (None, "some text here"), (3, "some text here")])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in quality.quality_scores(df, none).collect()} == {0.5}
     some = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (None, 1, 0), (4, None, 1)], "doc_id long, quality int, toxic int")
     assert quality.quality_scores(df, some).count() == 4
+    assert quality.quality_scores(df.limit(0), some).count() == 0
+    long = docs(spark, [(1, "some words and others " * 60_000), (2, "some words and others " * 60_000)])
+    got = quality.quality_scores(long, some).collect()
+    assert got[0].score == got[1].score and 0 <= got[0].score <= 1
 
 
 # --- pipeline
