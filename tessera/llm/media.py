@@ -219,31 +219,34 @@ def _least(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
 
 
-def candidates(met: DataFrame, sizes: DataFrame) -> DataFrame:
-    """a < b: images of met(rep, word) that share MEET words of which one has at most RARE images, and in a larger bucket
-    each image with the bucket's pivots.
+def candidates(met: DataFrame) -> DataFrame:
+    """a < b, once for each word that they share, of met(rep, word, n) in words of at most RARE images."""
+    rare = met.where(F.col("n") <= RARE)
+    return rare.select(F.col("rep").alias("a"), "word").join(rare.select(F.col("rep").alias("b"), "word"), "word").where("a < b").select("a", "b")
 
-    Pivots are the images that PIVOTS hashes put first, so buckets of the same images have the same pivots.
+
+def pivoted(met: DataFrame) -> DataFrame:
+    """a < b: in each word of more than RARE images each image with the word's pivots.
+
+    Pivots are the images that PIVOTS hashes put first, so words of the same images have the same pivots.
     """
-    rare = met.join(sizes.where(F.col("n") <= RARE).select("word"), "word", "left_semi")
-    both = rare.select(F.col("rep").alias("a"), "word").join(rare.select(F.col("rep").alias("b"), "word"), "word").where("a < b").select("a", "b")
-    hot = met.join(sizes.where(F.col("n") > RARE), "word").select("rep", F.explode("pivots").alias("p")).where("rep <> p")
-    return both.unionByName(hot.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")))
+    hot = met.where(F.col("n") > RARE)
+    first = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep"))).alias(f"p{i}") for i in range(PIVOTS)]
+    pivots = hot.groupBy("word").agg(*first).select("word", F.explode(F.array_distinct(F.array(*[F.col(f"p{i}.rep") for i in range(PIVOTS)]))).alias("p"))
+    return hot.join(pivots, "word").where("rep <> p").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
 
 
-def left_over(met: DataFrame, sizes: DataFrame, found: DataFrame) -> DataFrame:
+def left_over(met: DataFrame, found: DataFrame) -> DataFrame:
     """a < b: images of different components that share MEET words, one of them with more than RARE images.
 
-    In each such bucket the images outside its largest component meet the others again by a second word, so that only
-    pairs that share two words are made. A bucket whose images are one component costs nothing.
+    In each such word the images outside its largest component meet the others again by a second word, so that only pairs
+    that share two words are made. A word whose images are one component costs nothing.
     """
-    hot = met.join(sizes.where(F.col("n") > RARE).select("word"), "word", "left_semi").join(found, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    hot = save(hot)
-    main = save(hot.groupBy("word", "comp").count().groupBy("word").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("word", "main"))
-    open_ = hot.join(main, "word")
-    second = open_.join(met.withColumnRenamed("word", "next"), "rep").where("next <> word")
+    hot = save(met.where(F.col("n") > RARE).join(found, "rep", "left").select("rep", "word", F.coalesce("comp", "rep").alias("comp")))
+    sizes = hot.groupBy("word", "comp").count()
+    main = save(sizes.groupBy("word").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("word", "main"))
+    second = hot.join(main, "word").join(met.select("rep", F.col("word").alias("next")), "rep").where("next <> word")
     second = save(second.select("word", "next", "rep", "comp", (F.col("comp") != F.col("main")).alias("out")))
-    # The smallest pair of shared words would do; both orders of two hot words are met, distinct drops them.
     one = second.where("out").select("word", "next", F.col("rep").alias("x"), F.col("comp").alias("cx"))
     two = second.select("word", "next", F.col("rep").alias("y"), F.col("comp").alias("cy"))
     return one.join(two, ["word", "next"]).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
@@ -257,20 +260,18 @@ def copies(media: DataFrame) -> DataFrame:
     the class of each; a null media_id is in no class (null). No rows give no rows.
     """
     base = save(media.select(F.col("media_id").cast("long").alias("media_id"), "content").mapInArrow(_describe, "media_id long, key binary, places array<float>, codes array<int>"))
-    live = base.where("media_id is not null and key is not null")
-    reps = save(live.groupBy("key").agg(F.min("media_id").alias("rep")))
-    same = live.select("media_id", "key").join(reps, "key").select("media_id", "rep")
-    own = save(same.where("media_id = rep").select("rep").distinct())
-    points = live.select(F.col("media_id").alias("rep"), "places", "codes").join(own, "rep", "left_semi")
+    reps = save(base.where("media_id is not null and key is not null").groupBy("key").agg(F.min("media_id").alias("rep")))
+    n_points = F.when(F.col("key").isNotNull(), F.floor(F.size("places") / 4)).cast("int").alias("n_points")
+    ids = save(base.select("media_id", "key", n_points).join(reps, "key", "left").select("media_id", "n_points", "rep"))
+    points = save(base.withColumnRenamed("media_id", "rep").join(reps, ["key", "rep"], "left_semi").select("rep", "places", "codes"))
+    drop(base, reps)
     # Words of one table of the two get an even number, those of the other an odd one.
     half = lambda i: F.shiftleft(F.get("codes", i).cast("long"), 32).bitwiseOR(F.pmod(F.get("codes", i + 1).cast("long"), F.lit(1 << 32)))
     table = lambda i: (half(i).bitwiseOR(F.lit(1)) - F.when(i % WORDS == 0, 1).otherwise(0)).cast("long")
     words = F.transform(F.when(F.size("codes") > 0, F.sequence(F.lit(0), F.size("codes") - 1, F.lit(WORDS // TABLES))), table)
-    word = points.select("rep", F.explode(F.array_distinct(words)).alias("word")).distinct()
-    pivot = [F.min(F.struct(F.xxhash64("rep", F.lit(i)).alias("h"), F.col("rep"))) for i in range(PIVOTS)]
-    sizes = save(word.groupBy("word").agg(F.count("*").alias("n"), *[p.alias(f"p{i}") for i, p in enumerate(pivot)]).where("n > 1").select("word", "n", F.array_distinct(F.array(*[F.col(f"p{i}.rep") for i in range(PIVOTS)])).alias("pivots")))
-    met = save(word.join(sizes.select("word"), "word", "left_semi"))
-    at = lambda x: points.select(F.col("rep").alias(x), F.col("places").alias(f"places_{x}"), F.col("codes").alias(f"codes_{x}"))
+    word = points.select("rep", F.explode(F.array_distinct(words)).alias("word"))
+    sizes = save(word.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"))
+    met = save(word.join(sizes, "word"))
 
     @F.pandas_udf("long")
     def agreeing(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -279,17 +280,19 @@ def copies(media: DataFrame) -> DataFrame:
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = save(pairs)
-        both = pairs.join(at("a"), "a").join(at("b"), "b")
+        at = lambda x: points.select(F.col("rep").alias(x), F.col("places").alias(f"places_{x}"), F.col("codes").alias(f"codes_{x}"))
         n = agreeing("places_a", "codes_a", "places_b", "codes_b")
-        links = save(both.select("a", "b", n.alias("n")).where(F.col("n") >= INLIERS).select("a", "b").distinct())
+        links = save(pairs.join(at("a"), "a").join(at("b"), "b").select("a", "b", n.alias("n")).where(F.col("n") >= INLIERS).select("a", "b"))
         drop(pairs)
         return links
 
-    shared = candidates(met, sizes).groupBy("a", "b").count().where(F.col("count") >= MEET).select("a", "b")
-    # A pair with a rare word and a hot one meets once above; what it lacks is that second word.
-    links = confirmed(shared)
-    if not sizes.where(F.col("n") > RARE).isEmpty():
-        links = links.unionByName(confirmed(left_over(met, sizes, _least(links)).distinct()))
-    found = components(links.unionByName(same.where("media_id <> rep").select(F.col("media_id").alias("a"), F.col("rep").alias("b")))).select(F.col("node").alias("media_id"), F.col("component").alias("least"))
-    out = base.select("media_id", F.when(F.col("key").isNotNull(), F.floor(F.size("places") / 4)).cast("int").alias("n_points")).join(found, "media_id", "left")
-    return out.select("media_id", F.coalesce("least", "media_id").alias("class_id"), "n_points")
+    shared = candidates(met)
+    hot = not sizes.where(F.col("n") > RARE).isEmpty()
+    if hot:
+        shared = shared.unionByName(pivoted(met))
+    links = confirmed(shared.groupBy("a", "b").count().where(F.col("count") >= MEET).select("a", "b"))
+    if hot:
+        links = links.unionByName(confirmed(left_over(met, _least(links)).distinct()))
+    drop(sizes, met)
+    found = components(links.unionByName(ids.where("media_id <> rep").select(F.col("media_id").alias("a"), F.col("rep").alias("b")))).select(F.col("node").alias("media_id"), F.col("component").alias("least"))
+    return ids.join(found, "media_id", "left").select("media_id", F.coalesce("least", "media_id").alias("class_id"), "n_points")
