@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, html_text, lm_score, media, near_dedup, packing, pii, quality, rollup, secrets
 from .common import long_texts, save, scratch_path
+from .oracle import ORACLE_SQL  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -103,4 +104,3 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_best_fit_packing, op3_near_duplicates, op4_secret_scan, op5_pseudonyms, op6_cross_entropy, op7_decontaminate, op8_token_rollup, op9_image_copies, op10_quality)}
-ORACLE_SQL: dict[str, str] = {}

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -280,6 +281,16 @@ def test_near_duplicates_edges(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("name", ["op3_near_duplicates", "op7_decontaminate"])
+def test_queries_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    df, result = queries.QUERIES[name](spark, SF), con.execute(queries.ORACLE_SQL[name])
+    assert sorted(d[0] for d in result.description) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*[d[0] for d in result.description]).collect())) == sorted(result.fetchall())
+
+
 # --- 4
 
 def naive_base(text):
@@ -707,6 +718,40 @@ def test_quality_edges(spark):
 
 # --- pipeline
 
+def odd_documents(spark):
+    rng = np.random.default_rng(5)
+    good = [r for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' and length(text) > 500").orderBy("doc_id").limit(6).collect()]
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, i, "x") for i, r in enumerate(good)]
+    rows += [(*rows[0][:5], 90, "x"), (900_001, None, "en", "s", None, 91, None), (900_002, "", "en", None, 0, 92, "x"), (None, good[1].text, "en", "s", 5, 93, "x"), (900_003, good[2].text + " more", None, "s", 9, 94, "x"), (900_004, prose(rng, 150_000), "en", "s", 1, 95, "x"), (900_004, prose(rng, 30), "en", "s", 1, 96, "x")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score long, key string")
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    df = odd_documents(spark).repartition(3).cache()
+    stages, n = dict(corpus_pipeline.STAGES), df.count()
+    by_score = lambda out: sorted(r.score for r in out.collect())
+    out = stages["near_dedup"](spark, df, SF)
+    assert out.columns == df.columns
+    left = by_score(out)
+    assert len({0, 90} & set(left)) == 1 and 94 not in left and {91, 92, 93, 95, 96} <= set(left)
+    for name in ("quality", "benchmark", "secrets"):
+        out = stages[name](spark, df, SF)
+        got = by_score(out)
+        assert out.columns == df.columns and set(got) <= set(by_score(df)) and (name == "quality" or {91, 92, 93} <= set(got))
+        assert (0 in got) == (90 in got)
+    assert by_score(stages["secrets"](spark, df, SF)) == by_score(df)
+    rows = stages["packing"](spark, df, SF).where("piece = 0").count()
+    assert rows == n
+    none = df.limit(0)
+    assert all(stage(spark, none, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_dedup_stage_against_brute_force(spark):
+    docs_in = spark.read.parquet(f"{SF}/documents.parquet")
+    want = brute_components([(r.doc_id, r.text) for r in docs_in.collect()], 5, 80)
+    assert {r.doc_id for r in corpus_pipeline.dedup_stage(spark, docs_in, SF).collect()} == {i for i, (_, c) in want.items() if i == c}
+
+
 def test_pipeline(spark):
     rng = np.random.default_rng(12)
     docs_in = spark.read.parquet(f"{SF}/documents.parquet")
