@@ -10,6 +10,11 @@ WORD = r"[^\s\x0B]+"
 MARK = r"\[\[page:(\d+)\]\]"
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with value computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
@@ -112,7 +117,7 @@ def value_and_unit(span: Column) -> Column:
     pattern = F.lit("(?i)" + L.VALUE)
     raw = F.regexp_replace(F.regexp_extract(span, "(?i)" + L.VALUE, 1), "[ \u00a0]", "")
     raw = F.regexp_replace(raw, r"[.,]+$", "")
-    number = F.when(raw.rlike(r"^-?\d{1,3}(,\d{3})+(\.\d+)?$"), F.replace(raw, F.lit(","), F.lit(""))).when(raw.rlike(r"^-?\d+,\d{1,2}$"), F.replace(raw, F.lit(","), F.lit("."))).otherwise(F.replace(raw, F.lit(","), F.lit("")))
+    number = F.when(raw.rlike(L.GROUPED), F.replace(raw, F.lit(","), F.lit(""))).when(raw.rlike(L.DECIMAL_COMMA), F.replace(raw, F.lit(","), F.lit("."))).otherwise(F.replace(raw, F.lit(","), F.lit("")))
     value = number.try_cast("double")
     unit = F.nullif(F.regexp_extract_all(span, pattern, 2)[0], F.lit(""))
     return F.struct(value.alias("value"), F.when(value.isNotNull(), unit).alias("unit"))
@@ -170,19 +175,42 @@ def theme_of_label(label: Column) -> Column:
 
 
 def transient_error(message: Column) -> Column:
-    return F.lower(message).rlike("rate limit|overloaded|timeout|429|500|502|529")
+    return F.lower(message).rlike("|".join(L.TRANSIENT))
 
 
 def repaired_json(raw: Column) -> Column:
     """JSON text of a sloppy answer: as it is, from its fence, from its outermost braces, or closed; null of the rest."""
-    text = strip(raw)
-    ok = lambda c: F.when(F.try_parse_json(c).isNotNull(), c)
-    inside = F.nullif(strip(F.regexp_extract(text, r"(?s)```(?:json)?\s*(.+?)```", 1)), F.lit(""))
-    body = F.coalesce(inside, text)
-    from_brace = F.nullif(F.regexp_extract(body, r"(?s)\{.*", 0), F.lit(""))
-    to_brace = F.coalesce(F.nullif(F.regexp_extract(from_brace, r"(?s)^.*\}", 0), F.lit("")), from_brace)
-    tidy = F.regexp_replace(F.regexp_replace(to_brace, r",\s*([}\]])", "$1"), r"[\s,]+$", "")
-    n = lambda c: F.regexp_count(tidy, F.lit(c))
-    missing = lambda a, b: F.greatest(n(a) - n(b), F.lit(0))
-    closed = F.concat(tidy, F.repeat(F.lit("]"), missing(r"\[", r"\]")), F.repeat(F.lit("}"), missing(r"\{", r"\}")))
-    return F.coalesce(ok(text), ok(inside), ok(to_brace), ok(closed))
+
+    def first_good(c: Column, otherwise) -> Column:
+        return let(c, lambda x: F.when(F.try_parse_json(x).isNotNull(), x).otherwise(otherwise(x)))
+
+    def unfenced(text: Column) -> Column:
+        inside = strip(F.regexp_extract(text, r"(?s)```(?:json)?\s*(.+?)```", 1))
+        return let(F.nullif(inside, F.lit("")), lambda x: F.when(x.isNull(), braced(text)).otherwise(first_good(x, braced)))
+
+    def braced(body: Column) -> Column:
+        whole = F.nullif(F.regexp_extract(body, r"(?s)\{.*\}", 0), F.lit(""))
+        return first_good(F.coalesce(whole, F.nullif(F.regexp_extract(body, r"(?s)\{.*", 0), F.lit(""))), closed)
+
+    def closed(cut: Column) -> Column:
+        tidy = F.regexp_replace(F.regexp_replace(cut, r",\s*([}\]])", "$1"), r"[\s,]+$", "")
+        missing = lambda t, a, b: F.greatest(F.regexp_count(t, F.lit(a)) - F.regexp_count(t, F.lit(b)), F.lit(0))
+        full = lambda t: F.concat(t, F.repeat(F.lit("]"), missing(t, r"\[", r"\]")), F.repeat(F.lit("}"), missing(t, r"\{", r"\}")))
+        return first_good(let(tidy, full), lambda x: F.lit(None).cast("string"))
+
+    return first_good(strip(raw), unfenced)
+
+
+def megabytes(n: Column) -> Column:
+    """Bytes as MB with one digit."""
+    return F.concat(F.format_number(n / (1024 * 1024), 1), F.lit(" MB"))
+
+
+def percent(part: Column, whole: Column) -> Column:
+    """part of whole with one digit; nothing of nothing is 0.0%."""
+    return F.concat(F.format_number(F.coalesce(100 * part / F.nullif(whole, F.lit(0)), F.lit(0.0)), 1), F.lit("%"))
+
+
+def safe_name(name: Column, most: int = 60) -> Column:
+    """Everything but word characters as _, the head of long names."""
+    return F.substring(F.regexp_replace(name, r"(?U)[^\w]", "_"), 1, most)

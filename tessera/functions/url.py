@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .lexicon import REPORT_WORDS
-from .text import strip
+from .lexicon import RECOVER_WORDS, REPORT_WORDS
+from .text import let, strip
 
-
-def _let(value: Column, f) -> Column:
-    """f(value) with value computed once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
+#: Redirects inside redirects that are unwrapped.
+LEVELS = 8
 
 
 def unwrapped(url: Column) -> Column:
@@ -21,17 +19,17 @@ def unwrapped(url: Column) -> Column:
         wrapped = u.rlike(r"(?i)^[a-z]+://(?:[^/?#]*\.)?google\.[a-z.]+/url\?")
         return F.when(wrapped, F.coalesce(F.try_url_decode(found), u)).otherwise(u)
 
-    return _let(url, target)
+    return let(url, target)
 
 
 def _based(url: Column) -> Column:
     mended = F.regexp_replace(F.replace(strip(url), F.lit(" "), F.lit("%20")), r"(?i)^h+(ttps?://)", "h$1")
-    return _let(mended, lambda c: F.when(c.startswith("//"), F.concat(F.lit("https:"), c)).when((c != "") & ~c.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), F.concat(F.lit("https://"), c)).otherwise(c))
+    return let(mended, lambda c: F.when(c.startswith("//"), F.concat(F.lit("https:"), c)).when((c != "") & ~c.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), F.concat(F.lit("https://"), c)).otherwise(c))
 
 
 def clean_url(url: Column) -> Column:
-    """Trimmed, blanks encoded, doubled letters and missing schemes mended, redirects of two levels unwrapped."""
-    return _based(unwrapped(_based(unwrapped(_based(url)))))
+    """Trimmed, blanks encoded, doubled letters and missing schemes mended, redirects unwrapped up to LEVELS deep."""
+    return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), _based(url), lambda u, _: F.when(unwrapped(u) == u, u).otherwise(_based(unwrapped(u))))
 
 
 def mirror_key(url: Column) -> Column:
@@ -67,3 +65,18 @@ def report_links(html: Column, base: Column, most: int | None = None) -> Column:
     worded = F.array_sort(F.transform(fit, lambda x, i: F.struct(F.when(F.lower(x).rlike("|".join(REPORT_WORDS)), 0).otherwise(1).alias("rank"), i.alias("pos"), x.alias("link"))))
     out = F.array_distinct(F.transform(worded, lambda x: clean_url(absolute(x["link"], base))))
     return out if most is None else F.slice(out, 1, most)
+
+
+def recover_links(html: Column, base: Column) -> Column:
+    """Links of a second try: redirect and .pdf links, absolute, those with report words first, each once, as they are."""
+    refresh = F.regexp_extract_all(html, F.lit(r"""(?i)http-equiv=[\x22\x27]refresh[\x22\x27][^>]*content=[\x22\x27][^\x22\x27]*url=([^\x22\x27>]+)"""), 1)
+    files = F.regexp_extract_all(html, F.lit(r"""(?i)(?:href|src)=[\x22\x27]([^\x22\x27]*\.pdf(?:\?[^\x22\x27]*)?)[\x22\x27]"""), 1)
+    found = F.transform(F.concat(F.transform(F.slice(refresh, 1, 1), strip), files), lambda x: absolute(x, base))
+    worded = F.array_sort(F.transform(found, lambda x, i: F.struct(F.when(F.lower(x).rlike("|".join(RECOVER_WORDS)), 0).otherwise(1).alias("rank"), i.alias("pos"), x.alias("link"))))
+    return F.array_distinct(F.transform(worded, lambda x: x["link"]))
+
+
+def headers(url: Column, agent: str) -> Column:
+    """What a browser sends along, with the link's origin as referer."""
+    known = {"User-Agent": agent, "Accept": "application/pdf,text/html,application/xhtml+xml,*/*;q=0.8", "Accept-Language": "en-US,en;q=0.9"}
+    return F.create_map(*[F.lit(x) for pair in known.items() for x in pair], F.lit("Referer"), F.concat(origin(url), F.lit("/")))

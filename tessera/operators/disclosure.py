@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import text as X
 from ..functions import lexicon as L
 from .relational import top_per_group
+from .semantic import top_similarities
 
 TOP_K, FLOOR, PER_CODE, MOST_CODES, ENTAILED, ANSWERED, MATERIAL = 4, 0.45, 2, 3, 0.55, 0.35, 2
 HIT = ["stem", "dr_code"]
@@ -72,11 +73,29 @@ def is_target(title: Column) -> Column:
     return F.lower(title).rlike("|".join(L.TARGET_WORDS))
 
 
-def question(code: Column, title: Column) -> Column:
-    known = F.lit(None).cast("string")
-    for k, v in L.QUESTIONS.items():
-        known = F.when(code == k, v).otherwise(known)
-    return F.coalesce(known, F.concat(F.lit("What is the reported "), title, F.lit("?")))
+def questions(codes: DataFrame) -> DataFrame:
+    """codes(dr_code, dr_title, ...) with question: the known one of a code, else one made of its title."""
+    known = codes.sparkSession.createDataFrame(list(L.QUESTIONS.items()), "dr_code string, __known string")
+    made = F.concat(F.lit("What is the reported "), F.col("dr_title"), F.lit("?"))
+    return codes.join(F.broadcast(known), "dr_code", "left").withColumn("question", F.coalesce("__known", made)).drop("__known")
+
+
+def hypotheses(queued: DataFrame, taxonomy: DataFrame, sentences: DataFrame) -> DataFrame:
+    """queued hits with premise and hypothesis, the two texts that an entailment model takes."""
+    titles = taxonomy.select("dr_code", F.concat(F.lit("This report discloses "), "dr_title", F.lit(".")).alias("hypothesis"))
+    return queued.join(F.broadcast(titles), "dr_code").join(sentences.select("stem", "sentence_idx", F.col("sentence").alias("premise")), ["stem", "sentence_idx"])
+
+
+def contexts(hits: DataFrame, sentences: DataFrame) -> DataFrame:
+    """stem, dr_code, context: the surviving hits' sentences in order of rank, joined by blanks."""
+    said = hits.join(sentences.select("stem", "sentence_idx", "sentence"), ["stem", "sentence_idx"])
+    return said.groupBy(*HIT).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda x: x["sentence"]), " ").alias("context"))
+
+
+def document_flags(reports: DataFrame) -> DataFrame:
+    """stem, iro2_index_present, method_described of reports(stem, text): whether the whole text holds their phrases."""
+    says = lambda p: F.coalesce(F.col("text").rlike("(?i)" + p), F.lit(False))
+    return reports.select("stem", says(L.INDEX_PRESENT).alias("iro2_index_present"), says(L.METHOD_DESCRIBED).alias("method_described"))
 
 
 def disclosures(reports: DataFrame, taxonomy: DataFrame, sentences: DataFrame, sims: DataFrame, entailment: DataFrame, answers: DataFrame | None = None) -> DataFrame:
@@ -88,12 +107,14 @@ def disclosures(reports: DataFrame, taxonomy: DataFrame, sentences: DataFrame, s
     hits = without_overused(shortlist(sims))
     top = top_per_group(hits, HIT, 1, "rank", rank="__r").select(*HIT, F.col("sim").alias("top_sim"), F.col("sentence_idx").alias("top_idx"))
     best = best_entailment(queue(hits), entailment)
-    context = hits.join(sentences.select("stem", "sentence_idx", "sentence"), ["stem", "sentence_idx"]).groupBy(*HIT).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), lambda x: x["sentence"]), " ").alias("context"))
-    rows = reports.select("stem").distinct().withColumn("t", F.explode(F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("standard", "dr_code", "dr_title")]) for r in taxonomy.collect()]))).select("stem", "t.*")
+    context = contexts(hits, sentences)
+    # The taxonomy is a dimension: as one array it reaches every report without a join of the two.
+    one = taxonomy.agg(F.collect_list(F.struct("standard", "dr_code", "dr_title")).alias("__t"))
+    rows = reports.select("stem").distinct().join(F.broadcast(one)).select("stem", F.inline("__t"))
     rows = rows.join(top, HIT, "left").join(best.select(*HIT, "entail", F.col("sentence_idx").alias("best_idx")), HIT, "left").join(context, HIT, "left")
-    rows = rows.join(material_standards(best, taxonomy), ["stem", "standard"], "left").withColumn("sentence_idx", F.coalesce("best_idx", "top_idx")).join(sentences.select("stem", "sentence_idx", "page", F.substring("sentence", 1, 300).alias("quote")), ["stem", "sentence_idx"], "left")
+    rows = rows.join(material_standards(best, taxonomy), ["stem", "standard"], "left").withColumn("sentence_idx", F.coalesce("best_idx", "top_idx")).join(sentences.select("stem", "sentence_idx", "page", F.col("sentence").alias("quote")), ["stem", "sentence_idx"], "left")
     entail = F.coalesce("entail", F.lit(0.0))
-    rows = rows.withColumn("status", status(entail, F.col("quote"), F.col("top_sim").isNotNull(), F.coalesce("material", F.lit(False)), F.col("standard") == "ESRS2")).withColumn("confidence", confidence(F.coalesce("top_sim", F.lit(0.0)), entail))
+    rows = rows.withColumn("status", status(entail, F.col("quote"), F.col("top_sim").isNotNull(), F.coalesce("material", F.lit(False)), (F.col("standard") == "ESRS2") | F.col("dr_code").isin(*L.MANDATORY))).withColumn("confidence", confidence(F.coalesce("top_sim", F.lit(0.0)), entail))
     reported = F.col("status") == "reported"
     flags = [
         F.when(reported & (F.col("dr_code") == "E1-6") & ~F.coalesce(F.lower("quote").contains("scope 3"), F.lit(False)), "scope_3_not_in_evidence"),
@@ -108,4 +129,58 @@ def disclosures(reports: DataFrame, taxonomy: DataFrame, sentences: DataFrame, s
         taken = asked & good & (F.col("qa") >= ANSWERED)
         point = F.when(taken, F.struct(F.col("dr_title").alias("name"), v["value"].alias("value"), v["unit"].alias("unit"), X.year_after(F.col("context"), "baseline").alias("baseline_year"), X.year_after(F.col("context"), "target|by").alias("target_year"), F.round("qa", 3).alias("qa_confidence")))
         flags = [F.when(asked & spoke & ~good, "value_rejected_implausible"), F.when(asked & spoke & ~F.coalesce(taken, F.lit(False)), "value_not_parsed"), *flags]
-    return rows.select(*HIT, "standard", "dr_title", "status", "confidence", "quote", "page", point.alias("datapoint"), F.array_compact(F.array(*flags)).alias("quality_flags"))
+    return rows.select(*HIT, "standard", "dr_title", "status", "confidence", F.substring("quote", 1, 300).alias("quote"), "page", point.alias("datapoint"), F.array_compact(F.array(*flags)).alias("quality_flags"))
+
+
+def results(reports: DataFrame, taxonomy: DataFrame, rows: DataFrame, index_rows: DataFrame) -> DataFrame:
+    """stem, result: the nested result of each report of rows, as disclosures() gives them, in the order of taxonomy.line.
+
+    index_rows(stem, n) are the sentences left out as rows of a content index. A report without sentences, which has no
+    row in index_rows, gets empty sections.
+    """
+    codes = taxonomy.select("dr_code", "line")
+    point = F.col("datapoint")
+    full = F.when(point.isNotNull(), F.array(F.struct(point["name"].alias("name"), point["value"].alias("value"), point["unit"].alias("unit"), F.lit(None).cast("string").alias("scope_or_breakdown"), F.lit(None).cast("string").alias("period"), point["baseline_year"].alias("baseline_year"), point["target_year"].alias("target_year"), F.lit(None).cast("double").alias("prior_year_value"), point["qa_confidence"].alias("qa_confidence"))))
+    evidence = F.when(F.col("quote").isNotNull(), F.array(F.struct("quote", "page")))
+    none = lambda c, t: F.coalesce(c, F.array().cast(t))
+    d = F.struct(
+        "standard", "dr_code", "dr_title", "status", "confidence", none(evidence, "array<struct<quote:string,page:int>>").alias("evidence"),
+        none(full, "array<struct<name:string,value:double,unit:string,scope_or_breakdown:string,period:string,baseline_year:int,target_year:int,prior_year_value:double,qa_confidence:double>>").alias("datapoints"), "quality_flags", F.lit(None).cast("string").alias("notes"),
+    )
+    listed = rows.join(F.broadcast(codes), "dr_code").groupBy("stem").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", d.alias("d")))), lambda x: x["d"]).alias("disclosures"))
+    status = lambda s: F.transform(F.filter("disclosures", lambda x: x["status"] == s), lambda x: x["dr_code"])
+    # A standard is material if MATERIAL of its codes are entailed, which is what their status says.
+    topical = F.filter("disclosures", lambda x: x["standard"] != "ESRS2")
+    standards = F.array_sort(F.array_distinct(F.transform(topical, lambda x: x["standard"])))
+    strong = lambda t: F.size(F.filter(topical, lambda x: (x["standard"] == t) & (x["status"] == "reported"))) >= MATERIAL
+    reported = F.array_distinct(status("reported"))
+    text = lambda v, n: F.lit(v).cast("string").alias(n)
+    out = reports.select("stem").distinct().join(listed, "stem", "left").join(document_flags(reports), "stem").join(index_rows.select("stem", F.col("n").alias("__index")), "stem", "left")
+    have = F.col("__index").isNotNull()
+    meta = F.struct(text(None, "company"), text(None, "reporting_period"), text("ESRS Set 1 (2023/2772)", "framework_version"), text(None, "consolidation_scope"), text("unknown", "assurance"), F.col("iro2_index_present"), text("neural: retrieval + NLI + extractive QA (no LLM)", "extraction_method"), F.col("__index").cast("long").alias("index_rows_filtered"))
+    topics = F.struct("method_described", F.filter(standards, strong).alias("material_topics"), F.filter(standards, lambda t: ~strong(t)).alias("non_material_topics"), F.array().cast("array<string>").alias("undetermined_topics"))
+    cover = F.struct((F.size(F.array_except(F.array(*map(F.lit, L.MANDATORY)), reported)) == 0).alias("esrs2_complete"), F.size(reported).cast("long").alias("material_drs_reported"), F.size(status("material_not_reported")).cast("long").alias("material_drs_missing"), status("phase_in_deferred").alias("phase_ins_invoked"))
+    return out.select("stem", F.struct(F.when(have, meta).alias("document_meta"), F.when(have, topics).alias("materiality_assessment"), F.when(have, F.col("disclosures")).alias("disclosures"), F.when(have, cover).alias("coverage_summary")).alias("result"))
+
+
+def neural(reports: DataFrame, taxonomy: DataFrame, embed, entail, answer=None) -> DataFrame:
+    """stem, result of reports(stem, text): sentences by page without index rows, their cosines with the titles of
+    taxonomy(standard, dr_code, dr_title, line), shortlist, entailment, answers, status and flags of every code.
+
+    embed, entail and answer are ports (operators.ports); without answer there are no datapoints.
+    """
+    said = page_sentences(reports).withColumn("__row", X.is_index_row(F.col("sentence")))
+    left = said.where("not __row").drop("__row").persist()
+    index_rows = said.groupBy("stem").agg(F.count_if("__row").alias("n"), F.count_if(~F.col("__row")).alias("kept")).where("kept > 0")
+    titles = taxonomy.select("dr_code", embed(F.col("dr_title")).alias("anchor_embedding"))
+    vectors = left.select("stem", "sentence_idx", embed(F.col("sentence")).alias("embedding"))
+    sims = top_similarities(vectors, titles, "stem", "dr_code", TOP_K).drop("rank")
+    hits = without_overused(shortlist(sims)).persist()
+    pairs = hypotheses(queue(hits), taxonomy, left)
+    scores = pairs.select(*HIT, "sentence_idx", entail(F.col("premise"), F.col("hypothesis")).alias("score"))
+    answers = None
+    if answer is not None:
+        asked = questions(contexts(hits, left).join(F.broadcast(taxonomy.select("dr_code", "dr_title")), "dr_code")).where(is_quantitative(F.col("dr_code"), F.col("dr_title")))
+        answers = asked.select(*HIT, answer(F.col("question"), F.col("context")).alias("a")).select(*HIT, "a.span", "a.score")
+    rows = disclosures(reports, taxonomy, left, sims, scores, answers)
+    return results(reports, taxonomy, rows, index_rows)

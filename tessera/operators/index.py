@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X, url as U
-from .relational import first_wins, with_defaults
+from .relational import first_wins, top_per_group, with_defaults
 
 #: What a summary shows of reports that were never fetched or read.
 DOWNLOAD_DEFAULTS = {"download_status": "not_attempted", "pdf_bytes": 0}
@@ -75,7 +75,87 @@ def outcome(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("stem").agg(F.min_by(status, order).alias("status"), F.count("*").alias("attempts"))
 
 
-def to_retry(log: DataFrame, reason: str | None = None) -> DataFrame:
-    """Rows of a download log that failed, the first of each url."""
-    failed = log.where(~usable(F.col("status")))
-    return first_wins(failed if reason is None else failed.where(F.col("status") == reason), ["url"], "ordinal")
+def to_retry(log: DataFrame, reason: str | None = None, exact: bool = False) -> DataFrame:
+    """Rows of a download log that failed, the first of each url; exact: also successes by a named way."""
+    failed = log.where(~F.col("status").isin("success", "skipped") if exact else ~usable(F.col("status")))
+    out = first_wins(failed, ["url"], "ordinal")
+    return out if reason is None else out.where(F.col("status") == reason)
+
+
+def with_mirror(outcomes: DataFrame, mirrors: DataFrame, status: str = "success:mirror") -> DataFrame:
+    """outcomes(stem, status) in which failures that mirrors(stem, mirror) holds a copy of succeed in the end."""
+    out = outcomes.join(mirrors.where("mirror is not null").select("stem", "mirror"), "stem", "left")
+    return out.withColumn("status", F.when(~usable(F.col("status")) & F.col("mirror").isNotNull(), status).otherwise(F.col("status")))
+
+
+#: Columns that a workbook may lack.
+FILLED = ("doc_id", "lei", "doc_type", "csrd_compliant", "csrd_report_number", "auditor", "publication_date", "country", "sector", "industry")
+
+
+def of_workbook(sheet: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """Index rows of a sheet of text columns: those with a link, page bounds as numbers, missing columns filled.
+
+    The year is report_year, else the first of year, Year and fiscal year that there is. With years, rows of an unknown
+    year stay.
+    """
+    have = {c: F.col(f"`{c}`") for c in sheet.columns}
+    year = next((have[c] for c in ("report_year", "year", "Year", "fiscal year") if c in have), F.lit(None).cast("string"))
+    named = {"sector": "SASB sector", "industry": "SASB industry", "page_start": "start PDF", "page_end": "end PDF"}
+    get = lambda c: have.get(c, have.get(named.get(c, c)))
+    text = lambda c: F.lit("").alias(c) if get(c) is None else F.coalesce(get(c), F.lit("")).alias(c)
+    bound = lambda c: (F.lit(None).cast("int") if get(c) is None else X.as_int(get(c))).alias(c)
+    rest = [have[c] for c in ("company", "isin", "ordinal") if c in have]
+    df = sheet.select(*rest, X.strip(have["link"]).alias("link"), bound("page_start"), bound("page_end"), X.as_int(year).alias("report_year"), *[text(c) for c in FILLED])
+    df = df.where(F.col("link").startswith("http"))
+    return df if not years else df.where(F.col("report_year").isin(*years) | F.col("report_year").isNull())
+
+
+def master(index: DataFrame, downloads: DataFrame, extractions: DataFrame) -> DataFrame:
+    """The summary as it is written: 23 columns, the link as source_url."""
+    s = summary(index, downloads, extractions)
+    kept = ["company", "isin", "report_year", "country", "industry", "sector", "doc_type", "csrd_compliant", "auditor", "publication_date", "page_start", "page_end"]
+    return s.select(*kept, F.col("link").alias("source_url"), *DOWNLOAD_DEFAULTS, *EXTRACTION_DEFAULTS)
+
+
+def stem_of_summary(s: DataFrame) -> Column:
+    """The key of a summary row, by the rule of the index, whose columns it has."""
+    return X.stem(F.coalesce(s["company"], F.lit("")), s["isin"], X.as_int(s["report_year"]), X.as_int(s["page_start"]), X.as_int(s["page_end"]))
+
+
+def failed_extraction(failures: DataFrame) -> DataFrame:
+    """Result rows of failures(stem, error)."""
+    none = {"language": "unknown", "pages_extracted": 0, "word_count": 0, "tables_found": 0, "pdf_pages": 0}
+    return failures.select("stem", F.lit("failed").alias("extraction_status"), "error", *[F.lit(v).alias(c) for c, v in none.items()], *[F.lit(None).cast("string").alias(c) for c in ("text_file", "table_file")])
+
+
+def reusable(texts: DataFrame, pdfs: DataFrame) -> DataFrame:
+    """Results of texts(stem, text, text_file, text_time, tables_json) that are no older than the file they come from.
+
+    pdfs(stem, pdf_time) are those still there; a text without one is good. Counts are taken from the text.
+    """
+    from ..sources.files import table_count
+
+    t = texts.join(pdfs.select("stem", "pdf_time"), "stem", "left").where("pdf_time is null or text_time >= pdf_time")
+    n, text = table_count(F.col("tables_json")), F.col("text")
+    return t.select(
+        "stem", F.lit("success").alias("extraction_status"), F.lit("").alias("error"), X.language(text).alias("language"), X.page_count(text).cast("int").alias("pages_extracted"), F.lit(0).alias("pdf_pages"),
+        X.word_count_without_marks(text).alias("word_count"), n.alias("tables_found"), "text_file", F.when(n > 0, F.concat(F.lit("tables/"), "stem", F.lit("_tables.json"))).alias("table_file"),
+    )
+
+
+def overlay(fresh: DataFrame, cached: DataFrame, key: str = "stem") -> DataFrame:
+    """The rows of both; where both have a key the cached one."""
+    return cached.unionByName(fresh.join(cached.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def failure_counts(summary: DataFrame, k: int = 5) -> DataFrame:
+    """value, n, rank: the k most frequent statuses of failed downloads."""
+    n = summary.where(~usable(F.col("download_status"))).groupBy(F.col("download_status").alias("value")).agg(F.count("*").alias("n"))
+    return top_per_group(n, [], k, F.desc("n"), "value")
+
+
+def archive_totals(raw: DataFrame, country: Column) -> DataFrame:
+    """reports, linked, ranged, countries of raw reports; a missing country is one of its own."""
+    some = lambda c: F.coalesce(F.nullif(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit("0")), F.lit(None))
+    ranged = some("pdfpage_sust_start").isNotNull() & some("pdfpage_sust_end").isNotNull()
+    return raw.agg(F.count("*").alias("reports"), F.count_if(F.coalesce(F.col("original_link"), F.lit("")).startswith("http")).alias("linked"), F.count_if(ranged).alias("ranged"), F.count_distinct(F.coalesce(country, F.lit("None"))).alias("countries"))

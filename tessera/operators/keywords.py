@@ -46,6 +46,34 @@ def key_sentences(docs: DataFrame, key: str = "doc_id", themes: dict[str, list[s
     return top_per_group(rows, [key, "pillar"], n, F.desc("hits"), F.desc("sentence"))
 
 
+def profile(docs: DataFrame, key: str = "doc_id", themes: dict[str, list[str]] = THEMES) -> DataFrame:
+    """One wide row per document: scores, the twenty top words, metrics and the key sentences of each pillar."""
+    scored = scores(docs, themes).withColumn("metrics", X.metrics(F.col("text")))
+    words = document_keywords(docs, key).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))), lambda x: F.struct(x["word"].alias("word"), x["n"].alias("n"))).alias("top_keywords_full"))
+    said = key_sentences(docs, key, themes).groupBy(key).agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("pillar") == p, F.struct("rank", "sentence")))), lambda x: x["sentence"]).alias(f"{p[:3]}_sentences") for p in themes])
+    none = lambda c, t: F.coalesce(F.col(c), F.array().cast(t)).alias(c)
+    out = scored.join(words, key, "left").join(said, key, "left")
+    kept = [c for c in scored.columns if c not in ("text", "metrics")]
+    return out.select(*kept, none("top_keywords_full", "array<struct<word:string,n:bigint>>"), "metrics", *[none(f"{p[:3]}_sentences", "array<string>") for p in themes])
+
+
+def flat(profiled: DataFrame) -> DataFrame:
+    """The rows of a table of reports: the ten top words as text, the number of metrics, no lists."""
+    lists = [c for c in profiled.columns if c.endswith("_sentences")] + ["top_keywords_full", "metrics"]
+    words = F.array_join(F.transform(F.slice("top_keywords_full", 1, 10), lambda x: x["word"]), ", ")
+    return profiled.withColumn("top_keywords", words).withColumn("metric_hits", F.size("metrics")).drop(*lists)
+
+
+def detail(profiled: DataFrame, name: Column) -> DataFrame:
+    """What is written of each report: file, the name cut to be one, and body, all of the profile as JSON."""
+    return profiled.select(F.concat(X.safe_name(name), F.lit(".json")).alias("file"), F.to_json(F.struct(*profiled.columns)).alias("body"))
+
+
+def charted(rows: DataFrame, least: int) -> DataFrame:
+    """The rows of a chart if there are at least so many, else none; a chart has few rows."""
+    return rows.join(rows.agg(F.count("*").alias("__n")).where(F.col("__n") >= least), how="left_semi")
+
+
 def pillar_counts(scored: DataFrame) -> DataFrame:
     return scored.where(F.col("dominant_pillar") != "unknown").groupBy("dominant_pillar").agg(F.count("*").alias("n"))
 
@@ -55,14 +83,17 @@ def mean_hits(scored: DataFrame) -> DataFrame:
 
 
 def country_mix(scored: DataFrame, n: int = 10) -> DataFrame:
-    """country, reports and each pillar's share of the mean densities, for the n countries with most reports."""
+    """country, reports and each pillar's share of the mean densities, for the n countries with most reports.
+
+    Nothing where there are fewer than two countries.
+    """
     top = scored.where(F.coalesce(F.col("country"), F.lit("")) != "").groupBy("country").agg(F.count("*").alias("reports")).orderBy(F.desc("reports"), "country").limit(n)
     means = scored.join(F.broadcast(top), "country").groupBy("country", "reports").agg(*[F.avg(f"{p}_density").alias(p) for p in PILLARS])  # n rows
     total = F.expr(" + ".join(PILLARS))
-    return means.select("country", "reports", *[F.round(F.col(p) / F.nullif(total, F.lit(0.0)), 6).alias(p) for p in PILLARS])
+    return charted(means.select("country", "reports", *[F.round(F.col(p) / F.nullif(total, F.lit(0.0)), 6).alias(p) for p in PILLARS]), 2)
 
 
 def year_comparison(scored: DataFrame, year: Column) -> DataFrame:
     """Mean densities by numeric year; nothing where there are fewer than two years."""
     by = scored.withColumn("year", year.try_cast("int")).where("year is not null").groupBy("year").agg(F.count("*").alias("reports"), *[F.round(F.avg(f"{p}_density"), 6).alias(p) for p in PILLARS])
-    return by.join(by.agg(F.count("*").alias("__n")).where("__n >= 2"), how="left_semi")
+    return charted(by, 2)

@@ -9,12 +9,12 @@ from ..functions.text import repaired_json
 from .relational import top_per_group
 
 RESULT = """
-document_meta struct<company:string,reporting_period:string,assurance:string,iro2_index_present:boolean>,
-materiality_assessment struct<method_described:boolean,material_topics:array<string>,non_material_topics:array<string>>,
+document_meta struct<company:string,reporting_period:string,framework_version:string,consolidation_scope:string,assurance:string,iro2_index_present:boolean,extraction_method:string,index_rows_filtered:bigint>,
+materiality_assessment struct<method_described:boolean,material_topics:array<string>,non_material_topics:array<string>,undetermined_topics:array<string>>,
 disclosures array<struct<standard:string,dr_code:string,dr_title:string,status:string,confidence:double,
-  evidence:array<struct<quote:string,page:int>>,datapoints:array<struct<name:string,value:double,unit:string>>,
+  evidence:array<struct<quote:string,page:int>>,datapoints:array<struct<name:string,value:double,unit:string,scope_or_breakdown:string,period:string,baseline_year:int,target_year:int,prior_year_value:double,qa_confidence:double>>,
   quality_flags:array<string>,notes:string>>,
-coverage_summary struct<esrs2_complete:boolean,phase_ins_invoked:array<string>>
+coverage_summary struct<esrs2_complete:boolean,material_drs_reported:bigint,material_drs_missing:bigint,phase_ins_invoked:array<string>>
 """
 
 
@@ -63,5 +63,66 @@ def flatten(disclosures: DataFrame) -> DataFrame:
     )
 
 
+def merged(results: DataFrame) -> DataFrame:
+    """stem, result: one result per report of results(stem, chunk_no, result).
+
+    A single chunk's result passes as it is. Of several the most confident disclosure of each code stays, then those
+    without code; meta and materiality come from the first chunk with material topics, else from the first; the coverage
+    summary is counted over the merged disclosures.
+    """
+    by = Window.partitionBy("stem")
+    sized = results.withColumn("__n", F.count("*").over(by))
+    rows = exploded(sized.where("__n > 1"))
+    fields = ["standard", "dr_code", "dr_title", "status", "confidence", "evidence", "datapoints", "quality_flags", "notes"]
+    # A code keeps the place where it first occurred; disclosures without code follow.
+    placed = rows.withColumn("__first", F.min(F.struct("chunk_no", "pos")).over(Window.partitionBy("stem", F.coalesce("dr_code", F.concat(F.lit("#"), "chunk_no", F.lit(":"), "pos")))))
+    order = F.struct(F.col("dr_code").isNull().cast("int").alias("k"), F.col("__first").alias("f"), F.struct(*fields).alias("d"))
+    kept = best_disclosures(placed).groupBy("stem").agg(F.transform(F.sort_array(F.collect_list(order)), lambda x: x["d"]).alias("disclosures"))
+    head = meta_chunk(sized.where("__n > 1").select("stem", "chunk_no", F.col("result.materiality_assessment.material_topics").alias("material_topics"), "result.document_meta", "result.materiality_assessment")).drop("chunk_no", "material_topics")
+    codes = lambda s: F.transform(F.filter("disclosures", lambda d: d["status"] == s), lambda d: d["dr_code"])
+    reported = F.array_distinct(codes("reported"))
+    cover = F.struct(
+        (F.size(F.array_except(F.array(*map(F.lit, MANDATORY)), reported)) == 0).alias("esrs2_complete"), F.size(reported).cast("long").alias("material_drs_reported"),
+        F.size(codes("material_not_reported")).cast("long").alias("material_drs_missing"), codes("phase_in_deferred").alias("phase_ins_invoked"),
+    )
+    many = head.join(kept, "stem", "left").withColumn("disclosures", F.coalesce("disclosures", F.array().cast(results.select("result.disclosures").schema[0].dataType)))
+    many = many.select("stem", F.struct("document_meta", "materiality_assessment", "disclosures", cover.alias("coverage_summary")).alias("result"))
+    return sized.where("__n = 1").select("stem", "result").unionByName(many)
+
+
+def flat_results(results: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+    """One wide row per row of results(stem, result), after meta's columns: counts as in flatten(), topics, and what the
+    result says of itself. A completeness that the result states wins over the counted one."""
+    r = lambda c: F.col(f"result.{c}")
+    ds = F.coalesce(r("disclosures"), F.array().cast(results.select("result.disclosures").schema[0].dataType))
+    is_ = lambda d, s: F.coalesce(d["status"] == s, F.lit(False))
+    count = lambda s, start="": F.size(F.filter(ds, lambda d: is_(d, s) & place(d).startswith(start))).cast("long")
+    codes = F.array_distinct(F.transform(F.filter(ds, lambda d: is_(d, "reported")), lambda d: d["dr_code"]))
+    place = lambda d: F.coalesce(d["standard"], d["dr_code"], F.lit(""))
+    flags = F.flatten(F.transform(ds, lambda d: F.coalesce(d["quality_flags"], F.array().cast("array<string>"))))
+    sure = F.filter(F.transform(ds, lambda d: d["confidence"]), lambda c: c.isNotNull())
+    mandatory = F.size(F.array_intersect(F.array(*map(F.lit, MANDATORY)), codes))
+    pipe = lambda c: F.coalesce(F.array_join(r(c), "|"), F.lit(""))
+    yes = lambda c: F.coalesce(r(c), F.lit(False))
+    out = results.select(
+        "stem", F.size(ds).cast("long").alias("n_disclosures"), *[count(s).alias(f"n_{s}") for s in STATUSES], mandatory.cast("long").alias("esrs2_reported"), F.lit(len(MANDATORY)).cast("long").alias("esrs2_total"),
+        F.coalesce(r("coverage_summary.esrs2_complete"), mandatory == len(MANDATORY)).alias("esrs2_complete"), *[count("reported", s).alias(f"{s.lower()}_reported") for s in STANDARDS],
+        pipe("materiality_assessment.material_topics").alias("material_topics"), pipe("materiality_assessment.non_material_topics").alias("non_material_topics"), yes("materiality_assessment.method_described").alias("materiality_method_described"), pipe("coverage_summary.phase_ins_invoked").alias("phase_ins_invoked"),
+        F.aggregate(ds, F.lit(0).cast("long"), lambda n, d: n + F.coalesce(F.size(d["datapoints"]), F.lit(0))).alias("n_datapoints"), F.size(flags).cast("long").alias("n_quality_flags"), F.array_join(F.array_sort(F.array_distinct(flags)), "|").alias("quality_flags"),
+        F.round(F.aggregate(sure, F.lit(0.0), lambda s, c: s + c) / F.nullif(F.size(sure), F.lit(0)), 3).alias("avg_confidence"), F.coalesce(r("document_meta.assurance"), F.lit("unknown")).alias("assurance"), yes("document_meta.iro2_index_present").alias("iro2_index_present"),
+    )
+    return out if meta is None else meta.join(out, "stem")
+
+
 def corpus_averages(coverage: DataFrame) -> DataFrame:
     return coverage.agg(*[F.round(F.avg(f"n_{s}"), 6).alias(f"avg_{s}") for s in STATUSES], F.count_if("esrs2_complete").alias("complete"))
+
+
+def write_outputs(rows: DataFrame, failures: DataFrame, out: str, failed: str, run_id: str) -> DataFrame:
+    """Append the rows of a run to out, put failures aside, and give the averages of what was written."""
+    from ..sources import sinks
+
+    sinks.append(rows, out, run_id)
+    if not failures.isEmpty():
+        sinks.overwrite_csv(failures, failed)
+    return corpus_averages(rows.sparkSession.read.parquet(out).where(F.col("run_id") == run_id))

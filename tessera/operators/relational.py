@@ -26,10 +26,22 @@ def with_defaults(left: DataFrame, right: DataFrame, keys: list[str], defaults:
     return out.select(*left.columns, *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in defaults.items()])
 
 
-def round_robin(df: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """turn and first_ordinal: sorted by these, rows of different keys alternate."""
+def round_robin(df: DataFrame, key: str, ordinal: str, gap: float | None = None, lots: int = 64) -> DataFrame:
+    """turn and first_ordinal: sorted by these, rows of different keys alternate. With gap, start_after: the seconds
+    after which a row's turn comes when each key waits so long between two.
+
+    Rows are numbered inside lots of the ordinal's range first and then shifted by what the key has in earlier lots, so no
+    task sorts all rows of one key. ordinal is a number.
+    """
+    ends = df.agg(F.min(ordinal).alias("__low"), F.max(ordinal).alias("__high"))
+    lot = F.least(F.floor((F.col(ordinal) - F.col("__low")) / F.greatest(F.col("__high") - F.col("__low") + 1, F.lit(1)) * lots), F.lit(lots - 1)).cast("int")
+    dealt = df.join(F.broadcast(ends)).withColumn("__lot", F.coalesce(lot, F.lit(0))).drop("__low", "__high")
+    sizes = dealt.groupBy(key, "__lot").agg(F.count("*").alias("__n"), F.min(ordinal).alias("__first"))
     w = Window.partitionBy(key)
-    return df.withColumn("turn", F.row_number().over(w.orderBy(ordinal))).withColumn("first_ordinal", F.min(ordinal).over(w))
+    base = sizes.withColumn("__base", F.coalesce(F.sum("__n").over(w.orderBy("__lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("first_ordinal", F.min("__first").over(w)).select(F.col(key).alias("__key"), F.col("__lot").alias("__of"), "__base", "first_ordinal")
+    inside = dealt.withColumn("turn", F.row_number().over(Window.partitionBy(key, "__lot").orderBy(ordinal)))
+    out = inside.join(base, inside[key].eqNullSafe(base["__key"]) & (inside["__lot"] == base["__of"])).withColumn("turn", (F.col("turn") + F.col("__base")).cast("int")).drop("__lot", "__base", "__key", "__of")
+    return out if gap is None else out.withColumn("start_after", (F.col("turn") - 1) * F.lit(float(gap)))
 
 
 def value_counts(df: DataFrame, columns: list[str], k: int) -> DataFrame:
@@ -56,3 +68,66 @@ def packed_parts(df: DataFrame, key: str, ordinal: str, text: str, most: int) ->
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
     chunks = F.aggregate("parts", start, step, lambda s: F.when(F.length(s["now"]) > 0, F.array_append(s["done"], s["now"])).otherwise(s["done"]))
     return df.groupBy(key).agg(parts.alias("parts")).select(key, F.posexplode(chunks).alias("chunk", "text"))
+
+
+def ranked(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
+    """df with rank, the mean place of equal values from 1 on; nulls have none.
+
+    Values are sorted in ranges, a task each, and shifted by what earlier ranges hold, so no task sorts all rows.
+    """
+    some = df.where(F.col(value).isNotNull())
+    cuts = some.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.001) if not some.isEmpty() else []
+    at = F.lit(0)
+    if cuts := sorted(set(cuts)):
+        at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(value)))
+    dealt = some.withColumn("__at", at)
+    sizes = dealt.groupBy("__at").agg(F.count("*").alias("__n"))
+    base = sizes.select(F.col("__at").alias("__of"), F.coalesce(F.sum("__n").over(Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    counts = dealt.groupBy("__at", value).agg(F.count("*").alias("__n"))
+    upto = counts.withColumn("__sum", F.sum("__n").over(Window.partitionBy("__at").orderBy(value)))
+    place = upto.join(F.broadcast(base), upto["__at"] == base["__of"]).select(F.col(value).alias("__value"), (F.col("__base") + F.col("__sum") - (F.col("__n") - 1) / 2.0).alias("rank"))
+    return df.join(place, df[value] == place["__value"], "left").drop("__value")
+
+
+def quantiles(df: DataFrame, value: str, shares: dict[str, float]) -> DataFrame:
+    """One row of exact quantiles of value, interpolated: a column for each name of shares.
+
+    A value counts once however often it occurs, so what one task sums up are places, not all rows.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__n"))
+    r = ranked(counts.select(F.col(value).alias("__v"), "__n"), "__v")
+    # rank orders the distinct values; places count rows.
+    lots = r.withColumn("__lot", F.floor(F.col("rank") / 10_000))
+    sums = lots.groupBy("__lot").agg(F.sum("__n").alias("__s"))
+    base = sums.select(F.col("__lot").alias("__of"), F.coalesce(F.sum("__s").over(Window.orderBy("__lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    upto = lots.withColumn("__end", F.sum("__n").over(Window.partitionBy("__lot").orderBy("rank")))
+    spans = upto.join(F.broadcast(base), upto["__lot"] == base["__of"]).select("__v", (F.col("__base") + F.col("__end") - F.col("__n")).alias("__from"), (F.col("__base") + F.col("__end")).alias("__to"))
+    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__total"))
+    placed = spans.join(F.broadcast(total))
+
+    def one(share: float):
+        place = share * (F.col("__total") - 1)
+        low, high = F.floor(place), F.ceil(place)
+        pick = lambda at: F.max(F.when((F.col("__from") <= at) & (at < F.col("__to")), F.col("__v").cast("double")))
+        return pick(low) + F.max(place - low) * (pick(high) - pick(low))
+
+    return placed.agg(*[one(q).alias(n) for n, q in shares.items()])
+
+
+def rank_sum_test(df: DataFrame, value: str, flag: Column) -> DataFrame:
+    """n_true, n_false, mean_true, mean_false, u, p: the means by flag and a two-sided rank-sum test.
+
+    u is that of the rows where flag holds; p comes from the normal approximation with corrections for ties and
+    continuity. Nulls of value or flag are left out.
+    """
+    rows = ranked(df.select(F.col(value).cast("double").alias("__v"), flag.alias("__f")).where("__v is not null and __f is not null"), "__v")
+    ties = rows.groupBy("__v").agg(F.count("*").alias("t")).agg(F.coalesce(F.sum(F.col("t").cast("double") * F.col("t") * F.col("t") - F.col("t")), F.lit(0.0)).alias("ties"))
+    s = rows.agg(F.count_if("__f").alias("n_true"), F.count_if(~F.col("__f")).alias("n_false"), F.avg(F.when(F.col("__f"), F.col("__v"))).alias("mean_true"), F.avg(F.when(~F.col("__f"), F.col("__v"))).alias("mean_false"), F.sum(F.when(F.col("__f"), F.col("rank"))).alias("sum")).join(ties)
+    a, b = F.col("n_true").cast("double"), F.col("n_false").cast("double")
+    n, u = a + b, F.col("sum") - a * (a + 1) / 2
+    z = F.greatest(F.abs(u - a * b / 2) - 0.5, F.lit(0.0)) / F.sqrt(a * b / 12 * (n + 1 - F.col("ties") / F.nullif(n * (n - 1), F.lit(0.0))))
+    # Abramowitz and Stegun 7.1.26, good to 1.5e-7.
+    x = z / F.sqrt(F.lit(2.0))
+    t = 1 / (1 + 0.3275911 * x)
+    p = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-x * x)
+    return s.select("n_true", "n_false", "mean_true", "mean_false", u.alias("u"), F.least(F.lit(1.0), p).alias("p"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as X
@@ -29,6 +33,41 @@ def similarities(sentences: DataFrame, anchors: DataFrame) -> DataFrame:
     return wide.select(*sentences.columns, *[F.col(f"__a.{k}").alias(k) for k in keys], dot(F.col("embedding"), F.col("__a.anchor_embedding")).alias("sim"))
 
 
+def top_similarities(sentences: DataFrame, anchors: DataFrame, report: str, topic: str, k: int = 15, ordinal: str = "sentence_idx") -> DataFrame:
+    """report, topic, ordinal, sim: per report and topic the k sentences of highest cosine, ties by ordinal.
+
+    Sentences meet the anchors in blocks of one matrix product, and each Arrow batch passes on its own k best of every
+    report and topic only; so what is shuffled does not hold sentences x anchors. The anchors are at most MOST_ANCHORS.
+    """
+    rows = anchors.select(topic, "anchor_embedding").limit(MOST_ANCHORS + 1).collect()
+    if len(rows) > MOST_ANCHORS:
+        raise ValueError(f"at most {MOST_ANCHORS} anchors make a dimension")
+    names, matrix = [r[0] for r in rows], np.array([r[1] for r in rows], np.float64).reshape(len(rows), -1)
+    types = {f.name: f.dataType.simpleString() for f in sentences.schema.fields} | {topic: anchors.schema[topic].dataType.simpleString()}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b = b[b["embedding"].notna()]
+            if not len(b) or not len(names):
+                continue
+            b = b.sort_values([report, ordinal], kind="stable")
+            found = []
+            for key, part in b.groupby(report, sort=False, dropna=False):
+                for at in range(0, len(part), 4096):
+                    block = part.iloc[at : at + 4096]
+                    # Sums in the order of the dimensions, as an aggregate takes them.
+                    x, sim = np.stack(block["embedding"].to_numpy()).astype(np.float64), np.zeros((len(block), len(names)))
+                    for d in range(matrix.shape[1]):
+                        sim += x[:, d : d + 1] * matrix[None, :, d]
+                    best = np.argsort(-sim, axis=0, kind="stable")[:k]
+                    for j, name in enumerate(names):
+                        found.append(pd.DataFrame({report: [key] * len(best), topic: [name] * len(best), ordinal: block[ordinal].to_numpy()[best[:, j]], "sim": sim[best[:, j], j]}))
+            yield pd.concat(found)
+
+    each = sentences.select(report, ordinal, "embedding").mapInPandas(run, f"{report} {types[report]}, {topic} {types[topic]}, {ordinal} {types[ordinal]}, sim double")
+    return top_per_group(each, [report, topic], k, F.desc("sim"), ordinal)
+
+
 def topic_scores(sims: DataFrame, report: str, topic: str, k: int = 15) -> DataFrame:
     """report, topic, score: the mean of the k highest similarities, 4 digits."""
     top = top_per_group(sims, [report, topic], k, F.desc("sim"), "sentence_idx")
@@ -54,3 +93,23 @@ def climate_signals(labelled: DataFrame, report: str, climate: Column, commitmen
     n = labelled.groupBy(report).agg(F.count("*").alias("n"), F.count_if(yes).alias("climate_sentences"), F.count_if(yes & X.positive_label(commitment)).alias("climate_commitments"))
     n = n.withColumn("climate_share", F.round(F.col("climate_sentences") / F.greatest(F.col("n"), F.lit(1)), 4)).withColumn("commitment_rate", F.when(F.col("climate_sentences") > 0, F.round(F.col("climate_commitments") / F.nullif("climate_sentences", F.lit(0)), 4)).otherwise(0.0))
     return n.withColumn("greenwashing_index", F.round(F.col("climate_share") * (1 - F.col("commitment_rate")), 4)).drop("n")
+
+
+def topic_pillars(topics: DataFrame, lookup: DataFrame, topic: str) -> DataFrame:
+    """topics with the pillar that lookup(topic, pillar) names; a dimension, so it is broadcast."""
+    return topics.join(F.broadcast(lookup.select(topic, "pillar")), topic, "left")
+
+
+def report_scores(pillars: DataFrame, report: str, shares: DataFrame | None = None, climate: DataFrame | None = None) -> DataFrame:
+    """One row per report: its pillar scores, and where their models were there label shares and climate signals."""
+    out = pillars.select(report, *[F.col(p).alias(f"sem_{p}") for p in ("environment", "social", "governance")], F.col("dominant").alias("sem_dominant_pillar"))
+    for part in (shares, climate):
+        if part is not None:
+            out = out.join(part.drop(*[c for c in part.columns if c != report and c in out.columns]), report, "left")
+    return out
+
+
+def score_averages(scored: DataFrame) -> DataFrame:
+    """One row: means of the scores that there are, six digits."""
+    have = [c for c in ("sem_environment", "sem_social", "sem_governance", "greenwashing_index") if c in scored.columns]
+    return scored.agg(*[F.round(F.avg(c), 6).alias(f"avg_{c}") for c in have])

@@ -1 +1,5 @@
+"""Queries; importing this package registers all of them."""
 
+from . import corpus, extraction, queries
+
+__all__ = ["corpus", "extraction", "queries"]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import re
+import zipfile
+from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 REPORTS = """
 select o.o_orderkey as doc_id, c.c_name as company, n.n_name as country, cast(year(o.o_orderdate) as int) as report_year,
@@ -61,6 +65,58 @@ select concat('r', cast(l_suppkey % 50 as string)) as stem, case when l_linenumb
 from {lineitem}
 """
 
+SHEET = """
+select n.n_name as nation, c.c_custkey as k, c.c_name as company, case when c.c_custkey % 7 = 0 then 'ftp://x/y.pdf' when c.c_custkey % 5 = 0 then concat(' https://files.example.com/', cast(c.c_custkey as string), '.pdf ') else concat('http://files.example.com/', cast(c.c_custkey as string), '.pdf') end as link,
+  case when c.c_custkey % 4 = 0 then '' else concat(cast(c.c_custkey % 50 as string), '.0') end as page_start, case when c.c_custkey % 4 = 1 then 'nan' else cast(c.c_custkey % 50 + 9 as string) end as page_end,
+  case when c.c_custkey % 3 = 0 then 'nan' else cast(2020 + c.c_custkey % 4 as string) end as year_text, c.c_mktsegment as segment
+from {customer} c join {nation} n on c.c_nationkey = n.n_nationkey
+"""
+SUMMARIES = """
+select o_orderkey as ordinal, concat('Company ', cast(o_orderkey as string), ' & Co.') as company, case when o_orderkey % 4 = 0 then '' else concat('XS', cast(o_custkey as string)) end as isin, cast(2020 + o_orderkey % 5 as string) as report_year, 'x' as country, 's' as sector, 'i' as industry, 'a' as auditor, 'full' as csrd_compliant,
+  case when o_orderkey % 3 = 0 then '' else cast(o_orderkey % 3 * 10 as string) end as page_start, case when o_orderkey % 3 = 0 then '' else cast(o_orderkey % 3 * 20 as string) end as page_end, cast(o_custkey as bigint) as word_count,
+  case when o_orderstatus = 'P' then 'failed' else 'success' end as extraction_status, case when o_orderkey % 8 = 5 then 'de' else 'en' end as language,
+  case when o_orderkey % 5 = 0 then ' ' when o_orderkey % 5 = 1 then concat('elsewhere/t', cast(o_orderkey as string), '.txt') else concat('texts/t', cast(o_orderkey as string), '.txt') end as text_file
+from {orders}
+"""
+TEXTS = """
+select concat('texts/t', cast(o_orderkey as string), '.txt') as path, concat('t', cast(o_orderkey as string)) as stem from {orders} where o_orderkey % 6 <> 0
+"""
+STORED = """
+select concat('t', cast(o_orderkey as string)) as stem, concat('[[page:1]]', chr(10), 'some words ', o_orderpriority, chr(10), chr(10), case when o_orderkey % 2 = 0 then concat('[[page:2]]', chr(10), 'more') else '' end) as text, concat('texts/t', cast(o_orderkey as string), '.txt') as text_file, o_orderkey % 10 as text_time,
+  case when o_orderkey % 3 = 0 then '[{{"page":1,"rows":[["a","b"]]}},{{"page":2,"rows":[]}}]' when o_orderkey % 3 = 1 then '[{{"page":1' else cast(null as string) end as tables_json
+from {orders}
+"""
+PAYLOADS = """
+select event_id, case when event_id % 4 = 0 then 'application/pdf' when event_id % 4 = 1 then 'text/html' when event_id % 4 = 2 then 'binary/Octet-Stream' else cast(null as string) end as content_type,
+  concat(case when event_id % 3 = 0 then '%PDF-1.7 ' when event_id % 3 = 1 then 'header %PDF ' else '<html>' end, event_type, repeat(' filler', cast(event_id % 7 * 400 as int))) as body
+from {events}
+"""
+ANSWERS = """
+select concat('https://', case when o_orderkey % 3 = 0 then 'a' when o_orderkey % 3 = 1 then 'b' else 'c' end, '.example.com/api') as base, concat('/documents/', cast(o_custkey as string)) as path, case when o_orderkey % 5 = 0 then 503 else 200 end as http_status, case when o_orderkey % 7 = 0 then '<html>' else concat('{{"id":', cast(o_orderkey as string), '}}') end as body
+from {orders}
+"""
+LINES = """
+select cast(n_regionkey * 100 + 1 as int) as line, concat('### ESRS E', cast(n_regionkey + 1 as string), ' — ', r_name) as value from {nation} join {region} on n_regionkey = r_regionkey group by n_regionkey, r_name
+union all select cast(n_regionkey * 100 + 2 + n_nationkey as int), concat('- `E', cast(n_regionkey + 1 as string), '-', cast(n_nationkey as string), '` — ', n_name) from {nation}
+union all select 1000, '### Cross-cutting' union all select 1001, '- `MDR-P` — no' union all select 1002, '### ESRS 1 — no' union all select 1003, '- `A` — no' union all select 1004, '### ESRS 2 — general' union all select 1005, '- `BP-1` — Basis' union all select 1006, 'prose'
+"""
+TABLED = """
+select concat('c', cast(conv_id as string)) as stem, cast(turn + 1 as int) as page, max(text) as text, cast(conv_id % 5 as int) as a, cast(turn % 4 as int) as b from {conversations} group by conv_id, turn
+"""
+SPANS = """
+select l_orderkey, l_linenumber, case when l_orderkey % 7 = 0 then concat(cast(1900 + l_orderkey % 200 as string), ' was it') when l_orderkey % 7 = 1 then cast(l_orderkey % 10 as string) when l_orderkey % 7 = 2 then concat(cast(l_orderkey % 900 + 10 as string), ' in all') when l_orderkey % 7 = 3 then concat(cast(l_orderkey % 900 as string), ' tonnes')
+  when l_orderkey % 7 = 4 then concat(cast(l_orderkey % 900 + 10 as string), ' cases, 3 incidents') when l_orderkey % 7 = 5 then 'none' else concat(cast(l_orderkey % 90 as string), ',5 %') end as span
+from {lineitem}
+"""
+CODES = """
+select distinct concat('E', cast(l_partkey % 5 + 1 as string)) as standard, concat('E', cast(l_partkey % 5 + 1 as string), '-', cast(l_linenumber as string)) as dr_code, case when l_linenumber % 3 = 0 then 'Targets of waste' when l_linenumber % 3 = 1 then 'Water consumption' else 'Policies' end as dr_title from {lineitem}
+union all select 'ESRS2', 'BP-1', 'Basis' union all select 'ESRS2', 'GOV-1', 'Bodies' union all select 'E1', 'E1-9', 'Effects'
+"""
+SENTENCES = """
+select concat('r', cast(s_suppkey % 40 as string)) as stem, cast(i as int) as sentence_idx, cast(i % 7 + 1 as int) as page, case when i % 5 = 0 then concat('Given under the phase-in provision number ', cast(i as string), ' of the standard.') when i % 5 = 1 then concat('We used ', cast(i + 12 as string), ' tonnes against a baseline of 2019, scope 3 too.') else concat('Sentence ', cast(i as string), ' says what was done in the year.') end as sentence
+from (select distinct s_suppkey % 40 as s_suppkey from {supplier}) s, (select distinct l_orderkey % 60 as i from {lineitem}) l
+"""
+
 
 def names(sql: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", sql)))
@@ -73,3 +129,73 @@ def plain(sql: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names(sql)})
+
+
+def _zip(members: dict[str, bytes]) -> bytes:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for name, body in members.items():
+            z.writestr(name, body)
+    return buffer.getvalue()
+
+
+def xlsx(sheet: str, rows: list[list[str | None]], first: int = 1) -> bytes:
+    """A workbook of one sheet of text whose rows begin at row first; a cell is written where it stands, or shared."""
+    shared: dict[str, int] = {}
+    lines = []
+    for y, row in enumerate(rows, first):
+        cells = []
+        for x, v in enumerate(row):
+            at = (chr(64 + x // 26) if x >= 26 else "") + chr(65 + x % 26) + str(y)
+            if v is not None and x % 2:
+                cells.append(f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>')
+            elif v is not None:
+                cells.append(f'<c r="{at}" t="s"><v>{shared.setdefault(v, len(shared))}</v></c>')
+        lines.append(f'<row r="{y}">{"".join(cells)}</row>')
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    strings = "".join(f'<si><t xml:space="preserve">{escape(v)}</t></si>' for v in shared)
+    return _zip({
+        "xl/workbook.xml": f'<workbook {main} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="{sheet}" sheetId="1" r:id="rId1"/></sheets></workbook>'.encode(),
+        "xl/_rels/workbook.xml.rels": b'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/sharedStrings.xml": f"<sst {main}>{strings}</sst>".encode(),
+        "xl/worksheets/sheet1.xml": f"<worksheet {main}><sheetData>{''.join(lines)}</sheetData></worksheet>".encode(),
+    })
+
+
+def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, content: a workbook for each nation, whose sheet holds its customers under a header in row 3."""
+    header = ["company", "link", "start\nPDF", "end PDF", "Year", "country"]
+
+    @F.pandas_udf("binary")
+    def made(rows: pd.Series) -> pd.Series:
+        body = lambda r: [[x["company"], x["link"], x["page_start"], x["page_end"], x["year_text"], x["segment"]] for x in r]
+        return pd.Series([xlsx("csrd", [["a title"], [], header, *body(r)]) for r in rows])
+
+    row = F.struct("k", "company", "link", "page_start", "page_end", "year_text", "segment")
+    by = table(spark, sf_dir, SHEET).groupBy("nation").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    return by.select(F.concat(F.lit("archive_"), "nation", F.lit(".xlsx")).alias("path"), made("rows").alias("content"))
+
+
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, content: a ZIP for each part: a short and a longer PDF, or no PDF, or no archive at all."""
+
+    @F.pandas_udf("binary")
+    def made(keys: pd.Series) -> pd.Series:
+        def one(k: int) -> bytes:
+            if k % 5 == 0:
+                return b"no archive"
+            if k % 5 == 1:
+                return _zip({"a.xhtml": b"x" * 50})
+            return _zip({"a.pdf": b"%PDF" + b"a" * (k % 100), "dir/B.PDF": b"%PDF" + b"b" * (k % 300), "c.txt": b"c" * 900})
+
+        return pd.Series([one(k) for k in keys])
+
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").cast("string").alias("path"), made("p_partkey").alias("content"))
+
+
+def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """body: for each page a payload that names one report, by turns as tagged values and as a page's script."""
+    i, y = F.col("page_id").cast("string"), (2000 + F.col("page_id") % 30).cast("string")
+    nodes = F.concat(F.lit('{"nodes":[{"type":"skip"},{"type":"data","data":[{"documents":1},[2],{"id":3,"year":4,"company":5},"r'), i, F.lit('",'), y, F.lit(',{"name":6,"country":-1},"C'), i, F.lit('"]}]}'))
+    page = F.concat(F.lit("<html><script>const d = {x:[1], documents:[{id:\"r"), i, F.lit('",year:'), y, F.lit(',company:{name:"C'), i, F.lit('",country:undefined}}]};</script>'))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.when(F.col("page_id") % 2 == 0, nodes).otherwise(page).alias("body"))

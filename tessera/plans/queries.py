@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import lexicon as L, text as X, url as U
 from ..operators import disclosure as D, index as I, keywords as K, merge as M, relational as R, semantic as S
@@ -263,7 +263,10 @@ _TOPICS = f"{_SIMS}, k as (select *, row_number() over (partition by stem, topic
 
 @query(f"with {_TOPICS} select * from t")
 def topic_scores(spark, sf):
-    return S.topic_scores(_vectors(spark, sf), "stem", "topic")
+    v = _t(spark, sf, "embeddings")
+    anchors = v.where("vec_id < 10").select(F.col("vec_id").alias("topic"), F.col("embedding").alias("anchor_embedding"))
+    top = S.top_similarities(v.select(F.col("label").alias("stem"), F.col("vec_id").alias("sentence_idx"), "embedding"), anchors, "stem", "topic")
+    return top.groupBy("stem", "topic").agg(F.round(F.avg("sim"), 4).alias("score"))
 
 
 @query(f"with {_TOPICS}, p as (select stem, {', '.join(f'round(coalesce(avg(score) filter ({w}), 0.0), 4) as {p}' for p, w in (('environment', 'topic < 5'), ('social', 'topic between 5 and 8'), ('governance', 'topic = 9')))} from t group by 1) select *, case when environment = 0 and social = 0 and governance = 0 then 'unknown' when environment >= social and environment >= governance then 'environment' when social >= governance then 'social' else 'governance' end as dominant from p")
@@ -397,9 +400,9 @@ def page_ranges(spark, sf):
 @query("with c as (select o_custkey, count(*) as n, sum(o_totalprice) as total from orders group by 1), r as (select *, rank() over (order by n) + (count(*) over (partition by n) - 1) / 2.0 as rk from c) select count(*) as n, round(corr(n, total), 6) as r, round(quantile_cont(total, 0.05), 4) as p5, round(median(total), 4) as median, round(sum(rk) filter (o_custkey % 2 = 0), 2) as rank_sum from r")
 def validation_statistics(spark, sf):
     c = _t(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total"))
-    # Ranks of tied counts by cumulated group sizes: the window runs over the few distinct counts, not over all rows.
-    sizes = c.groupBy("n").agg(F.count("*").alias("size")).withColumn("rk", F.sum("size").over(Window.orderBy("n")) - (F.col("size") - 1) / 2.0)
-    return c.join(sizes, "n").agg(F.count("*").alias("n"), F.round(F.corr("n", "total"), 6).alias("r"), F.round(F.percentile("total", 0.05), 4).alias("p5"), F.round(F.percentile("total", 0.5), 4).alias("median"), F.round(F.sum(F.when(F.col("o_custkey") % 2 == 0, F.col("rk"))), 2).cast("double").alias("rank_sum"))
+    stats = R.ranked(c, "n").agg(F.count("*").alias("n"), F.round(F.corr("n", "total"), 6).alias("r"), F.round(F.sum(F.when(F.col("o_custkey") % 2 == 0, F.col("rank"))), 2).cast("double").alias("rank_sum"))
+    found = R.quantiles(c, "total", {"p5": 0.05, "median": 0.5}).select(F.round("p5", 4).alias("p5"), F.round("median", 4).alias("median"))
+    return stats.join(found)
 
 
 @query("select user_id, event_type, event_id from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1")

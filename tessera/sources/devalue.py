@@ -110,8 +110,16 @@ def documents_of_html(html: str) -> list[dict] | None:
         return None
 
 
-def reports(payloads: DataFrame, schema: str) -> DataFrame:
-    """Rows of schema from payloads(body): route payloads, or pages as the second choice; what holds neither gives none."""
+def first_answer(recorded: DataFrame, bases: list[str]) -> DataFrame:
+    """path, base, body: of recorded(path, base, http_status, body) the first base in order that answered with JSON."""
+    rank = F.array_position(F.array(*map(F.lit, bases)), F.col("base"))
+    good = recorded.where((F.col("http_status") == 200) & F.try_parse_json("body").isNotNull() & (rank > 0))
+    return good.groupBy("path").agg(F.min_by(F.struct("base", "body"), rank).alias("a")).select("path", "a.*")
+
+
+def reports(payloads: DataFrame, schema: str, required: bool = False) -> DataFrame:
+    """Rows of schema from payloads(body): route payloads, or pages as the second choice; what holds neither gives none,
+    or if required is an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -121,7 +129,11 @@ def reports(payloads: DataFrame, schema: str) -> DataFrame:
                 try:
                     found = documents_of_nodes(json.loads(body))
                 except (ValueError, AttributeError, TypeError, KeyError, IndexError):
+                    found = None
+                if not found:
                     found = documents_of_html(body or "")
+                if required and not found:
+                    raise ValueError("no list of reports in a payload; its format may have changed")
                 out += [json.dumps(x, allow_nan=False, default=str) if not _odd(x) else json.dumps(_plain(x)) for x in found or []]
             yield pd.DataFrame({"row": out}, dtype=object)
 

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.relational import not_done
 
 
+#: Folders of a ledger.
+LEDGER = 64
+
+
 def arriving(spark: SparkSession, path: str, schema, files: int = 8, discard: bool = False) -> DataFrame:
     """A stream of Parquet files; at most so many per trigger, which bounds what waits unprocessed."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
@@ -21,14 +25,24 @@ def run_once(stream: DataFrame, process: Callable[[DataFrame], DataFrame], keys:
     """Process what has arrived and isn't in out yet, then stop; run again, it does only what is new.
 
     A batch's rows replace those of an earlier try of the same batch, so a crash between write and checkpoint leaves no
-    row twice.
+    row twice. Which keys are done stands in a ledger beside out, of keys only, dealt by a hash into LEDGER folders; a
+    batch reads the folders of its own keys.
     """
     spark = stream.sparkSession
+    ledger = f"{out.rstrip('/')}-keys"
 
     def land(batch: DataFrame, number: int) -> None:
-        done = spark.read.parquet(out).where(F.col("batch") != number) if _exists(spark, out) else None
-        new = batch if done is None else not_done(batch, done, keys)
-        process(new.dropDuplicates(keys)).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        lot = F.pmod(F.xxhash64(*keys), F.lit(LEDGER))
+        dealt = batch.dropDuplicates(keys).withColumn("lot", lot.cast("int")).persist()
+        new = dealt
+        if _exists(spark, ledger):
+            lots = [r.lot for r in dealt.select("lot").distinct().collect()]  # at most LEDGER
+            new = not_done(dealt, spark.read.parquet(ledger).where(F.col("lot").isin(lots) & (F.col("batch") != number)), ["lot", *keys])
+        new = new.persist()
+        process(new.drop("lot")).withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        new.select(*keys, "lot").withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "lot").parquet(ledger)
+        new.unpersist()
+        dealt.unpersist()
 
     stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

@@ -30,7 +30,7 @@ def plain(v):
     return round(float(v), 6) if type(v).__name__ == "Decimal" else v
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_its_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
