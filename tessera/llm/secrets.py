@@ -1,14 +1,15 @@
 """Secrets in texts: three fixed shapes, and strings that are new to their surroundings.
 
-A candidate near a sensitive word is compressed by zstandard with a raw dictionary of common identifiers and of the text
-around it, without other occurrences of itself. If it costs almost as many bytes as a random string of its length and
-alphabet costs without context, neither the identifiers nor the surroundings explain it, and it is reported.
+A candidate near a sensitive word is measured by zstandard, primed with a dictionary of common identifiers: the bytes
+that it adds to the text around it, from which its other occurrences are taken. If it adds almost as many as random
+strings of its length and alphabet add there, neither the identifiers nor the surroundings explain it, and it is
+reported. In the surroundings' frame letters cost what they cost in that text, so an ordinary word of rare length is told
+from a random one of the same letters.
 """
 
 from __future__ import annotations
 
 import bisect
-import functools
 import hashlib
 import random
 import re
@@ -28,6 +29,8 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 LEAST = 16
 AROUND = 512
 NOVELTY = 0.8
+DRAWS = 4
+LEVEL = 12
 _LOW, _UP, _DIGITS = string.ascii_lowercase, string.ascii_uppercase, string.digits
 #: The first one that holds all of a candidate's characters is its alphabet.
 ALPHABETS = (_DIGITS, _DIGITS + "abcdef", _DIGITS + "ABCDEF", _LOW, _UP, _UP + "234567=", _LOW + "234567=", _LOW + _DIGITS, _UP + _DIGITS, _LOW + _UP, _LOW + _UP + _DIGITS, _LOW + _UP + _DIGITS + "+/_=-")
@@ -41,27 +44,19 @@ _IDENTIFIERS = (
     " application production development database connection session identifier abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     " 0123456789 https http www com org net path file index html json xml yaml "
 ).encode()
-
-
-def _cost(word: bytes, primed: zstandard.ZstdCompressionDict | None = None) -> int:
-    pack = zstandard.ZstdCompressor(level=6, dict_data=primed, write_content_size=False, write_dict_id=False)
-    return len(pack.compress(word)) - len(pack.compress(b""))
-
-
-@functools.lru_cache(20_000)
-def _random_cost(alphabet: str, length: int) -> float:
-    """Bytes that a random string costs without context: the mean of a few."""
-    rng = random.Random(length)
-    return sum(_cost("".join(rng.choices(alphabet, k=length)).encode()) for _ in range(4)) / 4
+_PRIMED = zstandard.ZstdCompressionDict(_IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def _novel(text: str, start: int, end: int) -> bool:
-    word = text[start:end]
+    word, n = text[start:end], end - start
     # Other places of the same string are no explanation of it, nor are those that the window's ends cut.
-    n = end - start
     around = text[max(0, start - AROUND - n) : start].replace(word, "\n")[-AROUND:] + "\n" + text[end : end + AROUND + n].replace(word, "\n")[:AROUND]
-    primed = zstandard.ZstdCompressionDict(_IDENTIFIERS + around.encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return _cost(word.encode(), primed) >= NOVELTY * _random_cost(next(a for a in ALPHABETS if not set(word) - set(a)), n)
+    known = around.encode("utf-8", "surrogatepass") + b"\n"
+    pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=_PRIMED, write_content_size=False, write_dict_id=False)
+    base = len(pack.compress(known))
+    added = lambda w: len(pack.compress(known + w.encode() + b"\n")) - base
+    alphabet, rng = next(a for a in ALPHABETS if not set(word) - set(a)), random.Random(n)
+    return added(word) * DRAWS >= NOVELTY * sum(added("".join(rng.choices(alphabet, k=n))) for _ in range(DRAWS))
 
 
 def _united(found: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
