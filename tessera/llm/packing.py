@@ -25,6 +25,8 @@ from tokenizers import Tokenizer
 from .common import save
 
 CAPACITY = 1024
+#: Characters from which on a text goes to tokenizers, as tiktoken takes time that grows faster than a single long word.
+FAST = 1_000_000
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, lot int, nth long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("lot", pa.int32()), ("nth", pa.int64())])
 
@@ -45,10 +47,10 @@ class Encoder:
         return Tokenizer.from_file(self.path)
 
     def __call__(self, text: str) -> np.ndarray:
-        if "<|endoftext|>" not in text and len(text) < 1_000_000:
+        if "<|endoftext|>" not in text and len(text) < FAST:
             try:
                 return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
-            except Exception:  # noqa: BLE001  the regular expression can run out of stack
+            except ValueError:  # what UTF-8 can't hold
                 pass
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4")
 

@@ -230,6 +230,40 @@ def test_encoder_on_any_text(text):
     assert packing.encoder(PATH)(text).tolist() == packing.encoder(PATH).exact.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_on_both_sides_of_its_switch(monkeypatch):
+    text = ("some words, and numbers 12345 of a text; " * 30_000)[:1_100_000]
+    exact = packing.encoder(PATH)(text)
+    monkeypatch.setattr(packing, "FAST", 2_000_000)
+    assert (packing.encoder(PATH)(text) == exact).all() and len(exact) > 200_000
+
+
+def test_packing_edges(spark):
+    df = docs(spark, [(1, "a b"), (1, "a b"), (None, "c"), (2, "word " * 250_000)])
+    rows = packing.pack(df, PATH).collect()
+    assert [r.length for r in rows if r.doc_id == 1] == [3, 3] and len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    long = sorted((r.piece, r.start, r.length) for r in rows if r.doc_id == 2)
+    assert [p for p, _, _ in long] == list(range(len(long))) and all(n == 1024 for _, _, n in long[1:]) and sum(n for *_, n in long) == len(packing.encoder(PATH)("word " * 250_000)) + 1
+    assert sum(r.doc_id is None for r in rows) == 1
+
+
+def test_best_fit_is_close_to_the_fewest_bins():
+    rng = np.random.default_rng(4)
+
+    def fewest(sizes, room):
+        if not sizes:
+            return len(room)
+        best, seen = len(room) + len(sizes), set()
+        for i, r in enumerate(room):
+            if r >= sizes[0] and r not in seen:
+                seen.add(r)
+                best = min(best, fewest(sizes[1:], room[:i] + [r - sizes[0]] + room[i + 1 :]))
+        return min(best, fewest(sizes[1:], [*room, 16 - sizes[0]]))
+
+    for _ in range(60):
+        sizes = sorted(rng.integers(1, 17, 7).tolist(), reverse=True)
+        assert len(packing.best_fit(sizes, 16)) <= fewest(sizes, []) + 1
+
+
 def test_best_fit():
     bins = packing.best_fit([600, 500, 400, 500, 24, 1024, 1], 1024)
     assert sorted(i for b in bins for i in b) == list(range(7)) and len(bins) == 3
@@ -291,6 +325,17 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(map(tuple, df.select(*[d[0] for d in result.description]).collect())) == sorted(result.fetchall())
 
 
+def test_near_duplicates_of_very_long_texts(spark):
+    rng = np.random.default_rng(14)
+    words = prose(rng, 150_000, 5000).split()
+    near = list(words)
+    for i in rng.integers(0, len(near), 3000):
+        near[int(i)] = "other"
+    texts = [(1, " ".join(words)), (2, " ".join(near)), (3, prose(rng, 150_000, 5000)), (4, "x" * 1_000_000)]
+    want = {i: (n, c, i == c) for i, (n, c) in brute_components(texts, 3, 85).items()}
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs(spark, texts)).collect()} == want and want[2][1] == 1
+
+
 # --- 4
 
 def naive_base(text):
