@@ -76,7 +76,7 @@ def ranked(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
     Values are sorted in ranges, a task each, and shifted by what earlier ranges hold, so no task sorts all rows.
     """
     some = df.where(F.col(value).isNotNull())
-    cuts = some.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.001) if not some.isEmpty() else []
+    cuts = some.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.001) if buckets > 1 and not some.isEmpty() else []
     at = F.lit(0)
     if cuts := sorted(set(cuts)):
         at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(value)))

@@ -19,6 +19,11 @@ DOWNLOAD_LOG = "stem string, company string, isin string, url string, final_url
 TABLES = "array<struct<page:int,rows:array<array<string>>>>"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 

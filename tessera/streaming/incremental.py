@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.relational import not_done
+from ..sources.files import exists
 
 
 #: Folders of a ledger.
@@ -35,7 +36,7 @@ def run_once(stream: DataFrame, process: Callable[[DataFrame], DataFrame], keys:
         lot = F.pmod(F.xxhash64(*keys), F.lit(LEDGER))
         dealt = batch.dropDuplicates(keys).withColumn("lot", lot.cast("int")).persist()
         new = dealt
-        if _exists(spark, ledger):
+        if exists(spark, ledger):
             lots = [r.lot for r in dealt.select("lot").distinct().collect()]  # at most LEDGER
             new = not_done(dealt, spark.read.parquet(ledger).where(F.col("lot").isin(lots) & (F.col("batch") != number)), ["lot", *keys])
         new = new.persist()
@@ -47,11 +48,6 @@ def run_once(stream: DataFrame, process: Callable[[DataFrame], DataFrame], keys:
     stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def current_status(log: DataFrame, key: str, time: str, delay: str = "1 hour") -> DataFrame:
     """The first row of each key and status of a streamed log within the watermark."""
     return log.withWatermark(time, delay).dropDuplicatesWithinWatermark([key, "status"])
