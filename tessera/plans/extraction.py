@@ -72,7 +72,7 @@ from {lineitem}
 
 _PARTS = """p as (select 'r' || l_orderkey as stem, l_linenumber as c, 'E1-' || l_partkey % 3 as dr_code, case l_returnflag when 'A' then 'reported' when 'N' then 'material_not_reported' else 'phase_in_deferred' end as status, (l_suppkey % 9) / 10.0 as confidence, l_orderkey from lineitem),
 f as (select distinct stem from p where l_orderkey % 11 = 3 and c = 2), g as (select * from p where stem not in (select stem from f)), n as (select stem, count(*) as n, min(c) as c0, min(case when c >= 2 then c end) as c2 from g group by stem),
-b as (select * from g qualify row_number() over (partition by stem, dr_code order by confidence desc, c) = 1)"""
+b as (select * from g qualify row_number() over (partition by stem, dr_code order by confidence desc, c, status) = 1)"""
 
 
 @query(f"""with {_PARTS} select b.stem, count(*) + any_value(n) as n_disclosures, count(*) filter (status = 'reported') as n_reported, count(*) filter (status = 'material_not_reported') as n_material_not_reported, any_value(n) as n_not_addressed, count(*) as n_datapoints, array_to_string(list_sort(list_distinct(list('f' || b.c))), '|') as quality_flags, round(avg(confidence), 3) as avg_confidence, any_value(n) = 1 as esrs2_complete,
