@@ -557,6 +557,32 @@ def test_cross_entropy_has_exact_counts_on_a_large_vocabulary(spark, monkeypatch
             assert rows[i][name] == pytest.approx(-np.mean(np.log(q)), abs=1e-9)
 
 
+def test_cross_entropy_holds_bounded_parts_and_ranges(spark, monkeypatch):
+    # In one partition: lots and ranges go by bytes of text, and a lot with a long text is cut.
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join(f"w{n}" for n in rng.integers(0, 500, 2000 if i == 70 else 20))) for i in range(200)]
+    df = docs(spark, [*texts, (300, None), (301, "")]).coalesce(1)
+    ids = spark.range(0, 200, 3).withColumnRenamed("id", "doc_id")
+    want = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, ids).collect()}
+    most, ranges, tables = 2000, 1000, []
+    monkeypatch.setattr(lm_score, "LOT_BYTES", most)
+    monkeypatch.setattr(lm_score, "RANGE_BYTES", ranges)
+    save = lm_score.save
+    monkeypatch.setattr(lm_score, "save", lambda t: tables.append(out := save(t)) or out)
+    for few in (2_000_000, 3):
+        monkeypatch.setattr(lm_score, "BROADCAST_IDS", few)
+        got = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, ids).collect()}
+        assert got.keys() == want.keys()
+        for i, r in want.items():
+            assert got[i].n_words == r.n_words and (got[i].score is None) == (r.score is None)
+            assert r.score is None or (got[i].target_loss, got[i].background_loss) == (pytest.approx(r.target_loss), pytest.approx(r.background_loss))
+        totals = tables[-1].select("range", "lot", "part").collect()
+        size = sum(len(t) for _, t in texts)
+        assert len({r.range for r in totals}) == -(-size // ranges)
+        parts = {(r.lot, r.part) for r in totals if r.lot >= 0}
+        assert len(parts) >= size / most and max(p for _, p in parts) > 0
+
+
 # --- 7
 
 def brute_overlaps(texts, items):
