@@ -24,4 +24,20 @@ hit as (select distinct doc_id, item_id, off from (select s.doc_id, s.item_id, s
 laid as (select doc_id, item_id, off, count(*) as matched, greatest(0, least(any_value(n), any_value(m) - off) - greatest(0, -off)) as compared from own join hit using (doc_id, item_id, off) group by doc_id, item_id, off)
 select doc_id, item_id, cast(off as int) as "at", cast(matched as int) as matched, cast(compared as int) as compared from laid qualify row_number() over (partition by doc_id, item_id order by matched desc, off) = 1"""
 
-ORACLE_SQL = {"op3_near_duplicates": OP3, "op7_decontaminate": OP7}
+#: Shares of all kept words in all groups, zeros too, and every word of every pair of sources.
+OP11 = f"""with texts as (select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+') as w from documents),
+occurrences as (select id, lang, source, unnest(w) as term from texts),
+kept as (select lang, term from occurrences group by lang, term having count(distinct id) >= 30),
+counts as (select lang, source, term, cast(count(*) as hugeint) as n from occurrences join kept using (lang, term) group by all),
+grp as (select distinct lang, source from texts),
+sizes as (select lang, count(*) as v from kept group by lang),
+dense as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n from grp g join kept k on g.lang = k.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+shares as (select lang, source, term, n, cast(1 + 1000000000 * (n + 5) // (sum(n) over (partition by lang, source) + 5 * v) as bigint) as p from dense join sizes using (lang)),
+whole as (select lang, term, cast(1 + 1000000000 * (n + 5) // (sum(n) over (partition by lang) + 5 * v) as bigint) as q from (select lang, term, sum(n) as n from dense group by lang, term) join sizes using (lang)),
+pairs as (select a.lang, a.source, b.source as item, cast(coalesce(sum(abs(s.p - t.p)), 0) as bigint) as value from grp a join grp b on a.lang = b.lang and a.source <> b.source left join shares s on s.lang = a.lang and s.source = a.source left join shares t on t.lang = b.lang and t.source = b.source and t.term = s.term group by all),
+words as (select lang, source, term as item, p - q as value from shares join whole using (lang, term) where n > 0 and p > q),
+ranked as (select *, 'pair' as part, row_number() over (partition by lang, source order by value desc, item) as rank from pairs union all
+select *, 'term' as part, row_number() over (partition by lang, source order by value desc, item) as rank from words)
+select lang, source, part, item, value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 50"""
+
+ORACLE_SQL = {"op3_near_duplicates": OP3, "op7_decontaminate": OP7, "op11_divergence": OP11}

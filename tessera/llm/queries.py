@@ -9,7 +9,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, html_text, lm_score, media, near_dedup, packing, pii, quality, rollup, secrets
+from . import curve_packing, decontaminate, divergence, html_text, lm_score, media, near_dedup, packing, pii, quality, rollup, secrets, whitening
 from .common import long_texts, save, scratch_path
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -103,4 +103,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_best_fit_packing, op3_near_duplicates, op4_secret_scan, op5_pseudonyms, op6_cross_entropy, op7_decontaminate, op8_token_rollup, op9_image_copies, op10_quality)}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(_read(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(_read(spark, sf_dir, "embeddings")))
+
+
+def op13_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.pack(_read(spark, sf_dir, "documents"), TOKENIZER)
+
+
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_best_fit_packing, op3_near_duplicates, op4_secret_scan, op5_pseudonyms, op6_cross_entropy, op7_decontaminate, op8_token_rollup, op9_image_copies, op10_quality, op11_divergence, op12_whitening, op13_curve_packing)}
