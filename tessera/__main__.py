@@ -31,7 +31,8 @@ def parser() -> argparse.ArgumentParser:
         if name == "neural":
             a.add_argument("--taxonomy", required=True)
             a.add_argument("--no-qa", action="store_true")
-            a.add_argument("--run-id", default="r1")
+            a.add_argument("--run-id")
+            a.add_argument("--stand-ins", action="store_true", help="run on stand-in models, whose disclosures are invented")
     a = sub.add_parser("worklist")
     a.add_argument("--log", required=True)
     a.add_argument("--only")
@@ -57,7 +58,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         if o.run == "keywords":
             runs.analyse(spark, options).show()
         else:
-            # Stand-in models; a deployment passes its own ports to runs.disclose().
+            # A deployment passes its own ports to runs.disclose().
+            if not o.stand_ins:
+                raise SystemExit("no model ports: call runs.disclose() with those of a deployment, or try it with --stand-ins")
             answer = None if o.no_qa else ports.answer(ports.number_answerer)
             runs.disclose(spark, options, files.taxonomy_of(spark, files.prompt(o.taxonomy)), ports.embed(ports.hashed_embedder(256)), ports.entailment(ports.overlap_entailment), answer, o.run_id).show()
 

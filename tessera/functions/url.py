@@ -11,13 +11,16 @@ from .text import let, strip
 LEVELS = 8
 
 
+def is_redirect(url: Column) -> Column:
+    return url.rlike(r"(?i)^[a-z]+://(?:[^/?#]*\.)?google\.[a-z.]+/url\?")
+
+
 def unwrapped(url: Column) -> Column:
     """The target of a search engine's redirect link, else the link."""
 
     def target(u: Column) -> Column:
         found = F.coalesce(F.try_parse_url(u, F.lit("QUERY"), F.lit("url")), F.try_parse_url(u, F.lit("QUERY"), F.lit("q")))
-        wrapped = u.rlike(r"(?i)^[a-z]+://(?:[^/?#]*\.)?google\.[a-z.]+/url\?")
-        return F.when(wrapped, F.coalesce(F.try_url_decode(found), u)).otherwise(u)
+        return F.when(is_redirect(u), F.coalesce(F.try_url_decode(found), u)).otherwise(u)
 
     return let(url, target)
 
@@ -29,7 +32,9 @@ def _based(url: Column) -> Column:
 
 def clean_url(url: Column) -> Column:
     """Trimmed, blanks encoded, doubled letters and missing schemes mended, redirects unwrapped up to LEVELS deep."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), _based(url), lambda u, _: F.when(unwrapped(u) == u, u).otherwise(_based(unwrapped(u))))
+    step = lambda u, _: F.when(is_redirect(u), let(unwrapped(u), lambda t: F.when(t == u, u).otherwise(_based(t)))).otherwise(u)
+    # Most links are no redirects, and only those that are go through the levels.
+    return let(_based(url), lambda c: F.when(is_redirect(c), F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS)), c, step)).otherwise(c))
 
 
 def mirror_key(url: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as X
 from ..functions import lexicon as L
+from ..sources import scratch
 from .relational import top_per_group
 from .semantic import top_similarities
 
@@ -170,12 +171,12 @@ def neural(reports: DataFrame, taxonomy: DataFrame, embed, entail, answer=None)
     embed, entail and answer are ports (operators.ports); without answer there are no datapoints.
     """
     said = page_sentences(reports).withColumn("__row", X.is_index_row(F.col("sentence")))
-    left = said.where("not __row").drop("__row").persist()
+    left = scratch.table(said.where("not __row").drop("__row"), "sentences")
     index_rows = said.groupBy("stem").agg(F.count_if("__row").alias("n"), F.count_if(~F.col("__row")).alias("kept")).where("kept > 0")
     titles = taxonomy.select("dr_code", embed(F.col("dr_title")).alias("anchor_embedding"))
     vectors = left.select("stem", "sentence_idx", embed(F.col("sentence")).alias("embedding"))
     sims = top_similarities(vectors, titles, "stem", "dr_code", TOP_K).drop("rank")
-    hits = without_overused(shortlist(sims)).persist()
+    hits = scratch.table(without_overused(shortlist(sims)), "hits")
     pairs = hypotheses(queue(hits), taxonomy, left)
     scores = pairs.select(*HIT, "sentence_idx", entail(F.col("premise"), F.col("hypothesis")).alias("score"))
     answers = None

@@ -25,6 +25,34 @@ def parsed(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rows.where("__json is null").select("stem", F.concat(F.lit("unparseable: "), F.substring(F.coalesce("raw", F.lit("")), 1, 200)).alias("error"))
 
 
+def variants(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As parsed(), with the result as a variant v: fields that no schema names and values of any type are kept."""
+    rows = answers.withColumn("v", F.try_parse_json(repaired_json(F.col("raw"))))
+    return rows.where("v is not null").drop("raw"), rows.where("v is null").select("stem", F.concat(F.lit("unparseable: "), F.substring(F.coalesce("raw", F.lit("")), 1, 200)).alias("error"))
+
+
+def shredded(rows: DataFrame, fields: dict[str, str], v: str = "v") -> DataFrame:
+    """rows with a typed column for each of fields (name: type) of the variant v, what drifted, and what is unknown.
+
+    A value that the type can hold is cast to it. Of one that it can't, the column is null and drift, an array of
+    struct(field, found), has its field and the type that was found. unknown are the names of fields beside these, sorted.
+    """
+    path = lambda f: f"$['{f}']" if not f.isidentifier() else f"$.{f}"
+    at = lambda f: F.try_variant_get(v, path(f), "variant")
+    typed = {f: F.try_variant_get(v, path(f), t) for f, t in fields.items()}
+    said = lambda f: at(f).isNotNull() & ~F.is_variant_null(at(f))
+    drift = [F.when(typed[f].isNull() & said(f), F.struct(F.lit(f).alias("field"), F.schema_of_variant(at(f)).alias("found"))) for f in fields]
+    names = F.json_object_keys(F.to_json(v))
+    unknown = F.array_sort(F.array_except(F.coalesce(names, F.array().cast("array<string>")), F.array(*map(F.lit, fields))))
+    return rows.select("*", *[c.alias(f) for f, c in typed.items()], F.array_compact(F.array(*drift)).alias("drift"), unknown.alias("unknown"))
+
+
+def drift_counts(rows: DataFrame) -> DataFrame:
+    """field, found, n of the drift of shredded() rows; an unknown field is one whose found is unknown."""
+    each = F.concat("drift", F.transform("unknown", lambda f: F.struct(f.alias("field"), F.lit("unknown").alias("found"))))
+    return rows.select(F.explode(each).alias("d")).groupBy("d.field", "d.found").agg(F.count("*").alias("n"))
+
+
 def exploded(results: DataFrame) -> DataFrame:
     """The disclosures of results(stem, chunk_no, result) as rows."""
     rows = results.select("stem", "chunk_no", F.posexplode("result.disclosures").alias("pos", "d"))
@@ -119,10 +147,17 @@ def corpus_averages(coverage: DataFrame) -> DataFrame:
 
 
 def write_outputs(rows: DataFrame, failures: DataFrame, out: str, failed: str, run_id: str) -> DataFrame:
-    """Append the rows of a run to out, put failures aside, and give the averages of what was written."""
-    from ..sources import sinks
+    """Merge the rows of a run into the table at out by stem, put failures aside, and give the averages of the run's rows.
 
-    sinks.append(rows, out, run_id)
-    if not failures.isEmpty():
-        sinks.overwrite_csv(failures, failed)
-    return corpus_averages(rows.sparkSession.read.parquet(out).where(F.col("run_id") == run_id))
+    Rows of other stems stay, whatever run wrote them. A stem that has a row is no failure any more.
+    """
+    from ..sources import sinks, upserts
+
+    spark = rows.sparkSession
+    table, aside = upserts.UpsertTable(spark, out, ["stem"]), upserts.UpsertTable(spark, f"{failed}-table", ["stem"])
+    table.upsert(rows.withColumn("run_id", F.lit(run_id)))
+    written = table.read().where(F.col("run_id") == run_id)
+    gone = written.select("stem", F.lit(None).cast("string").alias("error"), F.lit(True).alias("gone"))
+    aside.upsert(failures.select("stem", "error", F.lit(False).alias("gone")).unionByName(gone), None, F.col("gone"), deleted=F.col("gone"))
+    sinks.overwrite_csv(aside.read().select("stem", "error"), failed)
+    return corpus_averages(written)

@@ -18,22 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lexicon import PROVIDERS, TRANSIENT
+from ..sources import scratch, sinks
 from .merge import merged, parsed
 from .relational import packed_parts
 
 Embedder = Callable[[list[str]], np.ndarray]
 
 
-@dataclass(frozen=True)
-class Options:
-    """How a model is loaded: device (None: cpu), int8 weights, threads (None: the task's cores), texts a batch."""
-
-    device: str | None = None
-    quantized: bool = True
-    threads: int | None = None
-    batch: int = 32
-
-
 @dataclass(frozen=True)
 class Provider:
     """A model server: address, key, model, and whether it is asked for JSON."""
@@ -176,12 +167,18 @@ def best_span(starts: np.ndarray, ends: np.ndarray, most: int = 30) -> tuple[int
 
 
 def ask(chunks: DataFrame, factory: Callable[[], Callable[[str], str]], tries: int = 4, wait: float = 4.0) -> DataFrame:
-    """chunks(stem, chunk_no, text) -> stem, chunk_no, raw, error; transient errors are tried again, with doubled waits."""
+    """chunks(stem, chunk_no, text) -> stem, chunk_no, raw, error; transient errors are tried again, with doubled waits.
+
+    chunks may be a stream; further columns of it pass.
+    """
+    schema = T.StructType([f for f in chunks.schema if f.name not in ("text", "raw", "error")]).add("raw", "string").add("error", "string")
+    others = [f.name for f in schema if f.name not in ("raw", "error")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
         for b in batches:
             rows = []
-            for stem, no, text in zip(b["stem"], b["chunk_no"], b["text"], strict=True):
+            for text in b["text"]:
                 raw, error = None, None
                 for k in range(tries):
                     try:
@@ -192,10 +189,10 @@ def ask(chunks: DataFrame, factory: Callable[[], Callable[[str], str]], tries: i
                         if k + 1 == tries or not any(t in error.lower() for t in TRANSIENT):
                             break
                         time.sleep(wait * 2**k)
-                rows.append((stem, no, raw, error))
-            yield pd.DataFrame(rows, columns=["stem", "chunk_no", "raw", "error"])
+                rows.append((raw, error))
+            yield b[others].assign(raw=[r for r, _ in rows], error=[e for _, e in rows])
 
-    return chunks.select("stem", "chunk_no", "text").mapInPandas(run, "stem string, chunk_no int, raw string, error string")
+    return chunks.select(*others, "text").mapInPandas(run, schema)
 
 
 def hashed_embedder(dimensions: int = 64) -> Callable[[], Embedder]:
@@ -249,7 +246,14 @@ def extract(parts: DataFrame, factory: Callable[[], Callable[[str], str]], most:
     chunks = packed_parts(parts, "stem", ordinal, "text", most).withColumnRenamed("chunk", "chunk_no")
     if tasks:
         chunks = chunks.repartition(tasks, "stem")
-    answers = ask(chunks, factory, tries, wait).persist()
-    good, bad = parsed(answers.where("error is null").drop("error"))
-    failed = answers.where("error is not null").select("stem", "error").unionByName(bad).groupBy("stem").agg(F.min("error").alias("error"))
+    return results(ask(chunks, factory, tries, wait))
+
+
+def results(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(stem, result) and (stem, error) of answers(stem, chunk_no, raw, error), which are written to a table first, so
+    that no model is asked twice and both results come from the same answers."""
+    answers = scratch.table(answers, "answers")
+    said, silent = sinks.split_failures(answers)
+    good, bad = parsed(said)
+    failed = silent.select("stem", "error").unionByName(bad).groupBy("stem").agg(F.min("error").alias("error"))
     return merged(good.join(failed.select("stem"), "stem", "left_anti")), failed

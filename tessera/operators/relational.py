@@ -44,11 +44,27 @@ def round_robin(df: DataFrame, key: str, ordinal: str, gap: float | None = None,
     return out if gap is None else out.withColumn("start_after", (F.col("turn") - 1) * F.lit(float(gap)))
 
 
+def profiled(df: DataFrame, columns: list[str], distinct: Column | None = None, total: bool = True) -> DataFrame:
+    """dimension, value, n and with distinct n_distinct: rows, and distinct values of a column, for each value of each
+    column and, as dimension "*", of all; missing values are None.
+
+    One aggregate over grouping sets, so each row is read once and partial counts are all that is shuffled.
+    """
+    names = [f"__{i}" for i in range(len(columns))]
+    named = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(n) for c, n in zip(columns, names, strict=True)], *([] if distinct is None else [distinct.alias("__d")]))
+    counts = [F.count("*").alias("n"), *([] if distinct is None else [F.count_distinct("__d").alias("n_distinct")])]
+    grouped = named.groupingSets([[n] for n in names] + ([[]] if total else []), *names).agg(F.grouping_id().alias("__g"), *counts)
+    # A set's id has a bit for each column that is not in it, the first column's highest.
+    every = (1 << len(names)) - 1
+    which = F.lit("*")
+    for i, c in enumerate(columns):
+        which = F.when(F.col("__g") == every - (1 << len(names) - 1 - i), c).otherwise(which)
+    return grouped.select(which.alias("dimension"), F.coalesce(*names).alias("value"), "n", *([] if distinct is None else ["n_distinct"]))
+
+
 def value_counts(df: DataFrame, columns: list[str], k: int) -> DataFrame:
-    """dimension, value, n: the k most frequent values of each column in one pass; missing values are None."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"), F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("value")) for c in columns]))
-    counted = df.select(pairs.alias("p")).groupBy("p.dimension", "p.value").agg(F.count("*").alias("n"))
-    return top_per_group(counted, ["dimension"], k, F.desc("n"), "value")
+    """dimension, value, n, rank: the k most frequent values of each column in one pass; missing values are None."""
+    return top_per_group(profiled(df, columns, total=False), ["dimension"], k, F.desc("n"), "value")
 
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

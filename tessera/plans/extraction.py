@@ -42,11 +42,14 @@ def neural_extraction(spark, sf):
 _CODES, _SENT = f"codes as ({Z.plain(Z.CODES)})", f"sent as ({Z.plain(Z.SENTENCES)})"
 
 
-@query(f"""with {_BEST}, {_CODES}, {_SENT}, reports as (select distinct stem from sent), t as (select stem, dr_code, sim as top_sim, sentence_idx as top_idx from kept qualify row_number() over (partition by stem, dr_code order by rank) = 1),
+_LADDER = f"""{_BEST}, {_CODES}, {_SENT}, reports as (select distinct stem from sent), t as (select stem, dr_code, sim as top_sim, sentence_idx as top_idx from kept qualify row_number() over (partition by stem, dr_code order by rank) = 1),
 m as (select best.stem, codes.standard, count(*) >= 2 as material from best join codes using (dr_code) where entail >= 0.55 and standard <> 'ESRS2' group by 1, 2),
 rr as (select reports.stem, codes.*, top_sim, coalesce(entail, 0.0) as entail, coalesce(material, false) as material, coalesce(best.sentence_idx, top_idx) as sentence_idx from reports cross join codes left join t on t.stem = reports.stem and t.dr_code = codes.dr_code left join best on best.stem = reports.stem and best.dr_code = codes.dr_code left join m on m.stem = reports.stem and m.standard = codes.standard),
 qq as (select rr.*, page, sentence as quote from rr left join sent s on s.stem = rr.stem and s.sentence_idx = rr.sentence_idx),
-st as (select *, case when entail >= 0.55 then 'reported' when quote like '%phase-in%' then 'phase_in_deferred' when top_sim is null then 'not_addressed' when not material and standard <> 'ESRS2' then 'not_material_omitted' else 'material_not_reported' end as status from qq)
+st as (select *, case when entail >= 0.55 then 'reported' when quote like '%phase-in%' then 'phase_in_deferred' when top_sim is null then 'not_addressed' when not material and standard <> 'ESRS2' then 'not_material_omitted' else 'material_not_reported' end as status from qq)"""
+
+
+@query(f"""with {_LADDER}
 select stem, dr_code, standard, status, round(least(1.0, 0.45 * coalesce(top_sim, 0.0) / 0.6 + 0.55 * entail), 3) as confidence, page, quote,
 concat_ws('|', case when status = 'reported' and dr_code = 'E1-6' and not contains(lower(quote), 'scope 3') then 'scope_3_not_in_evidence' end, case when status = 'reported' and contains(lower(dr_title), 'target') and not contains(quote, 'baseline of 2019') then 'target_without_baseline' end) as flags from st""")
 def status_ladder(spark, sf):

@@ -5,13 +5,16 @@ Each takes a session and typed options and writes tables; `python -m tessera` ha
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .functions import url as U
 from .operators import disclosure, index, keywords, merge, ports, relational, selection
-from .sources import devalue, files, sinks
+from .sources import devalue, files, scratch, sinks
+from .sources.upserts import UpsertTable
+from .streaming import incremental, stateful
 
 RAW = "id string, year string, type string, csrd_compliant string, csrd_report_number string, pdfpage_sust_start string, pdfpage_sust_end string, original_link string, publication_date string, auditor string, company struct<id:string,lei:string,isin:string,name:string,sector:string,country:string,industry:string>"
 
@@ -80,8 +83,13 @@ def _jobs(spark: SparkSession, o: TextOptions, done: DataFrame | None) -> DataFr
     return jobs.join(texts, "stem")
 
 
-def _done(spark: SparkSession, path: str, overwrite: bool) -> DataFrame | None:
-    return spark.read.parquet(path).select("stem") if not overwrite and files.exists(spark, path) else None
+def _table(spark: SparkSession, o: TextOptions) -> UpsertTable:
+    """The nested results of all runs, one per report."""
+    return UpsertTable(spark, f"{o.out}/results", ["stem"])
+
+
+def _done(table: UpsertTable, overwrite: bool) -> DataFrame | None:
+    return table.read().select("stem") if not overwrite and table.exists() else None
 
 
 def analyse(spark: SparkSession, o: TextOptions) -> DataFrame:
@@ -94,25 +102,45 @@ def analyse(spark: SparkSession, o: TextOptions) -> DataFrame:
     return keywords.pillar_counts(flat)
 
 
-def disclose(spark: SparkSession, o: TextOptions, taxonomy: DataFrame, embed, entail, answer=None, run_id: str = "r1") -> DataFrame:
-    """Disclosures of the English reports that have none yet, by model ports; averages of the run are returned."""
-    out, failed, nested = f"{o.out}/coverage", f"{o.out}/failures", f"{o.out}/results"
-    jobs = _jobs(spark, o, _done(spark, nested, o.overwrite))
-    sinks.append(disclosure.neural(jobs.select("stem", "text"), taxonomy, embed, entail, answer), nested, run_id)
-    results = spark.read.parquet(nested).where(F.col("run_id") == run_id).drop("run_id")
+def disclose(spark: SparkSession, o: TextOptions, taxonomy: DataFrame, embed, entail, answer=None, run_id: str | None = None) -> DataFrame:
+    """Disclosures of the English reports that have none yet, by model ports; averages of the run are returned.
+
+    Results of earlier runs stay, whatever run_id they have; it is a label, by default a new one.
+    """
+    run_id, table = run_id or uuid.uuid4().hex, _table(spark, o)
+    jobs = scratch.table(_jobs(spark, o, _done(table, o.overwrite)), "jobs")
+    table.upsert(disclosure.neural(jobs.select("stem", "text"), taxonomy, embed, entail, answer).withColumn("run_id", F.lit(run_id)))
+    results = table.read().join(jobs.select("stem"), "stem", "left_semi").drop("run_id")
     none = spark.createDataFrame([], "stem string, error string")
-    return merge.write_outputs(merge.flat_results(results, jobs.select("stem", "meta.company", "meta.country")), none, out, failed, run_id)
-
-
-def ask_models(spark: SparkSession, o: TextOptions, factory, chunk: int = 60_000, run_id: str = "r1") -> DataFrame:
-    """As disclose(), by one model asked about each chunk of a report; reports that fail are put aside."""
-    nested = f"{o.out}/results"
-    jobs = _jobs(spark, o, _done(spark, nested, o.overwrite))
-    parts = jobs.select("stem", F.posexplode(F.split("text", r"(?=\[\[page:\d+\]\])")).alias("page", "text"))
-    results, failures = ports.extract(parts, factory, chunk)
-    sinks.append(results, nested, run_id)
-    results = spark.read.parquet(nested).where(F.col("run_id") == run_id).drop("run_id")
-    return merge.write_outputs(merge.flat_results(results), failures, f"{o.out}/coverage", f"{o.out}/failures", run_id)
+    return merge.write_outputs(merge.flat_results(results, jobs.select("stem", "meta.company", "meta.country")), none, f"{o.out}/coverage", f"{o.out}/failures", run_id)
+
+
+def ask_models(spark: SparkSession, o: TextOptions, factory, chunk: int = 60_000, run_id: str | None = None, lots: int = 8, timeout: float = 86_400) -> DataFrame:
+    """As disclose(), by one model asked about each chunk of a report; reports that fail are put aside.
+
+    Chunks are asked about in lots, and a report's result is in the table as soon as its last chunk has answered, so a run
+    that is cut off has kept what was done; run again with the same run_id it goes on from its checkpoint, else it starts
+    over with the reports that have no result.
+    """
+    run_id, table = run_id or uuid.uuid4().hex, _table(spark, o)
+    work = f"{o.out}/runs/{run_id}"
+    state = stateful.state_session(spark)
+    if not files.exists(spark, f"{work}/chunks/_SUCCESS"):
+        parts = _jobs(spark, o, _done(table, o.overwrite)).select("stem", F.posexplode(F.split("text", r"(?=\[\[page:\d+\]\])")).alias("page", "text"))
+        packed = relational.packed_parts(parts, "stem", "page", "text", chunk).withColumnRenamed("chunk", "chunk_no")
+        sized = packed.withColumn("chunks", F.count("*").over(Window.partitionBy("stem")).cast("int"))
+        sized.repartition(lots, "stem", "chunk_no").write.mode("overwrite").parquet(f"{work}/chunks")
+    arrived = incremental.arriving(state, f"{work}/chunks", "stem string, chunk_no int, text string, chunks int", files=1)
+    answers = ports.ask(arrived, factory).withColumn("answered_at", F.current_timestamp())
+
+    def land(batch: DataFrame, number: int) -> None:
+        results, failures = ports.results(batch)
+        merge.write_outputs(merge.flat_results(results), failures, f"{o.out}/coverage", f"{o.out}/failures", run_id)
+        table.upsert(results.withColumn("run_id", F.lit(run_id)), f"{run_id}-{number}")
+
+    stateful.gathered(answers, timeout).writeStream.foreachBatch(land).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    coverage = UpsertTable(spark, f"{o.out}/coverage", ["stem"])
+    return merge.corpus_averages(coverage.read().where(F.col("run_id") == run_id))
 
 
 def worklist(spark: SparkSession, log: str, out: str, only: str | None = None, limit: int | None = None, exact: bool = False) -> DataFrame:

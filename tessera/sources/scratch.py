@@ -6,9 +6,10 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, SparkSession] = {}
+_LOCAL: list[str] = []
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -17,13 +18,21 @@ def folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
+        root = _LOCAL[0]
     path = f"{root.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     _OWN[path] = spark
     return path
 
 
+def table(df: DataFrame, name: str = "table") -> DataFrame:
+    """df written to a folder() and read back: what a model or a shuffle gave stays the same if executors are lost."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @atexit.register
 def _drop_all() -> None:
     for path, spark in list(_OWN.items()):

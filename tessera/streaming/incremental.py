@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.relational import not_done
 from ..sources.files import exists
+from ..sources.upserts import UpsertTable
 
 
 #: Folders of a ledger.
@@ -48,6 +49,25 @@ def run_once(stream: DataFrame, process: Callable[[DataFrame], DataFrame], keys:
     stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def current_status(log: DataFrame, key: str, time: str, delay: str = "1 hour") -> DataFrame:
-    """The first row of each key and status of a streamed log within the watermark."""
-    return log.withWatermark(time, delay).dropDuplicatesWithinWatermark([key, "status"])
+def upsert(stream: DataFrame, table: UpsertTable, checkpoint: str, *order, name: str = "stream") -> None:
+    """Merge what has arrived into a keyed table, then stop; a micro-batch that is tried again is merged once.
+
+    Batches are named after the stream and the number of the micro-batch, so streams that write one table need names of
+    their own, and a new checkpoint a new name.
+    """
+
+    def land(batch: DataFrame, number: int) -> None:
+        table.upsert(batch, f"{name}-{number}", *order)
+
+    stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def current_status(log: DataFrame, keys: list[str], time: str, tie: str, span: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """The last row of each key in each span of time of a streamed log, by time and tie, once the watermark has passed it.
+
+    Rows may come up to delay late and more than once; what comes later still is left out. The state holds keys of open
+    spans only, however long the log is. Merged into an upsert table with upsert(..., F.desc(time)), whose latest row of
+    a key is then its current status.
+    """
+    spans = log.withWatermark(time, delay).groupBy(F.window(time, span), *keys)
+    return spans.agg(F.max_by(F.struct(*log.columns), F.struct(time, tie)).alias("r")).select("r.*")
