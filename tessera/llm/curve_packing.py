@@ -28,8 +28,8 @@ REACH = 2.5
 ROW_TOKENS = 16_384
 #: Tokens a range is meant to hold, and the most ranges there are; beyond that they grow.
 RANGE_TOKENS, MOST_RANGES = 4_000_000, 20_000
-_TOKENS = "key long, doc_id long, lot int, nth long, start long, doc_tokens long, ids binary"
-_ROW = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("lot", pa.int32()), ("nth", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+_TOKENS = "key long, doc_id long, lot int, nth long, start long, doc_tokens long, wide string, ids binary"
+_ROW = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("lot", pa.int32()), ("nth", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64()), ("wide", pa.string()), ("ids", pa.binary())])
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _OUT = pa.schema([(c.split()[0], pa.int64()) for c in _PIECE.split(", ")])
 
@@ -39,31 +39,38 @@ def _directions() -> np.ndarray:
     return np.random.default_rng(13).standard_normal((CELLS, COORDINATES))
 
 
-def coordinates(ids: np.ndarray) -> np.ndarray:
-    """A document's place on the grid, each coordinate from 0 to 2 ** BITS - 1."""
-    counts = np.bincount((mix(ids.astype(np.uint64)) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-    v = np.log1p(counts)
-    at = v @ _directions() / max(float(np.linalg.norm(v)), 1e-12)
+@functools.lru_cache(1)
+def _cells(ids: int) -> np.ndarray:
+    """The cell that each token id is hashed to."""
+    return (mix(np.arange(ids, dtype=np.uint64)) % np.uint64(CELLS)).astype(np.int64)
+
+
+def coordinates(docs: list[np.ndarray]) -> np.ndarray:
+    """Places of documents on the grid, one a row, each coordinate from 0 to 2 ** BITS - 1."""
+    most = 1 + max((int(d.max()) for d in docs if len(d)), default=0)
+    cells = _cells(1 << (most - 1).bit_length())
+    v = np.log1p(np.stack([np.bincount(cells[d], minlength=CELLS) for d in docs]))
+    at = v @ _directions() / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
     return np.clip((at + REACH) / (2 * REACH) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
-def hilbert_key(at: np.ndarray, bits: int = BITS) -> int:
-    """Place on the Hilbert curve through a grid of 2 ** bits points a side: neighbouring keys are neighbouring points.
+def hilbert_keys(at: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Places on the Hilbert curve through a grid of 2 ** bits points a side: neighbouring keys are neighbouring points.
 
     Bits are taken from the highest down. The cube entered at a level is turned as the Gray code of its corner asks: the
     curve inside is the mirrored or exchanged one, so coordinates below that level are mirrored or exchanged.
     """
-    x, n, key = [int(c) for c in at], len(at), 0
+    x, key = at.T.astype(np.int64).copy(), np.zeros(len(at), np.int64)
     for level in range(bits - 1, -1, -1):
-        low = (1 << level) - 1
-        for i in range(n):
-            if x[i] >> level & 1:
-                x[0] ^= low
-            else:
-                x[0], x[i] = x[0] & ~low | x[i] & low, x[i] & ~low | x[0] & low
-    odd = 0
+        low = np.int64((1 << level) - 1)
+        for i in range(len(x)):
+            high = (x[i] >> level & 1).astype(bool)
+            swap = np.where(high, 0, (x[0] ^ x[i]) & low)
+            x[i] ^= swap
+            x[0] ^= np.where(high, low, swap)
+    odd = np.zeros(len(at), np.int64)
     for level in range(bits - 1, -1, -1):
-        for i in range(n):
+        for i in range(len(x)):
             odd ^= x[i] >> level & 1
             key = key << 1 | odd
     return key
@@ -77,18 +84,32 @@ def _tokenize(path: str, end_id: int):
         def rows():
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), _ROW, strict=True)], schema=_ROW)
 
-        for b in batches:
+        def lots(b: pa.RecordBatch) -> Iterator[tuple[list, list[np.ndarray]]]:
+            """Documents of a batch some hundreds at a time, fewer where they are long."""
+            names, docs, tokens = [], [], 0
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                ids = np.concatenate([encode(text.as_py() or ""), tail])
-                key = hilbert_key(coordinates(ids))
-                for at in range(0, len(ids), ROW_TOKENS):
-                    part = ids[at : at + ROW_TOKENS].tobytes()
-                    held.append((key, doc_id, lot, nth, at, len(ids), part))
-                    size += len(part)
-                    if size > 1 << 22:
-                        yield rows()
-                        held, size = [], 0
-                nth += 1
+                names.append(doc_id)
+                docs.append(np.concatenate([encode(text.as_py() or ""), tail]))
+                tokens += len(docs[-1])
+                if len(docs) == 256 or tokens > 1 << 20:
+                    yield names, docs
+                    names, docs, tokens = [], [], 0
+            if docs:
+                yield names, docs
+
+        for b in batches:
+            for names, docs in lots(b):
+                keys = hilbert_keys(coordinates(docs)).tolist()
+                for doc_id, ids, key in zip(names, docs, keys, strict=True):
+                    wide = "<u2" if int(ids.max()) < 1 << 16 else "<u4"
+                    for at in range(0, len(ids), ROW_TOKENS):
+                        part = ids[at : at + ROW_TOKENS].astype(wide).tobytes()
+                        held.append((key, doc_id, lot, nth, at, len(ids), wide, part))
+                        size += len(part)
+                        if size > 1 << 22:
+                            yield rows()
+                            held, size = [], 0
+                    nth += 1
         if held:
             yield rows()
 
@@ -152,8 +173,8 @@ def _fill(capacity: int):
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_OUT)
 
         for b in batches:
-            for doc_id, lot, nth, start, total, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "lot", "nth", "start", "doc_tokens")), b.column("ids"), strict=True):
-                filler.add((doc_id, lot, nth, total), start, np.frombuffer(ids.as_buffer(), "<u4"))
+            for doc_id, lot, nth, start, total, wide, ids in zip(*(b.column(c).to_pylist() for c in ("doc_id", "lot", "nth", "start", "doc_tokens", "wide")), b.column("ids"), strict=True):
+                filler.add((doc_id, lot, nth, total), start, np.frombuffer(ids.as_buffer(), wide).astype("<u4"))
                 if len(filler.out) > 5000:
                     yield rows()
         filler.finish()

@@ -181,7 +181,7 @@ def test_op12_on_all_embeddings(spark):
 @pytest.mark.parametrize(("sides", "bits"), [(2, 3), (3, 2), (4, 2)])
 def test_curve_visits_all_points_step_by_step(sides, bits):
     points = list(itertools.product(range(1 << bits), repeat=sides))
-    by_key = {curve_packing.hilbert_key(np.array(p), bits): p for p in points}
+    by_key = dict(zip(curve_packing.hilbert_keys(np.array(points), bits).tolist(), points, strict=True))
     assert sorted(by_key) == list(range(len(points)))
     line = np.array([by_key[i] for i in range(len(points))])
     assert (np.abs(np.diff(line, axis=0)).sum(1) == 1).all()
@@ -255,7 +255,8 @@ def test_neighbours_on_the_curve_are_alike(spark):
     """Next documents share their language far more often than documents drawn at random, and copies are neighbours."""
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text").collect()
     tok = Tokenizer.from_file(PATH)
-    keyed = sorted((curve_packing.hilbert_key(curve_packing.coordinates(np.array(tok.encode(r.text, add_special_tokens=False).ids + [0], "<u4"))), r.doc_id, r.lang) for r in rows)
+    keys = curve_packing.hilbert_keys(curve_packing.coordinates([np.array(tok.encode(r.text, add_special_tokens=False).ids + [0], "<u4") for r in rows]))
+    keyed = sorted((int(k), r.doc_id, r.lang) for k, r in zip(keys, rows, strict=True))
     same = np.mean([a[2] == b[2] for a, b in itertools.pairwise(keyed)])
     n = Counter(r.lang for r in rows)
     drawn = sum((k / len(rows)) ** 2 for k in n.values())
