@@ -26,6 +26,8 @@ WINDOW = 13
 SHARE = 0.8
 #: Seeds of the benchmark that may be broadcast, about 40 bytes each; with more, both sides are shuffled by the hash.
 BROADCAST_SEEDS = 1_000_000
+#: Offsets of an item in a document that are verified in one row.
+RUN = 4096
 
 
 def words(text: Column) -> Column:
@@ -81,7 +83,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     matched the equal words there, compared the item's words inside the document. A place counts if some WINDOW words of
     the item in a row (all, of shorter ones) have SHARE of their words equal in the document. One row per doc_id and
     item_id. Null and blank texts have no words; rows with a null doc_id or item_id are not sought; rows that share an id
-    are each searched; very long texts are searched whole. Empty tables give no rows; other columns are ignored.
+    are each searched; very long texts are searched whole, and words that repeat at thousands of offsets are verified in
+    runs of RUN offsets, a row of which holds the words that it reaches only. Empty tables give no rows; other columns are ignored.
     """
     items = benchmark.where("item_id is not null and text is not null").select("item_id", words(F.col("text")).alias("words")).where("words[0] <> ''")
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
@@ -90,16 +93,30 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     side = F.broadcast(known) if known.count() <= BROADCAST_SEEDS else known
     offset = (F.col("at") - F.col("from")).alias("offset")
     hits = save(seeded(texts.select("doc_id", words(F.col("text")).alias("words")), "doc_id", masks).join(side, "seed").select("doc_id", "item_id", offset).distinct())
-    pairs = hits.join(texts, "doc_id").select("doc_id", "item_id", "offset", words(F.col("text")).alias("words")).join(items.withColumnRenamed("words", "item"), "item_id")
-    equal = F.transform("item", lambda w, i: F.when(F.coalesce(F.when(i + F.col("offset") >= 0, F.get("words", i + F.col("offset"))) == w, F.lit(False)), 1).otherwise(0))
-    laid = pairs.select("doc_id", "item_id", F.col("offset").alias("at"), equal.alias("equal"), F.greatest(F.lit(0), F.least(F.size("item"), F.size("words") - F.col("offset")) - F.greatest(F.lit(0), -F.col("offset"))).alias("compared"))
+    # The words that a run of offsets reaches are cut out of a text once, and its places are counted within that row.
+    runs = hits.groupBy("doc_id", "item_id", F.floor(F.col("offset") / RUN).alias("run")).agg(F.collect_list("offset").alias("offsets"), F.greatest(F.lit(0), F.min("offset")).alias("low"), F.max("offset").alias("high"))
+    sized = runs.join(items.select("item_id", F.size("words").alias("length")).groupBy("item_id").agg(F.max("length").alias("length")), "item_id")
+    cut = sized.join(texts, "doc_id").withColumn("words", words(F.col("text")))
+    near = F.slice("words", F.col("low") + 1, F.greatest(F.lit(0), F.col("high") + F.col("length") - F.col("low")))
+    pairs = cut.select("doc_id", "item_id", "offsets", "low", near.alias("near"), F.size("words").alias("m")).join(items.withColumnRenamed("words", "item"), "item_id")
     total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
-    span = F.least(F.size("equal"), F.lit(WINDOW))
-    found = F.exists(F.sequence(F.lit(1), F.size("equal") - span + 1), lambda i: total(F.slice("equal", i, span)) >= SHARE * span)
-    laid = laid.where(found).select("doc_id", "item_id", "at", total(F.col("equal")).alias("matched"), "compared")
-    best = F.max_by(F.struct("at", "matched", "compared"), F.struct("matched", -F.col("at"), "compared"))
+    span = F.least(F.size("item"), F.lit(WINDOW))
+
+    def place(offset: Column) -> Column:
+        """struct(matched, back, compared) of the item at an offset, null if too little of it is there."""
+        equal = F.transform("item", lambda w, i: F.when(F.coalesce(F.when(i + offset >= 0, F.get("near", i + offset - F.col("low"))) == w, F.lit(False)), 1).otherwise(0))
+        compared = F.greatest(F.lit(0), F.least(F.size("item"), F.col("m") - offset) - F.greatest(F.lit(0), -offset))
+
+        def judged(e: Column) -> Column:
+            found = F.exists(F.sequence(F.lit(1), F.size(e) - span + 1), lambda i: total(F.slice(e, i, span)) >= SHARE * span)
+            return F.when(found, F.struct(total(e).alias("matched"), (-offset).alias("back"), compared.alias("compared")))
+
+        return F.get(F.transform(F.array(equal), judged), F.lit(0))  # so that equal is computed once
+
+    laid = pairs.select("doc_id", "item_id", F.array_max(F.transform("offsets", place)).alias("best")).where("best is not null")
+    best = laid.groupBy("doc_id", "item_id").agg(F.max("best").alias("best"))
     drop(known)
-    return laid.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+    return best.select("doc_id", "item_id", (-F.col("best.back")).alias("at"), "best.matched", "best.compared")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
