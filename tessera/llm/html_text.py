@@ -7,10 +7,13 @@ same parent element. The maximum flow's cut is the cheapest labelling.
 
 Class names, roles and elements such as nav are strong evidence and outweigh a block's edges; where a page has none, what
 a block's own shape says is often wrong (a one-word line of an article, a long line of legal text) and the edges decide.
+A name is a hint only if all its parts are known, so that side-effects is none; one element's names for and against
+content cancel out; and a hint or form around the page's heading and most of its prose says nothing of what is in it.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -23,19 +26,25 @@ from pyspark.sql import DataFrame, functions as F, types as T
 _MARK = re.compile(r"<!--|<[!?]|</?[a-zA-Z]")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _HINT = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|$|=)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden))""", re.I)
+_HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:[\s=>/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden))""", re.I)
+# Parts of names: of boilerplate, of it outside an article only, of what goes with these, and of content.
 _BAD = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adbox|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side|widget\w*|footer|foot|"
-    r"cookie\w*|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|share\w*|sharing|social\w*|related\w*|recommend\w*|"
-    r"comment\w*|replies|respond|disqus\w*|discussion|feedback|pagination|pager|toolbar|topbar|masthead|header|search\w*|skip\w*|copyright|legal|tags?|taglist|contentinfo|navigation|complementary)(?=$|[\s_-])",
-    re.I,
+    r"ads?|adv|advert\w*|adbox|adsby\w*|banner|sponsor\w*|promo\w*|nav\w*|menus?|breadcrumbs?|sidebars?|widgets?|footer|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
+    r"newsletter|subscri\w+|signup|login|share|sharing|sharebar|social|related|recommended|comments?|commentlist|replies|disqus\w*|pagination|pager|toolbar|taglist|tags|copyright"
 )
-_GOOD = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text|blog|page-content|articlebody|prose)(?=$|[\s_-])", re.I)
+_OUTSIDE = re.compile(r"header|foot|side|masthead|topbar|search|skip|legal|contentinfo|complementary|discussion|respond|feedback|tag")
+_WITH = re.compile(
+    r"box|bar|wrap|wrapper|container|block|area|list|section|inner|outer|panel|items?|buttons?|btns?|links?|icons?|tools?|posts?|articles?|stories|news|contents?|form|unit|slot|header|title|head|"
+    r"threads?|reader|user|site|page|global|top|bottom|left|right|inline|entry|main|primary|secondary|sub|js|this|media|message|body|author|reply|text|count|meta|more|to|us|info|bottom|fixed|sticky|\d+"
+)
+_GOOD = re.compile(r"article\w*|content|main|post|entry|story|body|text|blog|prose")
+_INLINE = re.compile(r"ads?|advert\w*|adsby\w*|sponsored|promo")
 _RIGHTS = re.compile(r"©|\(c\)|copyright\b", re.I)
 # Elements whose text is no part of a page's prose, and those that break lines of text.
 _RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes"}
 _DROP = {"head", "template", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "datalist", "dialog", "map"}
 _AWAY = {"nav", "footer", "aside", "form", "menu", "fieldset"}
+_RAW_END = {n: re.compile(rf"</{n}\b", re.I) for n in _RAW}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
@@ -48,6 +57,42 @@ _SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd
 NEIGHBOUR, NEAR = 0.1, 1.2
 #: What hints weigh: content, boilerplate by class or role, boilerplate by element.
 GOOD, BAD, AWAY = 2.0, 7.0, 7.0
+#: The share of a page's prose from which on a hint around its heading says nothing; a form's, and its least paragraphs.
+MOST, FORM, PARAGRAPHS = 0.5, 0.9, 3
+
+
+@functools.lru_cache(8192)
+def _hints(names: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element's names speak for content, and whether for boilerplate; inside an article fewer do."""
+    good = bad = False
+    for name in names.split():
+        parts = [p for p in re.split(r"[-_\s]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if p]
+        own = inside or any(p in ("article", "entry", "post", "story") for p in parts)
+        told = [bool(_BAD.fullmatch(p) or (not own and _OUTSIDE.fullmatch(p))) for p in parts]
+        if told == [True] and parts[0] in ("discussion", "legal", "respond", "feedback"):
+            continue  # on their own these head sections of articles
+        if any(told) and all(t or _WITH.fullmatch(p) for t, p in zip(told, parts, strict=True)):
+            bad = True
+        elif any(_GOOD.fullmatch(p) for p in parts):
+            good = True
+    return good and not bad, bad and not good
+
+
+def _left_out(attributes: str) -> bool:
+    """Whether an inline element is hidden, or an advert by its name."""
+    if "=" not in attributes and "hidden" not in attributes:
+        return False
+    names = " ".join(x.strip("\"'") for x in _HINT.findall(attributes)).lower()
+    return bool(_HIDDEN.search(attributes)) or any(_INLINE.fullmatch(n) for n in names.split())
+
+
+class _Flag:
+    """An element that speaks against its content: what it is, whether the page's heading is in it, how much prose."""
+
+    __slots__ = ("kind", "up", "heading", "prose", "paragraphs")
+
+    def __init__(self, kind: str, up: _Flag | None):
+        self.kind, self.up, self.heading, self.prose, self.paragraphs = kind, up, False, 0, 0
 
 
 def _tag_end(text: str, at: int) -> int:
@@ -68,10 +113,10 @@ def _tag_end(text: str, at: int) -> int:
 
 
 class _Block:
-    __slots__ = ("text", "links", "tags", "own", "parent", "depth", "apart", "good", "bad", "away")
+    __slots__ = ("text", "links", "tags", "own", "parent", "depth", "apart", "good", "flag", "bad", "away")
 
-    def __init__(self, text, links, tags, own, parent, depth, apart, good, bad, away):
-        self.text, self.links, self.tags, self.good, self.bad, self.away = text, links, tags, good, bad, away
+    def __init__(self, text, links, tags, own, parent, depth, apart, good, flag):
+        self.text, self.links, self.tags, self.good, self.flag, self.bad, self.away = text, links, tags, good, flag, False, False
         # Numbers of the block's element and of the one around it, its depth, and the tree steps from the block before.
         self.own, self.parent, self.depth, self.apart = own, parent, depth, apart
 
@@ -79,8 +124,11 @@ class _Block:
 def blocks(page: str) -> list[_Block]:
     """Text blocks in page order, with what surrounds them."""
     out: list[_Block] = []
-    # An open element: name, number, then whether it or one around it is an article, boilerplate by hint, by tag, dropped.
-    stack: list[tuple] = [("", 0, False, False, False, False)]
+    # An open element: name, number, whether it or one around it is content by name or element, the nearest flag around it,
+    # whether it is dropped, and whether it is in an article.
+    stack: list[tuple] = [("", 0, False, None, False, False)]
+    flags: list[_Flag] = []
+    skipped, skips = "", 0  # an open inline element whose text is left out, and how often its name is open in it
     text: list[str] = []
     links = link = serial = 0
     open_: Counter = Counter()
@@ -93,10 +141,10 @@ def blocks(page: str) -> list[_Block]:
             words = html.unescape("".join(text)).split()
             text.clear()
             top = stack[-1]
-            if words and not top[5]:
+            if words and not top[4]:
                 depth = len(stack)
                 apart = (out[-1].depth - shared) + (depth - shared) if out else 0
-                out.append(_Block(" ".join(words), links, [x[0] for x in stack[-4:]], top[1], stack[-2][1] if depth > 1 else 0, depth, apart, top[2], top[3], top[4]))
+                out.append(_Block(" ".join(words), links, [x[0] for x in stack[-4:]], top[1], stack[-2][1] if depth > 1 else 0, depth, apart, top[2], top[3]))
                 shared = depth
         links = 0
 
@@ -118,7 +166,7 @@ def blocks(page: str) -> list[_Block]:
     while at < n:
         m = _MARK.search(page, at)
         stop = m.start() if m else n
-        if stop > at:
+        if stop > at and not skips:
             run = page[at:stop]
             text.append(run)
             if link:
@@ -140,11 +188,16 @@ def blocks(page: str) -> list[_Block]:
         if name == "a":
             link = int(opening)
         if opening and name in _RAW:
-            end = re.compile(rf"</{name}\b", re.I).search(page, at)
+            end = _RAW_END[name].search(page, at)
             at = n if not end else _tag_end(page, end.start())
             continue
         if name not in _BLOCK or name in _VOID:
+            if skips and name == skipped:
+                skips += 1 if opening else -1
+            elif opening and not skips and name not in _VOID and _left_out(page[name_match.end() : at]):
+                skipped, skips = name, 1
             continue
+        skips = 0  # an inline element ends with its block
         if not opening:
             close({name}, {""})
             link = 0
@@ -156,28 +209,69 @@ def blocks(page: str) -> list[_Block]:
         if name in _SAME:
             close(*_SAME[name])
         attributes = page[name_match.end() : at]
-        hints = " ".join(x.strip("\"'") for x in _HINT.findall(attributes)) if "=" in attributes else ""
+        names = " ".join(x.strip("\"'") for x in _HINT.findall(attributes)) if "=" in attributes else ""
         up = stack[-1]
         serial += 1
-        good = up[2] or name in ("article", "main") or (bool(hints) and bool(_GOOD.search(hints)))
-        bad = up[3] or (bool(hints) and bool(_BAD.search(hints)) and name not in ("body", "html", "article", "main"))
-        away = up[4] or name in _AWAY or (name == "header" and not up[2])
-        dropped = up[5] or name in _DROP or bool(_HIDDEN.search(attributes))
-        stack.append((name, serial, good, bad, away, dropped))
+        told_good, told_bad = _hints(names, up[5]) if names else (False, False)
+        holder = name in ("article", "main")
+        good = up[2] or holder or told_good
+        flag = up[3]
+        if told_bad and name not in ("body", "html", "article", "main"):
+            flag = _Flag("name", flag)
+            flags.append(flag)
+        if name in _AWAY or (name == "header" and not up[2]):
+            flag = _Flag("form" if name in ("form", "fieldset") else name, flag)
+            flags.append(flag)
+        if name == "h1" or (holder and not told_bad) or told_good:
+            f = flag
+            while f and not f.heading:
+                f.heading, f = True, f.up
+        stack.append((name, serial, good, flag, up[4] or name in _DROP or bool(_HIDDEN.search(attributes)), up[5] or name == "article" or "articlebody" in names.lower()))
         open_[name] += 1
     flush()
+    _weigh(out, flags)
     return out
 
 
-def score(b: _Block) -> float:
-    """Log-odds of content: a fixed linear classifier."""
+def _weigh(found: list[_Block], flags: list[_Flag]) -> None:
+    """Say of each block if a flag around it stands: names and forms that hold the heading and most prose do not.
+
+    flags are in the order of their opening, so those around one come before it.
+    """
+    prose = 0
+    for b in found:
+        if shape(b) >= 0:
+            prose += len(b.text)
+            if b.flag:
+                b.flag.prose += len(b.text)
+                b.flag.paragraphs += 1
+    for f in reversed(flags):
+        if f.up:
+            f.up.prose += f.prose
+            f.up.paragraphs += f.paragraphs
+    stands: dict[_Flag, tuple[bool, bool]] = {}
+    for f in flags:
+        bad, away = stands[f.up] if f.up else (False, False)
+        most = f.heading and f.prose >= MOST * prose or f.kind == "form" and f.paragraphs >= PARAGRAPHS and f.prose >= FORM * prose
+        void = most and f.kind in ("name", "form")
+        stands[f] = bad or (f.kind == "name" and not void), away or (f.kind != "name" and not void)
+    for b in found:
+        if b.flag:
+            b.bad, b.away = stands[b.flag]
+
+
+def shape(b: _Block) -> float:
+    """Log-odds of content by a block's own text and markup: a fixed linear classifier."""
     n = len(b.text)
     last = b.tags[-1] if b.tags else ""
     s = -0.8 + 0.8 * min(math.log1p(n / 20), 4) - 3.0 * min(1.0, b.links / n) - 1.5 * bool(_RIGHTS.match(b.text))
     s += 0.6 * (last == "p") + 0.8 * (last in ("h1", "h2", "h3", "h4", "blockquote", "pre")) - 0.6 * (last == "li")
-    s += 0.4 * (b.text[-1] in ".!?\"'”»…:")
-    s += GOOD * (b.good and not (b.bad or b.away)) - BAD * b.bad - AWAY * b.away
-    return s
+    return s + 0.4 * (b.text[-1] in ".!?\"'”»…:")
+
+
+def score(b: _Block) -> float:
+    """Log-odds of content by shape and hints."""
+    return shape(b) + GOOD * (b.good and not (b.bad or b.away)) - BAD * b.bad - AWAY * b.away
 
 
 def edges(found: list[_Block]) -> list[tuple[int, int, float]]:
@@ -273,7 +367,8 @@ def _extract(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of pages, whatever its other columns.
 
-    Null and empty html give an empty text. Null and repeated ids pass through.
+    Null and empty html give an empty text, as pages without an article do. Null and repeated ids pass through. Very long
+    pages are read whole, in time linear in their length; no rows give no rows.
     """
     out = pages.select("page_id", "url", _extract(F.col("html").cast("string")).alias("found"))
     return out.select("page_id", "url", F.col("found.text").alias("text"), F.col("found.n_chars").alias("n_chars"))

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -88,6 +89,47 @@ def test_main_text():
     assert html_text.main_text('<div id="content"><p>One sentence that is long enough to be kept here.</p></div>').startswith("One")
 
 
+TEXT = "<p>The first paragraph of the piece says what it is about, at some length.</p><p>Then it goes on for a while, and so do we all.</p><p>Short.</p>"
+PLAIN = "The first paragraph of the piece says what it is about, at some length.\nThen it goes on for a while, and so do we all.\nShort."
+AROUND = '<nav><ul><li><a href=/>Home</a></li><li><a href=/b>About us</a></li></ul></nav>{}<footer><p>© 2024 The company, all rights reserved everywhere.</p></footer>'
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="site no-sidebar"><article><h1>Title here</h1>{}</article></div>', '<div class="content sidebar-right"><h1>Title here</h1>{}</div>',
+    '<div class="sidebar-right"><div class="post"><h1>Title here</h1>{}</div><div class="sidebar"><p>Popular posts of the week that you may like.</p></div></div>',
+    '<form id="aspnetForm" method=post><div><h1>Title here</h1>{}</div></form>', '<form><article><h1>Title here</h1>{}</article></form>',
+    '<article><header class="entry-header"><h1>Title here</h1></header>{}</article>', '<article><div class="article-header"><h1>Title here</h1></div>{}</article>',
+    '<div class="post"><div class="entry-header"><h1>Title here</h1></div>{}</div>',
+    '<article><h1>Title here</h1>{}<div class="share-buttons"><p>Share this piece with your friends and family.</p></div></article>',
+    '<article><h1>Title here</h1>{}<section id=comments><p>What a wonderful piece this is, I read it twice today.</p><p>So did I, and I learned a great deal from it.</p></section></article>',
+    '<article><h1>Title here</h1>{}</article><aside><h1>More</h1><article><p>A teaser of another piece that is not this one, for sure.</p></article></aside>',
+    '<header class="site-header"><h1>The paper</h1></header><article><h1>Title here</h1>{}</article>',
+    '<article class="post no-comments"><h1>Title here</h1>{}</article>', '<article><h1>Title here</h1>{}<div class="AdBox"><p>Buy one of these today and get another one free.</p></div></article>',
+])
+def test_hints_that_lie_and_hints_that_do_not(page):
+    assert html_text.main_text(AROUND.format(page.format(TEXT))) == "Title here\n" + PLAIN
+
+
+def test_sections_of_an_article_whose_names_are_those_of_boilerplate():
+    parts = ["legal-framework", "side-effects", "discussion", "share-price", "search-methods", "social-policy", "commentary", "advantages"]
+    page = "<article><h1>Title here</h1>" + "".join(f'<section id="{p}" class="{p}"><h2>Part</h2><p>What part {p} says is said in this sentence here.</p></section>' for p in parts) + "</article>"
+    got = html_text.main_text(AROUND.format(page)).split("\n")
+    assert got == ["Title here"] + [x for p in parts for x in ("Part", f"What part {p} says is said in this sentence here.")]
+    assert html_text.main_text(AROUND.format(page.replace("article>", "div>"))).split("\n") == got
+
+
+def test_hidden_and_advertising_words_in_a_line():
+    page = '<article><h1>Title here</h1><p>It was <span class="ad">BUY NOW <b>or</b> <span>later</span></span>a <span hidden>secret</span>fine <em class="add">day</em><span style="display:none">x</span>.</p><p class="x">And <i aria-hidden="true">icon</i>that is all, <span class="ad">never closed</p><p>is it not so, dear reader?</p></article>'
+    assert html_text.main_text(AROUND.format(page)) == "Title here\nIt was a fine day.\nAnd that is all,\nis it not so, dear reader?"
+
+
+def test_flags_in_flags_take_linear_time():
+    page = '<div class="ad">' * 30_000 + "<p>Some words of an advert that nobody wants to read.</p>" * 30_000 + "</div>" * 30_000
+    began = time.monotonic()
+    assert html_text.main_text(page + "<article><p>The article itself is one sentence of some length.</p></article>") == "The article itself is one sentence of some length."
+    assert time.monotonic() - began < 30
+
+
 def test_minimum_cut_is_cheapest():
     rng = np.random.default_rng(2)
     for _ in range(60):
@@ -624,6 +666,27 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(docs(spark, []), items_df).count() == 0
 
 
+@pytest.mark.parametrize("run", [4096, 7])
+def test_decontamination_of_repeated_words(spark, monkeypatch, run):
+    """One word many thousand times, an item of it, and long texts with hits at their ends: the rows of brute force."""
+    monkeypatch.setattr(decontaminate, "RUN", run)
+    rng = np.random.default_rng(4)
+    items = [(1, "same " * 20), (2, prose(rng, 40)), (3, "same " * 9 + "other " + "same " * 9)]
+    texts = [(1, "same " * 700), (2, "same " * 15 + "other " + "same " * 300), (3, f"{prose(rng, 3000)} {items[1][1]} {prose(rng, 3000)} {items[0][1]}"), (4, "same other " * 200)]
+    got = {(r.doc_id, r.item_id): (r["at"], r.matched, r.compared) for r in decontaminate.overlaps(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == brute_overlaps(texts, items)
+    for (d, i), (at, matched, compared) in got.items():
+        w, v = dict(texts)[d].split(), dict(items)[i].split()
+        laid = {o: sum(0 <= o + k < len(w) and w[o + k] == v[k] for k in range(len(v))) for o in range(-len(v), len(w))}
+        assert matched == laid[at] == max(laid.values()) and at == min(o for o in laid if laid[o] == matched) and compared == min(len(v), len(w) - at) - max(0, -at)
+
+
+def test_decontamination_of_a_quarter_million_equal_words(spark):
+    items = spark.createDataFrame([(1, "same " * 20), (2, "same " * 6)], "item_id long, text string")
+    got = decontaminate.overlaps(docs(spark, [(1, "same " * 250_000), (2, "clean words here")]), items).collect()
+    assert {(r.doc_id, r.item_id, r["at"], r.matched, r.compared) for r in got} == {(1, 1, 0, 20, 20), (1, 2, 0, 6, 6)}
+
+
 def test_masks_lose_no_accepted_item():
     for n in range(1, 14):
         seeds = decontaminate.short_masks(n) if n < decontaminate.WINDOW else [(a, m) for m in decontaminate.MASKS for a in range(n - len(m) + 1)]
