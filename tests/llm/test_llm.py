@@ -244,6 +244,28 @@ def test_packing_of_partitions_of_different_lengths(spark):
     assert len(rows) == 8000 and max(ends.values()) <= 1024 and len(ends) == len(bins)
 
 
+@pytest.mark.parametrize(("lot", "merged"), [(16_384, 8), (40, 8), (40, 2)])
+def test_packing_rounds(spark, monkeypatch, lot, merged):
+    """Nearly full bins come from lots and from merged lots, the rest from the root; all together hardly more than at once."""
+    monkeypatch.setattr(packing, "LOT", lot)
+    monkeypatch.setattr(packing, "MERGED", merged)
+    rng = np.random.default_rng(6)
+    texts = {i: "a " * int(rng.integers(1, 900)) for i in range(700)}
+    df = docs(spark, texts.items()).repartitionByRange(6, "doc_id")
+    rows = packing.pack(df, PATH).collect()
+    n, _ = check_packing(rows, list(texts.items()))
+    by_round = Counter(r.sequence_id % 3 for r in rows)
+    assert n <= len(packing.best_fit([r.length for r in rows])) + (2 if lot > 700 else 12)
+    assert by_round[0] > 0 and by_round[2] > 0 and (lot > 40 or by_round[1] > 0)
+
+
+def test_underfull_bins_are_not_emitted():
+    sizes = [1000] * 3 + [1020, 600, 424, 500]
+    bin_, offset = packing.emitted(sizes)
+    assert [b is None for b in bin_] == [True] * 3 + [False, False, False, True]
+    assert bin_[4] == bin_[5] != bin_[3] and sorted((offset[4], offset[5])) == [0, 600]
+
+
 @given(st.lists(st.integers(1, 64), max_size=300))
 @settings(max_examples=200, deadline=None)
 def test_plan_fills_bins_as_best_fit(sizes):
