@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--workbooks")
     a.add_argument("--years", type=int, nargs="*", default=[])
     a.add_argument("--start-from", type=int, default=0)
+    a.add_argument("--dump")
     a = sub.add_parser("summary")
     for name in ("--index", "--downloads", "--extractions"):
         a.add_argument(name, required=True)
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     o = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("tessera").getOrCreate()
     if o.run == "index":
-        runs.build_index(spark, runs.IndexOptions(o.out, o.payloads, o.workbooks, tuple(o.years), o.start_from, o.limit))
+        runs.build_index(spark, runs.IndexOptions(o.out, o.payloads, o.workbooks, tuple(o.years), o.start_from, o.limit, o.dump))
     elif o.run == "summary":
         runs.summarise(spark, runs.SummaryOptions(o.index, o.downloads, o.extractions, o.out)).show()
     elif o.run == "worklist":

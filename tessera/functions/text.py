@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from . import lexicon as L
@@ -175,9 +177,15 @@ def theme_of_label(label: Column) -> Column:
 
 
 def transient_error(message: Column) -> Column:
+    """Whether what a server said passes, so that it is worth asking again."""
     return F.lower(message).rlike("|".join(L.TRANSIENT))
 
 
+def is_transient(message: str) -> bool:
+    """As transient_error(), of one message in a task."""
+    return re.search("|".join(L.TRANSIENT), message.lower()) is not None
+
+
 def repaired_json(raw: Column) -> Column:
     """JSON text of a sloppy answer: as it is, from its fence, from its outermost braces, or closed; null of the rest."""
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources import scratch
 from .relational import top_per_group
 
-#: Vectors that rows are gathered around, rows of a tile, and the most tiles of a table; beyond that tiles grow.
-PIVOTS, TILE, MOST_TILES = 256, 2048, 16_384
+#: Vectors that rows are gathered around, rows they are chosen from, rows of a tile, and the most tiles of a table; beyond
+#: that tiles grow.
+PIVOTS, SAMPLE, TILE, MOST_TILES = 256, 4096, 2048, 16_384
 #: Products of matrices and sums in the order of the dimensions differ by less than this share of the vectors' lengths.
 SLACK = 1e-9
 _TILE = "tile long, keys array<{key}>, n int, body binary, centre array<double>, radius double, size double"
@@ -26,7 +27,7 @@ def _tiles(df: DataFrame, key: str, vector: str, pivots: np.ndarray, tile: int)
     def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             if len(f):
-                yield f.assign(pivot=np.argmax(np.stack(f["v"].to_numpy()) @ pivots.T, axis=1))
+                yield f.assign(pivot=np.argmax(2 * np.stack(f["v"].to_numpy()) @ pivots.T - (pivots**2).sum(1), axis=1))
 
     at = scratch.table(rows.mapInPandas(near, f"key {kind}, v array<double>, pivot long"), "near")
     counts = at.groupBy("pivot").agg(F.count("*").alias("n"))  # PIVOTS rows
@@ -45,6 +46,15 @@ def _tiles(df: DataFrame, key: str, vector: str, pivots: np.ndarray, tile: int)
     return scratch.table(packed.withColumn("tile", F.monotonically_increasing_id()), "tiles")
 
 
+def _spread(rows: np.ndarray, count: int) -> np.ndarray:
+    """So many of the rows, each the farthest from those chosen before it."""
+    chosen, away = [0], np.full(len(rows), np.inf)
+    while len(chosen) < min(count, len(rows)):
+        away = np.minimum(away, ((rows - rows[chosen[-1]]) ** 2).sum(1))
+        chosen.append(int(away.argmax()))
+    return rows[chosen]
+
+
 def _bounds(left: DataFrame, right: DataFrame) -> DataFrame:
     """a, b, bound: no product of a row of tile a with one of tile b is greater.
 
@@ -100,13 +110,13 @@ def top_products(left: DataFrame, right: DataFrame, key: str, other: str, k: int
     least of these. Nothing is left out that could be among the k best. Keys are unique in their table; rows without key
     or vector are left out; vectors are of one length.
     """
-    # One pivot for each tile that the right table fills, PIVOTS at most: vectors drawn by a hash of their keys.
+    # One pivot for each tile that the right table fills, PIVOTS at most, chosen from vectors drawn by a hash of their keys.
     several = min(PIVOTS, 1 + right.count() // tile)
-    sample = right.where(F.col(vector).isNotNull()).orderBy(F.xxhash64(other), other).limit(several).select(F.col(vector).cast("array<double>")).collect()
+    sample = right.where(F.col(vector).isNotNull()).orderBy(F.xxhash64(other), other).limit(SAMPLE).select(F.col(vector).cast("array<double>")).collect()
     if not sample:
         empty = left.select(F.col(key), F.lit(0.0).alias("sim"), F.lit(1).alias("rank")).limit(0)
         return empty.select(key, F.lit(None).cast(right.schema[other].dataType).alias(other), "sim", "rank")
-    pivots = np.array([s[0] for s in sample])
+    pivots = _spread(np.array([s[0] for s in sample]), several)
     a, b = _tiles(left, key, vector, pivots, tile), _tiles(right, other, vector, pivots, tile)
     bounds = scratch.table(_bounds(a, b), "bounds")
     best = scratch.table(bounds.groupBy("a").agg(F.max_by("b", F.struct("bound", "b")).alias("b")), "bounds")

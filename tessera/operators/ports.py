@@ -17,7 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.lexicon import PROVIDERS, TRANSIENT
+from ..functions.lexicon import PROVIDERS
+from ..functions.text import is_transient
 from ..sources import scratch, sinks
 from .merge import merged, parsed
 from .relational import packed_parts
@@ -186,7 +187,7 @@ def ask(chunks: DataFrame, factory: Callable[[], Callable[[str], str]], tries: i
                         break
                     except Exception as e:  # noqa: BLE001  one bad chunk must not end the run
                         error = str(e) or type(e).__name__
-                        if k + 1 == tries or not any(t in error.lower() for t in TRANSIENT):
+                        if k + 1 == tries or not is_transient(error):
                             break
                         time.sleep(wait * 2**k)
                 rows.append((raw, error))

@@ -41,14 +41,14 @@ def selection_window(spark, sf):
 
 
 @query(f"""with {_INDEX}, k as (select *, regexp_replace(trim(regexp_replace(company, '[^A-Za-z0-9_\\s#-]|#', '', 'g')), '\\s+', '_', 'g') || '_' || case when isin = '' then 'noisin' else isin end || case when report_year is null then '' else '_' || report_year end || case when page_start is null then '' else '_p' || page_start || '-' || page_end end as stem from idx),
-d as ({Z.plain(Z.DOWNLOADS)})
-select company, k.isin, k.report_year, country, '' as industry, '' as sector, '' as auditor, page_start, page_end, link as source_url, coalesce(d.download_status, 'not_attempted') as download_status, coalesce(d.pdf_bytes, 0) as pdf_bytes, 'not_attempted' as extraction_status, 'unknown' as language from k left join d on d.stem = k.doc_id""")
+d as ({Z.plain(Z.DOWNLOADS)}), e as ({Z.plain(Z.EXTRACTIONS)})
+select company, k.isin, k.report_year, country, '' as industry, '' as sector, '' as auditor, page_start, page_end, link as source_url, coalesce(d.download_status, 'not_attempted') as download_status, coalesce(d.pdf_bytes, 0) as pdf_bytes, coalesce(e.extraction_status, 'not_attempted') as extraction_status, coalesce(e.language, 'unknown') as language, coalesce(e.word_count, 0) as word_count
+from k left join d on d.stem = k.doc_id left join e on e.stem = k.doc_id""")
 def summary_projection(spark, sf):
     """The master summary under the names that it is written with."""
     index = I.normalised(_raw(spark, sf)).withColumn("stem", F.col("doc_id"))
-    none = Z.table(spark, sf, Z.EXTRACTIONS).limit(0)
-    master = I.master(index, Z.table(spark, sf, Z.DOWNLOADS), none)
-    return master.select("company", "isin", "report_year", "country", "industry", "sector", "auditor", "page_start", "page_end", "source_url", "download_status", "pdf_bytes", "extraction_status", "language")
+    master = I.master(index, Z.table(spark, sf, Z.DOWNLOADS), Z.table(spark, sf, Z.EXTRACTIONS))
+    return master.select("company", "isin", "report_year", "country", "industry", "sector", "auditor", "page_start", "page_end", "source_url", "download_status", "pdf_bytes", "extraction_status", "language", "word_count")
 
 
 @query(f"with {_SUMMARIES} select ordinal, 'Company_' || ordinal || '_Co_' || case when isin = '' then 'noisin' else isin end || '_' || report_year || case when page_start = '' then '' else '_p' || page_start || '-' || page_end end as stem from s")
@@ -231,9 +231,9 @@ def host_schedule(spark, sf):
     return R.round_robin(_t(spark, sf, "pages").select("page_id", U.host(F.col("url")).alias("host")), "host", "page_id", gap=1.5).select("page_id", "start_after")
 
 
-@query("select o_orderkey, printf('%.1f MB', o_custkey * 1000003 / 1048576.0) as size, printf('%.1f%%', 100.0 * (o_orderkey % 7) / 7) as share from orders where o_custkey < 1000")
+@query("select o_orderkey, printf('%.1f MB', o_custkey * 1000003 / 1048576.0) as size, printf('%.1f%%', 100.0 * (o_orderkey % 7) / 7) as share from orders")
 def text_formats(spark, sf):
-    o = _t(spark, sf, "orders").where("o_custkey < 1000")
+    o = _t(spark, sf, "orders")
     return o.select("o_orderkey", X.megabytes(F.col("o_custkey") * 1000003).alias("size"), X.percent(F.col("o_orderkey") % 7, F.lit(7)).alias("share"))
 
 

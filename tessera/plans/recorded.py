@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import lexicon as L, url as U
-from ..operators import disclosure as D, merge as M, ports
+from ..functions import lexicon as L, text as X, url as U
+from ..operators import disclosure as D, merge as M, ports, selection as E
 from ..sources import scratch
 from ..streaming import incremental
 from . import fixtures as Z
 from .extraction import _LADDER
-from .queries import _t, query
+from .queries import SQL, _raw, _t, query
 
 # What an answering model found for a report and code: a number with a unit, a year, a small number, nothing, too unsure.
 RECORDED = """
@@ -122,3 +122,31 @@ def unwrapped_links(spark, sf):
     once = F.concat(F.lit("https://www.google.com/url?sa=t&url="), F.url_encode(plain))
     twice = F.concat(F.lit("https://www.google.com/url?url="), F.url_encode(once))
     return _t(spark, sf, "pages").select("page_id", U.unwrapped(U.unwrapped(F.when(F.col("page_id") % 3 == 0, plain).when(F.col("page_id") % 3 == 1, once).otherwise(twice))).alias("target"))
+
+
+@query(f"select * from ({SQL['report_selection']}) order by ordinal limit 25")
+def limited_jobs(spark, sf):
+    """The first 25 reports still to do, counted after those that are done have gone."""
+    done = _t(spark, sf, "orders").where("o_orderkey % 9 = 0").select(F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("stem"))
+    jobs = E.jobs(Z.table(spark, sf, Z.SUMMARIES), Z.table(spark, sf, Z.TEXTS), done, limit=25)
+    return jobs.select("ordinal", "stem", "text_path", "out_path", "meta.company", "meta.report_year", "meta.word_count")
+
+
+_SAID = "case event_id % 8 when 0 then 'Rate Limit reached' when 1 then 'HTTP 529' when 2 then 'Request TIMEOUT' when 3 then 'error 500: internal' when 4 then 'bad request' when 5 then 'overloaded_error' when 6 then 'HTTP 404' else 'no key' end"
+
+
+@query(f"select event_id, event_id % 8 in (0, 1, 2, 3, 5) as again from (select event_id, {_SAID} as m from events)")
+def transient_errors(spark, sf):
+    """Which failures of a server are worth asking again."""
+    said = _t(spark, sf, "events").select("event_id", F.expr(_SAID).alias("m"))
+    return said.select("event_id", X.transient_error(F.col("m")).alias("again"))
+
+
+@query(f"select id, name, isin, country, year_text as year, link, s as page_start from ({Z.plain(Z.INDEX)})")
+def payload_dump(spark, sf):
+    """All reports as they came, written as JSON lines and read back by their schema, nulls and nested fields with them."""
+    path = scratch.folder(spark, "dump")
+    raw = _raw(spark, sf)
+    raw.write.json(path)
+    back = spark.read.schema(raw.schema).json(path)
+    return back.select("id", "company.name", "company.isin", "company.country", "year", F.col("original_link").alias("link"), F.col("pdfpage_sust_start").alias("page_start"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import url as U
 from ..operators import chunking as C, language as G, merge as M, nearest as N, ports, relational as R, tables as B
-from ..sources import scratch
+from ..sources import files, scratch
 from ..sources.upserts import UpsertTable
 from ..streaming import incremental, stateful
 from . import fixtures as Z
@@ -198,3 +198,14 @@ def ruled_tables(spark, sf):
     rules, words = _drawn(spark, sf)
     grid = F.array_join(F.transform(F.get("tables", F.lit(0)), lambda row: F.array_join(row, "|")), "/")
     return B.grids(rules, words).where("size(tables) = 1").select("stem", "page", grid.alias("grid"))
+
+
+@query(f"""with t as ({Z.plain(DRAWN)}), u as (select *, n_rows * n_columns - case when joined then 1 else 0 end >= 4 as useful from t), p as (select stem, max(page) as pdf_pages, cast(count(*) filter (useful) as int) as tables_found from u group by 1)
+select stem, cast(pdf_pages as int) as pdf_pages, 'success' as extraction_status, tables_found from p""")
+def ruled_extraction(spark, sf):
+    """Extraction results of pages whose tables are recovered from their lines; a table of too few cells does not count."""
+    rules, words = _drawn(spark, sf)
+    pages = Z.table(spark, sf, DRAWN).select("stem", "page", F.col("role").alias("text")).join(B.grids(rules, words), ["stem", "page"], "left")
+    none = F.lit(None).cast("int")
+    tasks = pages.groupBy("stem").agg(F.max("page").alias("pdf_pages")).select("stem", none.alias("page_start"), none.alias("page_end"), "pdf_pages")
+    return files.from_pages(tasks, pages).select("stem", "pdf_pages", "extraction_status", "tables_found")

@@ -29,6 +29,8 @@ class IndexOptions:
     years: tuple[int, ...] = ()
     start: int = 0
     limit: int | None = None
+    #: Where all reports of the payloads go as they are, as JSON lines.
+    dump: str | None = None
 
 
 def build_index(spark: SparkSession, o: IndexOptions) -> DataFrame:
@@ -39,8 +41,10 @@ def build_index(spark: SparkSession, o: IndexOptions) -> DataFrame:
         df = index.of_workbook(files.workbook(sheets), years)
         df = df.where(U.has_host(F.col("link")))
     else:
-        bodies = spark.read.text(o.payloads, wholetext=True).withColumnRenamed("value", "body")
-        raw = devalue.reports(bodies, RAW, required=True).withColumn("ordinal", F.monotonically_increasing_id())
+        bodies = files.numbered(spark.read.text(o.payloads, wholetext=True), "number").withColumnRenamed("value", "body")
+        raw = devalue.reports(bodies, RAW, required=True, at="number")
+        if o.dump:
+            raw.write.mode("overwrite").json(o.dump)
         df = index.normalised(raw, years)
     turns = relational.round_robin(df.withColumn("__host", U.host(F.col("link"))), "__host", "ordinal").drop("__host")
     sinks.overwrite_csv(selection.window(turns, "ordinal", o.start, o.limit), o.out)
@@ -78,7 +82,7 @@ class TextOptions:
 
 def _jobs(spark: SparkSession, o: TextOptions, done: DataFrame | None) -> DataFrame:
     texts = files.texts(spark, o.texts)
-    rows = files.csv(spark, o.summary, files.SUMMARY).withColumn("ordinal", F.monotonically_increasing_id())
+    rows = files.numbered(files.csv(spark, o.summary, files.SUMMARY))
     jobs = selection.jobs(rows, texts.withColumn("path", F.concat("stem", F.lit(".txt"))), done, o.out, o.limit)
     return jobs.join(texts, "stem")
 
@@ -145,7 +149,7 @@ def ask_models(spark: SparkSession, o: TextOptions, factory, chunk: int = 60_000
 
 def worklist(spark: SparkSession, log: str, out: str, only: str | None = None, limit: int | None = None, exact: bool = False) -> DataFrame:
     """The failures of a download log (Parquet with run_id) that are worth another try, as CSV under out."""
-    df = sinks.current(spark.read.parquet(log), ["stem"]).withColumn("ordinal", F.monotonically_increasing_id())
+    df = sinks.current(files.numbered(spark.read.parquet(log)), ["stem"], "ordinal")
     todo = selection.window(index.to_retry(df, only, exact), "ordinal", 0, limit)
     sinks.overwrite_csv(todo, out)
     return todo

@@ -117,14 +117,14 @@ def first_answer(recorded: DataFrame, bases: list[str]) -> DataFrame:
     return good.groupBy("path").agg(F.min_by(F.struct("base", "body"), rank).alias("a")).select("path", "a.*")
 
 
-def reports(payloads: DataFrame, schema: str, required: bool = False) -> DataFrame:
+def reports(payloads: DataFrame, schema: str, required: bool = False, at: str | None = None) -> DataFrame:
     """Rows of schema from payloads(body): route payloads, or pages as the second choice; what holds neither gives none,
-    or if required is an error."""
+    or if required is an error. With at, a payload's number, ordinal is the place of a row in all payloads."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for body in b["body"]:
+            out, places = [], []
+            for number, body in zip(b[at] if at else range(len(b)), b["body"], strict=True):
                 found = None
                 try:
                     found = documents_of_nodes(json.loads(body))
@@ -134,10 +134,12 @@ def reports(payloads: DataFrame, schema: str, required: bool = False) -> DataFra
                     found = documents_of_html(body or "")
                 if required and not found:
                     raise ValueError("no list of reports in a payload; its format may have changed")
+                places += [(int(number) << 32) + i for i in range(len(found or []))]
                 out += [json.dumps(x, allow_nan=False, default=str) if not _odd(x) else json.dumps(_plain(x)) for x in found or []]
-            yield pd.DataFrame({"row": out}, dtype=object)
+            yield pd.DataFrame({"row": pd.Series(out, dtype=object), "ordinal": pd.Series(places, dtype="int64")})
 
-    return payloads.mapInPandas(run, "row string").select(F.from_json("row", schema).alias("r")).select("r.*")
+    rows = payloads.mapInPandas(run, "row string, ordinal long").select(F.from_json("row", schema).alias("r"), "ordinal")
+    return rows.select("r.*", *(["ordinal"] if at else []))
 
 
 def _odd(x: Any) -> bool:

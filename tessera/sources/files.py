@@ -28,6 +28,20 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
+def numbered(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """df, as read from files, with the place of each row in them: files by name, rows as they stand there.
+
+    Rows are numbered within the part of a file that one task reads and shifted by the parts before it, so the numbers do
+    not depend on how files are split or dealt to tasks.
+    """
+    own = ["__file", "__block"]
+    rows = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"))
+    before = Window.orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)  # one row a part of a file
+    base = rows.groupBy(*own).agg(F.count("*").alias("__n")).select(*own, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    here = rows.withColumn("__at", F.row_number().over(Window.partitionBy(*own).orderBy("__id")))
+    return here.join(base, own).withColumn(name, F.col("__base") + F.col("__at") - 1).drop(*own, "__id", "__at", "__base")
+
+
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """stem, text of whole files."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)

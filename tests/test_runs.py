@@ -25,7 +25,9 @@ def test_runs_from_index_to_worklist(spark, tmp_path):
     index = spark.read.option("header", True).csv(at("index"))
     assert sorted((r.company, r.report_year, r.page_start) for r in index.collect()) == [("A & B", "2024", "3"), ("D", None, None)]
     (tmp_path / "payload.txt").write_text(json.dumps({"nodes": [{"type": "data", "data": [{"documents": 1}, [2], {"id": 3, "year": 4, "original_link": 5, "company": 6}, "r1", 2024, "hhttps://x.com/a.pdf", {"name": 7, "country": 8}, "Comp", "FR"]}]}))
-    cli.main(["index", "--payloads", at("payload.txt"), "--out", at("live")], spark)
+    cli.main(["index", "--payloads", at("payload.txt"), "--out", at("live"), "--dump", at("dump")], spark)
+    dumped = spark.read.json(at("dump")).first()
+    assert (dumped.id, dumped.original_link, dumped.company.country, dumped.ordinal) == ("r1", "hhttps://x.com/a.pdf", "FR", 0)
     live = spark.read.option("header", True).csv(at("live")).first()
     assert (live.company, live.link, live.stem) == ("Comp", "https://x.com/a.pdf", "Comp_noisin_2024")
     stems = ["Comp_noisin_2024", "Other_noisin"]

@@ -259,3 +259,22 @@ def test_streamed_sentences_hold_no_report_in_a_row(spark):
     blocks = spark.createDataFrame([("r", 0, "a")], "stem string, ordinal int, text string")
     plan = C.streamed_sentences(blocks)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+def test_rows_are_numbered_by_their_place_in_files(spark, tmp_path):
+    for name, rows in (("b", range(100, 150)), ("a", range(100))):
+        (tmp_path / f"{name}.csv").write_text("".join(f"{i},{'x' * (i % 7)}\n" for i in rows))
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    small.conf.set("spark.sql.files.openCostInBytes", "1")
+    for session in (spark, small):
+        df = session.read.schema("v int, t string").csv(str(tmp_path))
+        assert all(r.v == r.ordinal for r in files.numbered(df).collect())
+
+
+def test_a_run_takes_the_first_rows_of_its_files_however_they_are_split(spark, tmp_path):
+    stems, o = _reports(spark, tmp_path)
+    from dataclasses import replace
+
+    runs.ask_models(spark, replace(o, limit=2), lambda: lambda text: '{"disclosures":[]}', lots=1)
+    assert {r.stem for r in UpsertTable(spark, f"{o.out}/results", ["stem"]).read().collect()} == set(stems[:2])
