@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _OWN: dict[str, SparkSession] = {}
+_LOCAL: list[str] = []
 
 
 def long_texts(spark: SparkSession) -> None:
@@ -28,8 +29,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="tessera-"))
+        root = _LOCAL[0]
     return root.rstrip("/")
 
 

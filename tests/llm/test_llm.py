@@ -767,6 +767,13 @@ def test_rollup(spark, tmp_path):
     assert store.commit("5", batch()) and store.totals().count() == 3
 
 
+def test_tokens_of_very_long_texts_are_counted_whole(spark):
+    texts = [(1, "word " * 250_000 + "end"), (2, "x" * 300_000), (3, "word " * 250_000 + "end")]
+    exact = Tokenizer.from_file(PATH)
+    got = {r.doc_id: r.n_tokens for r in rollup.counted(docs(spark, texts), PATH, "v1").collect()}
+    assert got == {i: len(exact.encode(t, add_special_tokens=False).ids) for i, t in texts}
+
+
 def test_op8_against_counting_one_by_one(spark):
     exact, want = Tokenizer.from_file(PATH), {}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
@@ -835,6 +842,21 @@ def test_image_copies_against_all_pairs(spark, monkeypatch, rare):
     assert got == {i: find(i) for i in range(len(rows))} and len(set(got.values())) < 50
 
 
+def test_rows_that_share_an_id_are_in_the_class_of_each(spark):
+    rng = np.random.default_rng(14)
+    one, two, other = (media._box(np.kron(rng.integers(0, 256, (20, 20)), np.ones((5, 5))).astype(float), 1) for _ in range(3))
+    rows = [(1, pgm(one)), (1, pgm(two)), (2, pgm(edited(rng, one))), (3, pgm(edited(rng, two))), (4, pgm(other)), (4, pgm(other))]
+    got = [(r.media_id, r.class_id) for r in media.copies(spark.createDataFrame(rows, "media_id long, content binary")).collect()]
+    assert sorted(got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+
+
+def test_a_large_picture_has_corners_by_its_area():
+    rng = np.random.default_rng(15)
+    x = media._box(np.kron(rng.integers(0, 256, (200, 300)), np.ones((6, 6))).astype(float), 1)
+    found = media.keypoints(x)
+    assert 1000 < len(found) <= sum(max(media.PER_LEVEL, x.size * s * s // media.PIXELS + 10) for s in media.LEVELS)
+
+
 def test_small_crops_of_large_pictures(spark):
     rng = np.random.default_rng(12)
     large = [media._box(np.kron(rng.integers(0, 256, (80, 80)), np.ones((5, 5))).astype(float), 1) for _ in range(6)]
