@@ -211,7 +211,7 @@ def repaired_json(raw: Column) -> Column:
 
 def megabytes(n: Column) -> Column:
     """Bytes as MB with one digit."""
-    return F.concat(F.format_number(n / (1024 * 1024), 1), F.lit(" MB"))
+    return F.concat(F.call_function("format_number", n / (1024 * 1024), F.lit("0.0")), F.lit(" MB"))
 
 
 def percent(part: Column, whole: Column) -> Column:
