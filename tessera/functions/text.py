@@ -45,6 +45,18 @@ def tokens(text: Column, stopwords: list[str] = L.STOPWORDS) -> Column:
     return F.filter(found, lambda w: ~w.isin(*stopwords))
 
 
+def top_words(words: Column, n: int = 20) -> Column:
+    """struct(word, n) of the n most frequent words of an array, ties by first occurrence, counted inside the row."""
+
+    def runs(s: Column) -> Column:
+        # Equal words follow each other, the first place of each ahead; a run ends where the next one starts.
+        starts = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1)["word"] != x["word"]), i)), lambda i: i.isNotNull())
+        return let(starts, lambda b: F.transform(b, lambda i, k: F.struct((i - F.coalesce(F.get(b, k + 1), F.size(s))).alias("less"), F.get(s, i)["at"].alias("at"), F.get(s, i)["word"].alias("word"))))
+
+    placed = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
+    return F.transform(F.slice(F.array_sort(let(placed, runs)), 1, n), lambda x: F.struct(x["word"].alias("word"), (-x["less"]).cast("long").alias("n")))
+
+
 def hits(text: Column, words: list[str]) -> Column:
     return F.regexp_count(text, F.lit(L.keyword_pattern(words))).cast("long")
 

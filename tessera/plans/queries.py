@@ -26,10 +26,19 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows of a table of fewer files than cores, dealt out to all cores for expensive expressions; others as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Rows that a task of expensive expressions takes: documents of any length, reports of some hundred characters.
+DOCUMENTS, REPORTS = 5_000, 50_000
+
+
+def _tasks(df: DataFrame, most: int) -> int:
+    """How many tasks a table is dealt out to: one a core, more where one would take more than most rows."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // most))
+
+
+def _spread(df: DataFrame, most: int = DOCUMENTS) -> DataFrame:
+    """Rows of a table of too few parts dealt out to _tasks() for expensive expressions; others as they are."""
+    tasks = _tasks(df, most)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,8 +46,10 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reports(spark: SparkSession, sf: str) -> DataFrame:
-    orders, *rest = (_t(spark, sf, n) for n in ("orders", "customer", "nation"))
-    return spark.sql(Z.REPORTS, orders=_spread(orders), customer=rest[0], nation=rest[1])
+    """Reports in _tasks() parts: both sides are dealt out by customer, so the join keeps them whether it broadcasts or not."""
+    orders, customer, nation = (_t(spark, sf, n) for n in ("orders", "customer", "nation"))
+    tasks = _tasks(orders, REPORTS)
+    return spark.sql(Z.REPORTS, orders=orders.repartition(tasks, "o_custkey"), customer=customer.repartition(tasks, "c_custkey"), nation=nation)
 
 
 def _quoted(words) -> str:
