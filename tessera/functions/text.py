@@ -93,8 +93,12 @@ def thinned(items: Column, cap: int) -> Column:
     """Element floor(i * size / cap) for each i under cap, where there are more than cap."""
     if not cap:
         return items
-    picked = F.transform(F.sequence(F.lit(0), F.lit(cap - 1)), lambda i: F.get(items, F.floor(i * F.size(items) / cap).cast("int")))
-    return F.when(F.size(items) > cap, picked).otherwise(items)
+
+    def some(all_: Column) -> Column:
+        picked = F.transform(F.sequence(F.lit(0), F.lit(cap - 1)), lambda i: F.get(all_, F.floor(i * F.size(all_) / cap).cast("int")))
+        return F.when(F.size(all_) > cap, picked).otherwise(all_)
+
+    return let(items, some)
 
 
 def language_sample(text: Column) -> Column:

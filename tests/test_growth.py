@@ -36,3 +36,9 @@ def test_tables_are_dealt_out_by_their_rows(spark, monkeypatch):
     n = spark.read.parquet(f"{SF}/orders.parquet").count()
     assert Q._reports(spark, SF).rdd.getNumPartitions() == -(-n // 100)
     assert Q._spread(spark.range(100, numPartitions=5), 10).rdd.getNumPartitions() == 10
+
+
+def test_sentences_are_split_once_however_many_are_picked(spark):
+    df = spark.createDataFrame([("One sentence that is long enough stands here. " * 30,)], "text string")
+    thin = df.select(X.plain_sentences(F.col("text"), cap=10).alias("s"))
+    assert len(thin.first().s) == 10 and thin._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
