@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.lexicon import MANDATORY, STANDARDS, STATUSES
-from ..functions.text import repaired_json
+from ..functions.text import let, repaired_json
 from .relational import top_per_group
 
 RESULT = """
@@ -19,8 +19,11 @@ coverage_summary struct<esrs2_complete:boolean,material_drs_reported:bigint,mate
 
 
 def parsed(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Results and failures of answers(stem, chunk_no, raw): rows with the repaired JSON as result, rows with an error."""
-    rows = answers.withColumn("__json", repaired_json(F.col("raw")))
+    """Results and failures of answers(stem, chunk_no, raw): rows with the repaired JSON as result, rows with an error.
+
+    Answers that have been repaired already carry it as __json.
+    """
+    rows = answers if "__json" in answers.columns else answers.withColumn("__json", repaired_json(F.col("raw")))
     good = rows.where("__json is not null").select("stem", "chunk_no", F.from_json("__json", RESULT).alias("result"))
     return good, rows.where("__json is null").select("stem", F.concat(F.lit("unparseable: "), F.substring(F.coalesce("raw", F.lit("")), 1, 200)).alias("error"))
 
@@ -98,24 +101,40 @@ def merged(results: DataFrame) -> DataFrame:
     without code; meta and materiality come from the first chunk with material topics, else from the first; the coverage
     summary is counted over the merged disclosures.
     """
-    by = Window.partitionBy("stem")
-    sized = results.withColumn("__n", F.count("*").over(by))
-    rows = exploded(sized.where("__n > 1"))
+    kind = results.select("result.disclosures").schema[0].dataType
     fields = ["standard", "dr_code", "dr_title", "status", "confidence", "evidence", "datapoints", "quality_flags", "notes"]
-    # A code keeps the place where it first occurred; disclosures without code follow.
-    placed = rows.withColumn("__first", F.min(F.struct("chunk_no", "pos")).over(Window.partitionBy("stem", F.coalesce("dr_code", F.concat(F.lit("#"), "chunk_no", F.lit(":"), "pos")))))
-    order = F.struct(F.col("dr_code").isNull().cast("int").alias("k"), F.col("__first").alias("f"), F.struct(*fields).alias("d"))
-    kept = best_disclosures(placed).groupBy("stem").agg(F.transform(F.sort_array(F.collect_list(order)), lambda x: x["d"]).alias("disclosures"))
-    head = meta_chunk(sized.where("__n > 1").select("stem", "chunk_no", F.col("result.materiality_assessment.material_topics").alias("material_topics"), "result.document_meta", "result.materiality_assessment")).drop("chunk_no", "material_topics")
+    # One shuffle brings a report's chunks together; what follows is sorted inside its row.
+    whole = results.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("chunk_no", "result"))).alias("__all"))
+
+    def of_chunk(c: Column) -> Column:
+        ds = F.coalesce(c["result"]["disclosures"], F.array().cast(kind))
+        return F.transform(ds, lambda d, i: F.struct((-F.coalesce(d["confidence"], F.lit(0.0))).alias("less"), c["chunk_no"].alias("chunk_no"), i.alias("pos"), F.struct(*[d[f].alias(f) for f in fields]).alias("d")))
+
+    def firsts(rows: Column, *order: str) -> Column:
+        """The first row of each code by order, codes in their order."""
+        placed = F.array_sort(F.transform(rows, lambda r: F.struct(r["d"]["dr_code"].alias("code"), *[r[o].alias(o) for o in order], r["d"].alias("d"))))
+        return let(placed, lambda s: F.filter(s, lambda r, i: (i == 0) | (F.get(s, i - 1)["code"] != r["code"])))
+
+    def merged_rows(rows: Column) -> Column:
+        # A code keeps the place where it first occurred; disclosures without code follow.
+        keyed, loose = F.filter(rows, lambda r: r["d"]["dr_code"].isNotNull()), F.filter(rows, lambda r: r["d"]["dr_code"].isNull())
+        best = F.arrays_zip(firsts(keyed, "chunk_no", "pos").alias("at"), firsts(keyed, "less", "chunk_no", "pos").alias("best"))
+        coded = F.transform(best, lambda x: F.struct(x["at"]["chunk_no"].alias("chunk_no"), x["at"]["pos"].alias("pos"), x["best"]["d"].alias("d")))
+        rest = F.transform(loose, lambda r: F.struct(r["chunk_no"].alias("chunk_no"), r["pos"].alias("pos"), r["d"].alias("d")))
+        return F.transform(F.concat(F.array_sort(coded), F.array_sort(rest)), lambda x: x["d"])
+
+    topics = lambda c: F.coalesce(F.size(c["result"]["materiality_assessment"]["material_topics"]), F.lit(0)) > 0
+    head = F.coalesce(F.get(F.filter("__all", topics), F.lit(0)), F.get("__all", F.lit(0)))["result"]
+    several = whole.where(F.size("__all") > 1)
+    many = several.select("stem", head["document_meta"].alias("document_meta"), head["materiality_assessment"].alias("materiality_assessment"), let(F.flatten(F.transform("__all", of_chunk)), merged_rows).cast(kind).alias("disclosures"))
     codes = lambda s: F.transform(F.filter("disclosures", lambda d: d["status"] == s), lambda d: d["dr_code"])
     reported = F.array_distinct(codes("reported"))
     cover = F.struct(
         (F.size(F.array_except(F.array(*map(F.lit, MANDATORY)), reported)) == 0).alias("esrs2_complete"), F.size(reported).cast("long").alias("material_drs_reported"),
         F.size(codes("material_not_reported")).cast("long").alias("material_drs_missing"), codes("phase_in_deferred").alias("phase_ins_invoked"),
     )
-    many = head.join(kept, "stem", "left").withColumn("disclosures", F.coalesce("disclosures", F.array().cast(results.select("result.disclosures").schema[0].dataType)))
-    many = many.select("stem", F.struct("document_meta", "materiality_assessment", "disclosures", cover.alias("coverage_summary")).alias("result"))
-    return sized.where("__n = 1").select("stem", "result").unionByName(many)
+    one = whole.where(F.size("__all") == 1).select("stem", F.get("__all", F.lit(0))["result"].alias("result"))
+    return one.unionByName(many.select("stem", F.struct("document_meta", "materiality_assessment", "disclosures", cover.alias("coverage_summary")).alias("result")))
 
 
 def flat_results(results: DataFrame, meta: DataFrame | None = None) -> DataFrame:

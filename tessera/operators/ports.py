@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lexicon import PROVIDERS
-from ..functions.text import is_transient
+from ..functions.text import is_transient, repaired_json
 from ..sources import scratch, sinks
 from .merge import merged, parsed
 from .relational import packed_parts
@@ -253,7 +253,8 @@ def extract(parts: DataFrame, factory: Callable[[], Callable[[str], str]], most:
 def results(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stem, result) and (stem, error) of answers(stem, chunk_no, raw, error), which are written to a table first, so
     that no model is asked twice and both results come from the same answers."""
-    answers = scratch.table(answers, "answers")
+    # Repaired once, where they are written; three later steps read it.
+    answers = scratch.table(answers.withColumn("__json", repaired_json(F.col("raw"))), "answers")
     said, silent = sinks.split_failures(answers)
     good, bad = parsed(said)
     failed = silent.select("stem", "error").unionByName(bad).groupBy("stem").agg(F.min("error").alias("error"))

@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators import keywords as K
+from tessera.operators import keywords as K, merge as M
 from tessera.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +42,10 @@ def test_sentences_are_split_once_however_many_are_picked(spark):
     df = spark.createDataFrame([("One sentence that is long enough stands here. " * 30,)], "text string")
     thin = df.select(X.plain_sentences(F.col("text"), cap=10).alias("s"))
     assert len(thin.first().s) == 10 and thin._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_results_of_a_report_are_merged_in_one_shuffle(spark):
+    rows = [("s", i, '{"disclosures":[{"dr_code":"A","confidence":0.%d},{"dr_code":null,"status":"n%d"}]}' % (i, i)) for i in range(3)]
+    merged = M.merged(M.parsed(spark.createDataFrame(rows, "stem string, chunk_no int, raw string"))[0])
+    assert [(d.dr_code, d.confidence, d.status) for d in merged.first().result.disclosures] == [("A", 0.2, None), (None, None, "n0"), (None, None, "n1"), (None, None, "n2")]
+    assert plan(merged).count("Exchange hashpartitioning") <= 2  # one of each of the two branches
