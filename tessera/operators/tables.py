@@ -41,7 +41,7 @@ def crossings(lines: DataFrame, reach: float = REACH) -> DataFrame:
     h = lines.where("kind = 'h'").select(*_PAGE, F.col("at").alias("y"), F.col("a").alias("ha"), F.col("b").alias("hb"), F.col("id").alias("h"))
     v = lines.where("kind = 'v'").select(*_PAGE, F.col("at").alias("x"), F.col("a").alias("va"), F.col("b").alias("vb"), F.col("id").alias("v"))
     meet = F.col("x").between(F.col("ha") - reach, F.col("hb") + reach) & F.col("y").between(F.col("va") - reach, F.col("vb") + reach)
-    return h.join(v, _PAGE).where(meet).select(*_PAGE, "x", "y", "h", "v")
+    return h.join(v.hint("merge"), _PAGE).where(meet).select(*_PAGE, "x", "y", "h", "v")
 
 
 def cells(points: DataFrame) -> DataFrame:
@@ -55,8 +55,10 @@ def cells(points: DataFrame) -> DataFrame:
     a, b, c, d = (name(n) for n in "abcd")
     on = lambda n: [F.col(f"a.{k}").eqNullSafe(F.col(f"{n}.{k}")) for k in _PAGE]
     both = lambda n, *more: [*on(n), *more]
-    beside = p.alias("a").join(p.alias("b"), both("b", a["h"] == b["h"], b["x"] > a["x"])).join(p.alias("c"), both("c", a["v"] == c["v"], c["y"] > a["y"]))
-    closed = beside.join(p.alias("d"), both("d", d["h"] == c["h"], d["v"] == b["v"]))
+    # Sorted and merged: files of few bytes hold many rows, too many to be broadcast.
+    side = lambda n: p.alias(n).hint("merge")
+    beside = p.alias("a").join(side("b"), both("b", a["h"] == b["h"], b["x"] > a["x"])).join(side("c"), both("c", a["v"] == c["v"], c["y"] > a["y"]))
+    closed = beside.join(side("d"), both("d", d["h"] == c["h"], d["v"] == b["v"]))
     size = F.struct((c["y"] - a["y"]).alias("height"), (b["x"] - a["x"]).alias("width"), c["y"].alias("y1"), b["x"].alias("x1"))
     least = closed.groupBy(*[F.col(f"a.{k}").alias(k) for k in _PAGE], a["x"].alias("x0"), a["y"].alias("y0"), a["h"].alias("h"), a["v"].alias("v")).agg(F.min(size).alias("s"))
     return least.select(*_PAGE, "x0", "y0", "s.x1", "s.y1", "h", "v")
@@ -97,8 +99,8 @@ def grids(rules: DataFrame, words: DataFrame, snap: float = SNAP, reach: float =
     rank = lambda c: F.dense_rank().over(Window.partitionBy(*key).orderBy(c)) - 1
     sized = placed.withColumn("row", rank("y0")).withColumn("column", rank("x0"))
     inside = (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1"))
-    said = sized.join(words, _PAGE).where(inside).groupBy(*key, "row", "column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "text"))), lambda w: w["text"]), gap).alias("said"))
-    full = sized.select(*key, "row", "column").join(said, [*key, "row", "column"], "left")
+    said = sized.join(words.hint("merge"), _PAGE).where(inside).groupBy(*key, "row", "column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "text"))), lambda w: w["text"]), gap).alias("said"))
+    full = sized.select(*key, "row", "column").join(said.hint("merge"), [*key, "row", "column"], "left")
     wide = full.groupBy(*key).agg((F.max("row") + 1).alias("rows"), (F.max("column") + 1).alias("columns"), F.map_from_entries(F.collect_list(F.struct(F.struct("row", "column").alias("k"), F.coalesce("said", F.lit("")).alias("v")))).alias("at"))
     cell = lambda r, c: F.coalesce(F.element_at("at", F.struct(r.alias("row"), c.alias("column"))), F.lit(""))
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)

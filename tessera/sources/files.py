@@ -197,14 +197,14 @@ def from_pages(tasks: DataFrame, pages: DataFrame, all_tables: bool = False) ->
     """
     r = X.page_range(F.col("page_start"), F.col("page_end"), F.col("pdf_pages"))
     t = tasks.select("stem", "pdf_pages", r.alias("r")).select("stem", "pdf_pages", "r.*")
-    own = pages.join(t.select("stem", "start", "end"), "stem").where("page between start and end")
+    own = pages.join(t.select("stem", "start", "end").hint("merge"), "stem").where("page between start and end")
     useful = F.coalesce(F.col("tables"), F.array().cast("array<array<array<string>>>"))
     useful = useful if all_tables else F.filter(useful, X.useful_table)
     marked = F.concat(F.lit("[[page:"), F.col("page").cast("string"), F.lit("]]\n"), F.coalesce("text", F.lit("")))
     listed = F.transform(useful, lambda rows: F.struct(F.col("page"), rows.alias("rows")))
     joined = own.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("page", marked.alias("t"), listed.alias("tables")))).alias("p"))
     joined = joined.select("stem", F.array_join(F.transform("p", lambda x: x["t"]), "\n\n").alias("text"), F.flatten(F.transform("p", lambda x: x["tables"])).alias("tables"))
-    df = t.join(joined, "stem", "left")
+    df = t.join(joined.hint("merge"), "stem", "left")
     text, good = F.col("text"), F.col("text").isNotNull()
     return df.select(
         "stem", F.when(good, "success").otherwise("failed").alias("extraction_status"), F.when(good, "").otherwise("parse: no pages").alias("error"), X.language(text).alias("language"), F.when(good, F.col("end") - F.col("start") + 1).otherwise(0).alias("pages_extracted"), "pdf_pages",

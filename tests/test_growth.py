@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators import keywords as K, merge as M
+from tessera.operators import keywords as K, merge as M, semantic as S, tables as B
 from tessera.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -49,3 +49,24 @@ def test_results_of_a_report_are_merged_in_one_shuffle(spark):
     merged = M.merged(M.parsed(spark.createDataFrame(rows, "stem string, chunk_no int, raw string"))[0])
     assert [(d.dr_code, d.confidence, d.status) for d in merged.first().result.disclosures] == [("A", 0.2, None), (None, None, "n0"), (None, None, "n1"), (None, None, "n2")]
     assert plan(merged).count("Exchange hashpartitioning") <= 2  # one of each of the two branches
+
+
+def test_ruled_tables_broadcast_no_rows_of_pages(spark):
+    square = [(0.0, 0.0, 9.0, 0.0), (0.0, 9.0, 9.0, 9.0), (0.0, 0.0, 0.0, 9.0), (9.0, 0.0, 9.0, 9.0)]
+    rules = spark.createDataFrame([("a", 1, *r) for r in square], "stem string, page int, x0 double, y0 double, x1 double, y1 double")
+    words = spark.createDataFrame([("a", 1, 5.0, 5.0, "w")], "stem string, page int, x double, y double, text string")
+    points = B.crossings(B.segments(rules))
+    assert all("Broadcast" not in plan(df) for df in (points, B.cells(points), B.grids(rules, words)))
+    assert B.grids(rules, words).first().tables == [[["w"]]]
+
+
+def test_top_similarities_of_many_reports_in_one_batch(spark):
+    rows = [(f"r{i % 7}", i, [float(i % 3), float(i % 5)]) for i in range(140)]
+    anchors = [("a", [1.0, 0.0]), ("b", [0.5, 0.25])]
+    got = {tuple(r) for r in S.top_similarities(spark.createDataFrame(rows, "stem string, sentence_idx int, embedding array<float>"), spark.createDataFrame(anchors, "dr_code string, anchor_embedding array<float>"), "stem", "dr_code", 4).collect()}
+    want = set()
+    for stem in {r[0] for r in rows}:
+        for code, v in anchors:
+            best = sorted((-(x[0] * v[0] + x[1] * v[1]), i) for s, i, x in rows if s == stem)[:4]
+            want |= {(stem, code, i, -s, n) for n, (s, i) in enumerate(best, 1)}
+    assert got == want
