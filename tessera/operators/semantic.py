@@ -51,17 +51,19 @@ def top_similarities(sentences: DataFrame, anchors: DataFrame, report: str, topi
             if not len(b) or not len(names):
                 continue
             b = b.sort_values([report, ordinal], kind="stable")
-            found = []
-            for key, part in b.groupby(report, sort=False, dropna=False):
-                for at in range(0, len(part), 4096):
-                    block = part.iloc[at : at + 4096]
-                    # Sums in the order of the dimensions, as an aggregate takes them.
-                    x, sim = np.stack(block["embedding"].to_numpy()).astype(np.float64), np.zeros((len(block), len(names)))
-                    for d in range(matrix.shape[1]):
-                        sim += x[:, d : d + 1] * matrix[None, :, d]
-                    best = np.argsort(-sim, axis=0, kind="stable")[:k]
-                    for j, name in enumerate(names):
-                        found.append(pd.DataFrame({report: [key] * len(best), topic: [name] * len(best), ordinal: block[ordinal].to_numpy()[best[:, j]], "sim": sim[best[:, j], j]}))
+            group = b.groupby(report, sort=False, dropna=False).ngroup().to_numpy()
+            sim = np.zeros((len(b), len(names)))
+            for at in range(0, len(b), 4096):
+                # Sums in the order of the dimensions, as an aggregate takes them.
+                x, block = np.stack(b["embedding"].iloc[at : at + 4096].to_numpy()).astype(np.float64), sim[at : at + 4096]
+                for d in range(matrix.shape[1]):
+                    block += x[:, d : d + 1] * matrix[None, :, d]
+            keys, ordinals, found = b[report].to_numpy(), b[ordinal].to_numpy(), []
+            starts = np.searchsorted(group, group)  # rows of a report follow each other
+            for j, name in enumerate(names):
+                order = np.lexsort((-sim[:, j], group))
+                best = order[np.arange(len(b)) - starts < k]
+                found.append(pd.DataFrame({report: keys[best], topic: [name] * len(best), ordinal: ordinals[best], "sim": sim[best, j]}))
             yield pd.concat(found)
 
     each = sentences.select(report, ordinal, "embedding").mapInPandas(run, f"{report} {types[report]}, {topic} {types[topic]}, {ordinal} {types[ordinal]}, sim double")
