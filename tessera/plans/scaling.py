@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import url as U
 from ..operators import chunking as C, language as G, merge as M, nearest as N, ports, relational as R, tables as B
@@ -11,7 +11,10 @@ from ..sources.upserts import UpsertTable
 from ..streaming import incremental, stateful
 from . import fixtures as Z
 from .extraction import PARTS, _PARTS
-from .queries import SQL, _t, query
+from .queries import SQL, _t, _tasks, query
+
+#: Rows of a lot that arrive in one file.
+ARRIVING = 250_000
 
 
 @query("""with d as (select * from (values ('first', 1), ('second', 2), ('third', 3)) b(batch, v)),
@@ -58,10 +61,11 @@ def gathered_extraction(spark, sf):
     base = scratch.folder(spark, "gather")
     parts = Z.table(spark, sf, PARTS)
     chunks = R.packed_parts(parts, "stem", "page", "text", 10).withColumnRenamed("chunk", "chunk_no")
-    counts = chunks.groupBy("stem").agg(F.count("*").cast("int").alias("chunks"))
-    chunks.join(counts, "stem").repartition(2, "stem", "chunk_no").write.parquet(f"{base}/chunks")
-    state, out = stateful.state_session(spark, 8), UpsertTable(spark, f"{base}/out", ["stem"])
-    arrived = incremental.arriving(state, f"{base}/chunks", "stem string, chunk_no int, text string, chunks int", files=1)
+    tasks = _tasks(parts, ARRIVING)
+    counted = chunks.withColumn("chunks", F.count("*").over(Window.partitionBy("stem")).cast("int"))
+    counted.repartition(2 * tasks, "stem", "chunk_no").write.parquet(f"{base}/chunks")  # two lots of as many files as tasks
+    state, out = stateful.state_session(spark, max(8, tasks)), UpsertTable(spark, f"{base}/out", ["stem"])
+    arrived = incremental.arriving(state, f"{base}/chunks", "stem string, chunk_no int, text string, chunks int", files=tasks)
     answers = ports.ask(arrived, lambda: lambda text: text.split("ANSWER ", 1)[1], wait=0.0).withColumn("answered_at", F.current_timestamp())
 
     def land(batch, number):
@@ -108,15 +112,16 @@ def status_stream(spark, sf):
     low, high = events.agg(F.min(at(F.col("ts"))), F.max(at(F.col("ts")))).first()
     if low is None:
         return events.select("user_id", "event_type", "event_id", F.col("ts").cast(kind).alias("ts"))
-    state, out = stateful.state_session(spark, 2), UpsertTable(spark, f"{base}/out", ["user_id", "event_type"])
+    tasks = _tasks(events, ARRIVING)
+    state, out = stateful.state_session(spark, tasks), UpsertTable(spark, f"{base}/out", ["user_id", "event_type"])
     late = F.when(F.col("event_id") % 3 == 0, 20 * 3_600_000_000).otherwise(0)
     dealt = events.withColumn("lot", F.least(F.floor((at(F.col("ts")) + late - low) / ((high - low + 1) / 2)), F.lit(1)))
     # The last row, of no user, moves time on until every span has closed.
     end = events.agg(F.lit(-1).cast("long").alias("event_id"), (F.max("ts") + F.expr("interval 1 year")).alias("ts"), F.lit(-1).cast("long").alias("user_id"), F.lit("end").alias("event_type"))
     lots = [dealt.where(f"lot = {i} or lot = {i} - 1 and event_id % 50 = 0") for i in range(2)] + [end]
     for lot in lots:
-        lot.select(*events.columns).coalesce(1).write.mode("append").parquet(f"{base}/in")
-        stream = incremental.arriving(state, f"{base}/in", events.schema, files=1)
+        lot.select(*events.columns).repartition(tasks, "event_id").write.mode("append").parquet(f"{base}/in")
+        stream = incremental.arriving(state, f"{base}/in", events.schema, files=tasks)  # a lot at a time
         incremental.upsert(incremental.current_status(stream, ["user_id", "event_type"], "ts", "event_id", "6 hours", "2 days"), out, f"{base}/check", F.desc("ts"), F.desc("event_id"))
     return out.read().where("event_id >= 0").select("user_id", "event_type", "event_id", F.col("ts").cast(kind).alias("ts"))
 
@@ -205,7 +210,7 @@ select stem, cast(pdf_pages as int) as pdf_pages, 'success' as extraction_status
 def ruled_extraction(spark, sf):
     """Extraction results of pages whose tables are recovered from their lines; a table of too few cells does not count."""
     rules, words = _drawn(spark, sf)
-    pages = Z.table(spark, sf, DRAWN).select("stem", "page", F.col("role").alias("text")).join(B.grids(rules, words), ["stem", "page"], "left")
+    pages = Z.table(spark, sf, DRAWN).select("stem", "page", F.col("role").alias("text")).join(B.grids(rules, words).hint("merge"), ["stem", "page"], "left")
     none = F.lit(None).cast("int")
     tasks = pages.groupBy("stem").agg(F.max("page").alias("pdf_pages")).select("stem", none.alias("page_start"), none.alias("page_end"), "pdf_pages")
     return files.from_pages(tasks, pages).select("stem", "pdf_pages", "extraction_status", "tables_found")

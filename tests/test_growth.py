@@ -2,11 +2,12 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.operators import keywords as K, merge as M, semantic as S, tables as B
-from tessera.plans import queries as Q
+from tessera.plans import queries as Q, scaling as P
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +71,18 @@ def test_top_similarities_of_many_reports_in_one_batch(spark):
             best = sorted((-(x[0] * v[0] + x[1] * v[1]), i) for s, i, x in rows if s == stem)[:4]
             want |= {(stem, code, i, -s, n) for n, (s, i) in enumerate(best, 1)}
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["gathered_extraction", "status_stream"])
+def test_lots_arrive_in_as_many_files_as_their_rows_need(spark, monkeypatch, name):
+    seen = []
+
+    def arriving(state, path, schema, files):
+        seen.append((files, int(state.conf.get("spark.sql.shuffle.partitions"))))
+        raise InterruptedError
+
+    monkeypatch.setattr(P, "ARRIVING", 100)
+    monkeypatch.setattr(P.incremental, "arriving", arriving)
+    with pytest.raises(InterruptedError):
+        Q.QUERIES[name](spark, SF)
+    assert seen[0][0] >= 10 and seen[0][1] >= 10
