@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources import scratch
 
 def first_wins(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
     """One row per key, nulls equal: the first in order."""
@@ -89,8 +90,14 @@ def packed_parts(df: DataFrame, key: str, ordinal: str, text: str, most: int) ->
 def ranked(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
     """df with rank, the mean place of equal values from 1 on; nulls have none.
 
-    Values are sorted in ranges, a task each, and shifted by what earlier ranges hold, so no task sorts all rows.
+    Values are sorted in ranges, a task each, and shifted by what earlier ranges hold, so no task sorts all rows. They are
+    written once: a sum of doubles computed anew can differ in its last digits, and a row then misses its own place.
     """
+    return _ranked(scratch.table(df, "ranked"), value, buckets)
+
+
+def _ranked(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
+    """As ranked(), of a table that gives the same values whenever it is read."""
     some = df.where(F.col(value).isNotNull())
     cuts = some.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.001) if buckets > 1 and not some.isEmpty() else []
     at = F.lit(0)
@@ -108,10 +115,11 @@ def ranked(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
 def quantiles(df: DataFrame, value: str, shares: dict[str, float]) -> DataFrame:
     """One row of exact quantiles of value, interpolated: a column for each name of shares.
 
-    A value counts once however often it occurs, so what one task sums up are places, not all rows.
+    A value counts once however often it occurs, so what one task sums up are places, not all rows. The counts are written
+    once, as in ranked().
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("__n"))
-    r = ranked(counts.select(F.col(value).alias("__v"), "__n"), "__v")
+    counts = scratch.table(df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n")), "counts")
+    r = _ranked(counts, "__v")
     # rank orders the distinct values; places count rows.
     lots = r.withColumn("__lot", F.floor(F.col("rank") / 10_000))
     sums = lots.groupBy("__lot").agg(F.sum("__n").alias("__s"))
