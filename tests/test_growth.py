@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators import keywords as K, merge as M, relational as R, semantic as S, tables as B
+from tessera.operators import keywords as K, merge as M, nearest as N, relational as R, semantic as S, tables as B
 from tessera.plans import queries as Q, scaling as P
 
 SF = "/root/testdata/sf0.001"
@@ -95,3 +95,14 @@ def test_places_of_values_that_differ_whenever_they_are_computed(spark):
     q = R.quantiles(df, "v", {"low": 0.05, "half": 0.5, "high": 0.95}).first()
     assert [round(x, 6) for x in q] == [100, 1000, 1900]
     assert all(r["rank"] == r["id"] + 1 for r in R.ranked(df, "v").collect())
+
+
+def test_right_tiles_are_sent_once_for_each_lot_of_left_tiles(spark, monkeypatch):
+    rows = [(i, [float(i * 7 % 11), float(i % 5), float(i % 3)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "i int, embedding array<double>")
+    sent, products = [], N._products
+    monkeypatch.setattr(N, "_products", lambda pairs, *rest: sent.append((pairs.count(), products(pairs, *rest))) or sent[-1][1])
+    got = {(r.i, r.j, r.sim) for r in N.top_products(df, df.withColumnRenamed("i", "j"), "i", "j", 3, tile=10).collect()}
+    want = {(i, j, -s) for i, x in rows for s, j in sorted((-(x[0] * y[0] + x[1] * y[1] + x[2] * y[2]), j) for j, y in rows)[:3]}
+    assert got == want
+    assert sent[1][1].count() <= 1200 and sent[1][0] > 100  # of all pairs only the best of each row leave a task
