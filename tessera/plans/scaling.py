@@ -168,7 +168,8 @@ select d.doc_id, coalesce(b.lang, 'unknown') as lang, cast(coalesce(b.known, 0)
 def language_profiles(spark, sf):
     """The likeliest language of every document by trigram profiles of all labelled ones."""
     docs = _t(spark, sf, "documents").select("doc_id", "lang", "text")
-    return G.detected(docs, G.fit(docs), "doc_id")
+    pieces = G.counted(docs)
+    return G.detected(docs, G.fit(docs, pieces=pieces), "doc_id", pieces=pieces)
 
 
 DRAWN = """

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators import keywords as K, merge as M, nearest as N, relational as R, semantic as S, tables as B
+from tessera.operators import keywords as K, language as G, merge as M, nearest as N, relational as R, semantic as S, tables as B
 from tessera.plans import queries as Q, scaling as P
 
 SF = "/root/testdata/sf0.001"
@@ -106,3 +106,15 @@ def test_right_tiles_are_sent_once_for_each_lot_of_left_tiles(spark, monkeypatch
     want = {(i, j, -s) for i, x in rows for s, j in sorted((-(x[0] * y[0] + x[1] * y[1] + x[2] * y[2]), j) for j, y in rows)[:3]}
     assert got == want
     assert sent[1][1].count() <= 1200 and sent[1][0] > 100  # of all pairs only the best of each row leave a task
+
+
+def test_texts_are_cut_up_once_for_all_languages(spark):
+    rows = [(1, "en", "the man and the dog and \U00010428\U00010429\U0001042a the man"), (1, "en", "The dog!"), (2, "de", "der Mann und der Hund, der Hund")]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    profiles = G.fit(docs)
+    grams = Counter(t[i : i + 3] for t in (" der mann und der hund der hund ",) for i in range(len(t) - 2))
+    assert {r.gram for r in profiles.where("lang = 'de'").collect()} == set(grams)
+    assert "\U00010428\U00010429\U0001042a" in {r.gram for r in profiles.collect()} and all(len(r.gram) == 3 for r in profiles.collect())
+    some, none = G.scores(docs, profiles, "doc_id"), G.scores(docs, profiles, "doc_id", most=0)
+    assert some.collect() and sorted(some.collect()) == sorted(none.collect())
+    assert some._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(regexp_extract_all") == 1
