@@ -58,7 +58,7 @@ def top_words(words: Column, n: int = 20) -> Column:
 
 
 def hits(text: Column, words: list[str]) -> Column:
-    return F.regexp_count(text, F.lit(L.keyword_pattern(words))).cast("long")
+    return F.regexp_count(text, F.lit(L.keyword_search(words))).cast("long")
 
 
 def density(part: Column, total: Column) -> Column:

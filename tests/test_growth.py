@@ -118,3 +118,13 @@ def test_texts_are_cut_up_once_for_all_languages(spark):
     some, none = G.scores(docs, profiles, "doc_id"), G.scores(docs, profiles, "doc_id", most=0)
     assert some.collect() and sorted(some.collect()) == sorted(none.collect())
     assert some._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(regexp_extract_all") == 1
+
+
+def test_keywords_behind_one_first_letter_count_the_same(spark):
+    words = sorted({w for t in X.L.THEMES.values() for w in t})
+    texts = [" ".join(random.Random(i).choices([*words, "WIND", "winds", "window", "Scope 1,", "co", "c", "anti-corruption's", "-", "Ωind", "e1"], k=60)) for i in range(40)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for said in (*X.L.THEMES.values(), ["", "a"], ["É", "é-1", "e.x", "ex"]):
+        counts = df.select(X.hits(F.col("text"), said).alias("n"), F.regexp_count("text", F.lit(X.L.keyword_pattern(said))).alias("m")).collect()
+        assert all(r.n == r.m for r in counts)
+    assert X.L.keyword_search(["carbon", "climate", "wind"]) == r"(?i)\b(?:c(?:arbon\w*|limate\w*)|w(?:inds?\b))"
