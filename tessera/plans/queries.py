@@ -35,14 +35,22 @@ def _tasks(df: DataFrame, most: int) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // most))
 
 
-def _spread(df: DataFrame, most: int = DOCUMENTS) -> DataFrame:
-    """Rows of a table of too few parts dealt out to _tasks() for expensive expressions; others as they are."""
-    tasks = _tasks(df, most)
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+#: Parts up to which Spark's shuffle writes rows straight to their files; for more it gathers a task's rows in memory first.
+PARTS = 200
+
+
+def _spread(df: DataFrame, most: int = DOCUMENTS, by: str | None = None) -> DataFrame:
+    """Rows of a table of too few parts dealt out to _tasks() for expensive expressions; others as they are.
+
+    They go by the hash of a column (of all without one) to at most PARTS parts or as many as there are cores, so that no
+    task holds the texts that it deals out; rows dealt out in turn are sorted in memory first.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, min(_tasks(df, most), PARTS))
+    return df.repartition(tasks, *([by] if by else df.columns)) if df.rdd.getNumPartitions() < tasks else df
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return _spread(_t(spark, sf, "documents"))
+    return _spread(_t(spark, sf, "documents"), by="doc_id")
 
 
 def _reports(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,6 +40,16 @@ def test_tables_are_dealt_out_by_their_rows(spark, monkeypatch):
     assert Q._spread(spark.range(100, numPartitions=5), 10).rdd.getNumPartitions() == 10
 
 
+def test_no_task_holds_the_texts_that_it_deals_out(spark, monkeypatch):
+    assert "RoundRobin" not in plan(Q._documents(spark, SF))
+    monkeypatch.setattr(Q, "PARTS", 9)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    dealt = Q._spread(docs, 1, "doc_id")
+    assert "hashpartitioning(doc_id" in plan(dealt) and dealt.rdd.getNumPartitions() == 9
+    assert sorted(dealt.collect()) == sorted(docs.collect())
+    assert Q._spread(spark.range(1000, numPartitions=5), 1).rdd.getNumPartitions() == 9
+
+
 def test_sentences_are_split_once_however_many_are_picked(spark):
     df = spark.createDataFrame([("One sentence that is long enough stands here. " * 30,)], "text string")
     thin = df.select(X.plain_sentences(F.col("text"), cap=10).alias("s"))
