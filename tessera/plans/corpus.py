@@ -9,7 +9,7 @@ from ..operators import index as I, keywords as K, relational as R, selection as
 from ..sources import devalue, files, scratch, sinks
 from ..streaming import incremental
 from . import fixtures as Z
-from .queries import _FOUND, _INDEX, _REPORTS, _SUMMARY, _TOKENS, _quoted, _raw, _reports, _spread, _t, query
+from .queries import DOCUMENTS, _FOUND, _INDEX, _REPORTS, _SUMMARY, _TOKENS, _quoted, _raw, _reports, _spread, _t, query
 
 _YEARS = [2021, 2022]
 
@@ -193,7 +193,7 @@ def api_failover(spark, sf):
 @query("""with p as (select p_partkey as k, cast(greatest(p_partkey % 100, p_partkey % 300) + 4 as int) as n from part) select cast(k as varchar) as path, case when k % 5 = 0 then 'bad_zip:BadZipFile' when k % 5 = 1 then 'zip_without_pdf' when n < 60 then 'file_too_small' when n > 250 then 'too_large_0MB' end as error, case when k % 5 > 1 and n between 60 and 250 then n end as bytes from p""")
 def zip_members(spark, sf):
     """The largest PDF member of each archive, or why there is none."""
-    got = files.pdf_of_zip(_spread(Z.archives(spark, sf), by="path"), most=250, least=60)
+    got = files.pdf_of_zip(_spread(Z.archives(spark, sf), DOCUMENTS, "path"), most=250, least=60)
     return got.select("path", "error", F.length("pdf").alias("bytes"))
 
 

@@ -39,18 +39,22 @@ def _tasks(df: DataFrame, most: int) -> int:
 PARTS = 200
 
 
-def _spread(df: DataFrame, most: int = DOCUMENTS, by: str | None = None) -> DataFrame:
-    """Rows of a table of too few parts dealt out to _tasks() for expensive expressions; others as they are.
+def _spread(df: DataFrame, most: int = DOCUMENTS, *by: str) -> DataFrame:
+    """Rows of a table dealt out to _tasks() for expensive expressions; as they are where as many parts hold rows, none over
+    twice its share. A file is cut into parts that may hold nothing, as a row group is read by one of them whole.
 
-    They go by the hash of a column (of all without one) to at most PARTS parts or as many as there are cores, so that no
+    They go by the hash of some columns (of all without any) to at most PARTS parts or as many as there are cores, so that no
     task holds the texts that it deals out; rows dealt out in turn are sorted in memory first.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, min(_tasks(df, most), PARTS))
-    return df.repartition(tasks, *([by] if by else df.columns)) if df.rdd.getNumPartitions() < tasks else df
+    held = df.groupBy(F.spark_partition_id().alias("part")).count().agg(F.count("*").alias("parts"), F.coalesce(F.max("count"), F.lit(0)).alias("largest"), F.coalesce(F.sum("count"), F.lit(0)).alias("rows")).first()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, min(-(-held["rows"] // most), PARTS))
+    even = held["parts"] >= tasks and held["largest"] * tasks <= 2 * held["rows"]
+    return df if even else df.repartition(tasks, *(by or df.columns))
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return _spread(_t(spark, sf, "documents"), by="doc_id")
+    """Documents dealt out by doc_id and text: rows without doc_id do not meet in one task."""
+    return _spread(_t(spark, sf, "documents"), DOCUMENTS, "doc_id", "text")
 
 
 def _reports(spark: SparkSession, sf: str) -> DataFrame:

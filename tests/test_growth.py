@@ -50,6 +50,28 @@ def test_no_task_holds_the_texts_that_it_deals_out(spark, monkeypatch):
     assert Q._spread(spark.range(1000, numPartitions=5), 1).rdd.getNumPartitions() == 9
 
 
+def test_parts_of_a_file_that_hold_nothing_do_not_count(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")  # one row group
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        whole = Q._t(spark, str(tmp_path), "documents")
+        assert whole.rdd.getNumPartitions() > 8 and whole.select(F.spark_partition_id()).distinct().count() == 1
+        dealt = Q._documents(spark, str(tmp_path))
+        assert dealt.select(F.spark_partition_id()).distinct().count() == 4 and sorted(dealt.collect()) == sorted(docs.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    uneven = spark.range(100, numPartitions=1).union(spark.range(3, numPartitions=3))
+    assert "Exchange" in plan(Q._spread(uneven)) and "Exchange" not in plan(Q._spread(spark.range(100, numPartitions=4)))
+
+
+def test_rows_without_doc_id_do_not_meet_in_one_task(spark, tmp_path):
+    df = spark.range(200).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    held = Q._documents(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == 4 and max(r["count"] for r in held) < 100
+
+
 def test_sentences_are_split_once_however_many_are_picked(spark):
     df = spark.createDataFrame([("One sentence that is long enough stands here. " * 30,)], "text string")
     thin = df.select(X.plain_sentences(F.col("text"), cap=10).alias("s"))
