@@ -13,8 +13,8 @@ from . import fixtures as Z
 from .extraction import PARTS, _PARTS
 from .queries import SQL, _t, _tasks, query
 
-#: Rows of a lot that arrive in one file.
-ARRIVING = 250_000
+#: Rows of a lot that arrive in one file, and lots of reports for each partition of their state.
+ARRIVING, LOTS = 250_000, 256
 
 
 @query("""with d as (select * from (values ('first', 1), ('second', 2), ('third', 3)) b(batch, v)),
@@ -71,7 +71,7 @@ def gathered_extraction(spark, sf):
     def land(batch, number):
         out.upsert(M.flat_results(ports.results(batch)[0]), f"lot-{number}")
 
-    stateful.gathered(answers, 86_400).writeStream.foreachBatch(land).option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start().awaitTermination()
+    stateful.gathered(answers, 86_400, lots=LOTS * tasks).writeStream.foreachBatch(land).option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start().awaitTermination()
     return out.read().select("stem", "n_disclosures", "n_reported", "n_material_not_reported", "n_not_addressed", "n_datapoints", "quality_flags", "avg_confidence", "esrs2_complete", "assurance", "material_topics")
 
 

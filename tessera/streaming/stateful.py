@@ -1,4 +1,4 @@
-"""Operators with a state of their own per key: a gate for each host, and a report's answers until all are there.
+"""Operators with a state of their own per key: a gate for each host, and reports' answers until all are there.
 
 They run in a session with RocksDB as its state store, which state_session() gives; state survives restarts from the
 checkpoint. Times are event times in milliseconds, so a replay gives the same rows.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -86,11 +87,17 @@ def host_starts(requests: DataFrame, gap: float, delay: str = "1 minute") -> Dat
     return rows.groupBy("host").transformWithState(HostGate(round(gap * 1000)), "host string, request long, start long, end long", "append", "EventTime")
 
 
+GATHERED = ["stem", "chunk_no", "raw", "error"]
+
+
 class Gather(StatefulProcessor):
-    """A report's answers, held until as many chunks have answered as it has, and given out together, once.
+    """Reports' answers, each report's held until as many chunks have answered as it has, and given out together, once.
 
     A chunk's first answer counts. A report that is not whole when its time is up fails, and what it has is dropped; until
     then answers that come after it was given out are known as late and left out.
+
+    A key is a lot of reports, whose rows come as frames and whose state is read and written as one value: a call of the
+    state for each report, or an object for each row, takes longer than what is done with its answers.
     """
 
     def __init__(self, timeout: int):
@@ -98,40 +105,71 @@ class Gather(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "of int, done boolean, answers array<struct<no:int,raw:string,error:string>>")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        came = sorted(rows, key=lambda r: r.chunk_no)
-        if self.held.exists():
-            of, done, answers = self.held.get()
+        # the reports of a lot; its timer, set to when the first of them is up.
+        self.held = handle.getValueState("held", "reports array<struct<stem:string,of:int,done:boolean,until:long,answers:array<struct<no:int,raw:string,error:string>>>>, timer long")
+
+    def _load(self) -> tuple[dict, int | None]:
+        """stem: [of, done, until, {no: (raw, error)}]"""
+        reports, timer = self.held.get() or ([], None)
+        return {stem: [of, done, until, {no: (raw, error) for no, raw, error in answers}] for stem, of, done, until, answers in reports}, timer
+
+    def _keep(self, reports: dict, timer: int | None) -> None:
+        first = min((r[2] for r in reports.values()), default=None)
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+        if reports:
+            self.held.update(([(stem, of, done, until, [(no, *a) for no, a in answers.items()]) for stem, (of, done, until, answers) in reports.items()], first))
         else:
-            of, done, answers = came[0].chunks, False, []
-            self.handle.registerTimer(max(min(r.answered_at for r in came), timerValues.getCurrentWatermarkInMs()) + self.timeout)
-        if done:
-            return
-        have = {a[0]: tuple(a) for a in reversed([*answers, *((r.chunk_no, r.raw, r.error) for r in came)])}
-        done = len(have) >= of
-        if done:
-            for no, raw, error in have.values():
-                yield Row(stem=key[0], chunk_no=no, raw=raw, error=error)
-        self.held.update((of, done, [] if done else list(have.values())))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        of, done, answers = self.held.get()
-        if not done:
-            yield Row(stem=key[0], chunk_no=None, raw=None, error=f"timed out: {len(answers)} of {of} chunks answered")
-        self.held.clear()
+            self.held.clear()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        reports, timer = self._load()
+        came: dict[str, list] = {}
+        for b in rows:
+            for stem, *answer in zip(*(b[c].tolist() for c in ("stem", "chunk_no", "chunks", "raw", "error", "answered_at")), strict=True):
+                came.setdefault(stem, []).append(answer)
+        whole = []
+        for stem, answers in came.items():
+            answers.sort(key=lambda a: a[0])
+            if stem not in reports:
+                reports[stem] = [answers[0][1], False, max(min(a[4] for a in answers), timerValues.getCurrentWatermarkInMs()) + self.timeout, {}]
+            of, done, until, have = reports[stem]
+            if done:
+                continue
+            for no, _, raw, error, _ in answers:
+                have.setdefault(no, (raw, error))
+            if len(have) >= of:
+                whole += [(stem, no, raw, error) for no, (raw, error) in have.items()]
+                reports[stem] = [of, True, until, {}]
+        self._keep(reports, timer)
+        if whole:
+            yield pd.DataFrame(whole, columns=GATHERED)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        reports, timer = self._load()
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        up = {stem: r for stem, r in reports.items() if r[2] <= now}
+        # The timer that fired is gone.
+        self._keep({stem: r for stem, r in reports.items() if stem not in up}, None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer)
+        failed = [(stem, None, None, f"timed out: {len(answers)} of {of} chunks answered") for stem, (of, done, _, answers) in up.items() if not done]
+        if failed:
+            yield pd.DataFrame(failed, columns=GATHERED)
 
     def close(self) -> None:
         pass
 
 
-def gathered(answers: DataFrame, timeout: float, delay: str = "1 minute") -> DataFrame:
+def gathered(answers: DataFrame, timeout: float, delay: str = "1 minute", lots: int = 4096) -> DataFrame:
     """stem, chunk_no, raw, error of a stream of answers(stem, chunk_no, chunks, raw, error, answered_at timestamp).
 
     All answers of a report come in the micro-batch in which its last one does; a report whose answers are not there
-    within so many seconds of event time is one row with an error.
+    within so many seconds of event time is one row with an error. Reports are dealt into lots by a hash; a task holds one
+    at a time, so lots should grow with the reports. A checkpoint goes on with as many lots as it began with.
     """
     rows = answers.where("stem is not null and answered_at is not null").withWatermark("answered_at", delay)
-    rows = rows.select("stem", "chunk_no", "chunks", "raw", "error", F.unix_millis("answered_at").alias("answered_at"), F.col("answered_at").alias("__at"))
-    return rows.groupBy("stem").transformWithState(Gather(round(timeout * 1000)), "stem string, chunk_no int, raw string, error string", "append", "EventTime")
+    lot = F.pmod(F.xxhash64("stem"), F.lit(lots)).cast("int").alias("lot")
+    rows = rows.select(lot, "stem", "chunk_no", "chunks", "raw", "error", F.unix_millis("answered_at").alias("answered_at"), F.col("answered_at").alias("__at"))
+    return rows.groupBy("lot").transformWithStateInPandas(Gather(round(timeout * 1000)), "stem string, chunk_no int, raw string, error string", "append", "EventTime")

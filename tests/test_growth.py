@@ -3,12 +3,14 @@
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
 from tessera.operators import keywords as K, language as G, merge as M, nearest as N, relational as R, semantic as S, tables as B
 from tessera.plans import queries as Q, scaling as P
+from tessera.streaming import stateful
 
 SF = "/root/testdata/sf0.001"
 
@@ -160,3 +162,40 @@ def test_keywords_behind_one_first_letter_count_the_same(spark):
         counts = df.select(X.hits(F.col("text"), said).alias("n"), F.regexp_count("text", F.lit(X.L.keyword_pattern(said))).alias("m")).collect()
         assert all(r.n == r.m for r in counts)
     assert X.L.keyword_search(["carbon", "climate", "wind"]) == r"(?i)\b(?:c(?:arbon\w*|limate\w*)|w(?:inds?\b))"
+
+
+def test_reports_of_a_lot_are_gathered_by_one_call_of_the_state():
+    class State:
+        value, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls, self.value = self.calls + 1, value
+
+    class Handle:
+        timers: list = []
+
+        def getValueState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    gather = stateful.Gather(1000)
+    gather.init(Handle())
+    rows = [dict(lot=1, stem=f"s{i}", chunk_no=n, chunks=2, raw=f"{i}{n}", error=None, answered_at=i) for i in range(100) for n in (0, 1)]
+    first, second = rows[: 2 * 50] + rows[100::2], rows[101::2] + rows[:3]
+    got = [[r[:3] for f in gather.handleInputRows((1,), iter([pd.DataFrame(lot)]), Times()) for r in f.itertuples(index=False, name=None)] for lot in (first, second)]
+    assert got[0] == [(f"s{i}", n, f"{i}{n}") for i in range(50) for n in (0, 1)]
+    assert got[1] == [(f"s{i}", n, f"{i}{n}") for i in range(50, 100) for n in (0, 1)]  # what came again is late
+    assert gather.held.calls == 4 and gather.handle.timers == [1000]
