@@ -104,8 +104,10 @@ def embed(factory: Callable[[], Embedder], batch: int = 64):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = factory()
         for s in batches:
-            made = _batched(lambda x: np.asarray(model(x), np.float32), s.fillna("").tolist(), len, batch)
-            yield pd.Series([None if v is None else v / max(np.linalg.norm(v), 1e-12) for v, _ in made], dtype=object)
+            # A text that a batch of rows holds several times is given to the model once.
+            at, texts = pd.factorize(s.fillna(""))
+            made = [None if v is None else v / max(np.linalg.norm(v), 1e-12) for v, _ in _batched(lambda x: np.asarray(model(x), np.float32), list(texts), len, batch)]
+            yield pd.Series([made[i] for i in at], dtype=object)
 
     return run
 
@@ -140,14 +142,16 @@ def answer(factory: Callable[[], Callable[[str, str], tuple[list[str], np.ndarra
     """question, context -> struct(span, score).
 
     The model gives the context's words and each one's chances to begin and to end the answer; a span that best_span
-    rejects is null with score 0, as is that of a context on which the model fails.
+    rejects is null with score 0, as is that of a context on which the model fails; it is not asked without a context.
     """
 
     @F.pandas_udf(T.StructType().add("span", "string").add("score", "double"))
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = factory()
 
-        def one(question: str, context: str) -> tuple[str | None, float]:
+        def one(question: str, context: str | None) -> tuple[str | None, float]:
+            if context is None:
+                return None, 0.0
             try:
                 words, starts, ends = model(question, context)
                 found = best_span(np.asarray(starts), np.asarray(ends)) if len(words) else None
@@ -156,7 +160,7 @@ def answer(factory: Callable[[], Callable[[str, str], tuple[list[str], np.ndarra
             return (None, 0.0) if found is None else (" ".join(words[found[0] : found[1] + 1]), found[2])
 
         for q, c in batches:
-            yield pd.DataFrame([one(a, b) for a, b in zip(q.fillna(""), c.fillna(""), strict=True)], columns=["span", "score"])
+            yield pd.DataFrame([one(a, b) for a, b in zip(q.fillna(""), c.where(c.notna(), None), strict=True)], columns=["span", "score"])
 
     return run
 

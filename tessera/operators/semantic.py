@@ -34,7 +34,13 @@ def similarities(sentences: DataFrame, anchors: DataFrame) -> DataFrame:
 
 
 def top_similarities(sentences: DataFrame, anchors: DataFrame, report: str, topic: str, k: int = 15, ordinal: str = "sentence_idx") -> DataFrame:
-    """report, topic, ordinal, sim: per report and topic the k sentences of highest cosine, ties by ordinal.
+    """report, topic, ordinal, sim: per report and topic the k sentences of highest cosine, ties by ordinal."""
+    return top_per_group(batch_similarities(sentences, anchors, report, topic, k, ordinal), [report, topic], k, F.desc("sim"), ordinal)
+
+
+def batch_similarities(sentences: DataFrame, anchors: DataFrame, report: str, topic: str, k: int = 15, ordinal: str = "sentence_idx", floor: float | None = None, others: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that top_similarities() takes its own from; with floor, those at or over it; others are columns of sentences
+    that go with them.
 
     Sentences meet the anchors in blocks of one matrix product, and each Arrow batch passes on its own k best of every
     report and topic only; so what is shuffled does not hold sentences x anchors. The anchors are at most MOST_ANCHORS.
@@ -58,16 +64,18 @@ def top_similarities(sentences: DataFrame, anchors: DataFrame, report: str, topi
                 x, block = np.stack(b["embedding"].iloc[at : at + 4096].to_numpy()).astype(np.float64), sim[at : at + 4096]
                 for d in range(matrix.shape[1]):
                     block += x[:, d : d + 1] * matrix[None, :, d]
-            keys, ordinals, found = b[report].to_numpy(), b[ordinal].to_numpy(), []
+            keys, ordinals, found, rest = b[report].to_numpy(), b[ordinal].to_numpy(), [], {c: b[c].to_numpy() for c in others}
             starts = np.searchsorted(group, group)  # rows of a report follow each other
             for j, name in enumerate(names):
                 order = np.lexsort((-sim[:, j], group))
                 best = order[np.arange(len(b)) - starts < k]
-                found.append(pd.DataFrame({report: keys[best], topic: [name] * len(best), ordinal: ordinals[best], "sim": sim[best, j]}))
+                if floor is not None:
+                    best = best[sim[best, j] >= floor]
+                found.append(pd.DataFrame({report: keys[best], topic: [name] * len(best), ordinal: ordinals[best], "sim": sim[best, j], **{c: rest[c][best] for c in others}}))
             yield pd.concat(found)
 
-    each = sentences.select(report, ordinal, "embedding").mapInPandas(run, f"{report} {types[report]}, {topic} {types[topic]}, {ordinal} {types[ordinal]}, sim double")
-    return top_per_group(each, [report, topic], k, F.desc("sim"), ordinal)
+    schema = ", ".join([f"{report} {types[report]}, {topic} {types[topic]}, {ordinal} {types[ordinal]}, sim double", *[f"{c} {types[c]}" for c in others]])
+    return sentences.select(report, ordinal, "embedding", *others).mapInPandas(run, schema)
 
 
 def topic_scores(sims: DataFrame, report: str, topic: str, k: int = 15) -> DataFrame:

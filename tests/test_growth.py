@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
-from tessera.operators import keywords as K, language as G, merge as M, nearest as N, relational as R, semantic as S, tables as B
-from tessera.plans import queries as Q, scaling as P
+from tessera.operators import disclosure as D, keywords as K, language as G, merge as M, nearest as N, ports, relational as R, semantic as S, tables as B
+from tessera.plans import extraction as E, queries as Q, scaling as P
 from tessera.streaming import stateful
 
 SF = "/root/testdata/sf0.001"
@@ -199,3 +199,31 @@ def test_reports_of_a_lot_are_gathered_by_one_call_of_the_state():
     assert got[0] == [(f"s{i}", n, f"{i}{n}") for i in range(50) for n in (0, 1)]
     assert got[1] == [(f"s{i}", n, f"{i}{n}") for i in range(50, 100) for n in (0, 1)]  # what came again is late
     assert gather.held.calls == 4 and gather.handle.timers == [1000]
+
+
+def test_sentences_of_a_report_are_shuffled_no_more_than_its_hits(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(D.scratch, "table", lambda df, name="table", write=D.scratch.table: seen.append((name, plan(df))) or write(df, name))
+    text = "Before any page the gross Scope 1 emissions were measured in tCO2e. [[page:3]] Gross Scope 1 emissions were measured in tCO2e, 124,500 of them. Energy use and the baseline year is 2019 here."
+    reports = spark.createDataFrame([("r", text), ("again", text), ("empty", "short"), ("none", None)], "stem string, text string")
+    got = {r.stem: r.result for r in D.neural(reports, E.taxonomy(spark), ports.embed(ports.hashed_embedder(256)), ports.entailment(ports.overlap_entailment), ports.answer(ports.number_answerer)).collect()}
+    assert got["empty"].disclosures is None and got["none"].disclosures is None and got["r"] == got["again"]
+    said = {d.dr_code: d for d in got["r"].disclosures}
+    assert (said["E1-6"].status, said["E1-6"].evidence[0].page, said["E1-5"].evidence[0].page) == ("reported", None, 3)
+    # The texts stay in their rows; hits are dealt out, and once more after each model.
+    (_, base), (_, found) = seen
+    assert "Exchange" not in base and found.count("Exchange hashpartitioning") <= 3 and "SortMergeJoin" not in found
+
+
+def test_a_text_that_comes_several_times_is_embedded_once(spark, tmp_path):
+    def model():
+        def run(texts):
+            with open(tmp_path / "asked", "a") as f:
+                f.write("".join(t + "\n" for t in texts))
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return run
+
+    df = spark.createDataFrame([("aa",), ("b",), ("aa",), (None,), ("aa",)], "t string").coalesce(1)
+    got = [r.v for r in df.select(ports.embed(model)("t").alias("v")).collect()]
+    assert got[0] == got[2] == got[4] != got[1] and sorted((tmp_path / "asked").read_text().split("\n")) == ["", "", "aa", "b"]
